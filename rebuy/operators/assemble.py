@@ -147,3 +147,29 @@ def model_frame(tables: dict, cohort: DataFrame) -> DataFrame:
 def build_model_frame(tables: dict, window_days: int = 180) -> DataFrame:
     from .cohort import first_order_cohort
     return model_frame(tables, first_order_cohort(tables, window_days))
+
+
+# Column groups of the model frame used by the analytics operators.
+NUMERIC_COLUMNS = [
+    "review_score", "text_present", "text_char_len", "text_word_count", "exclamation_count", "question_count",
+    "total_price", "total_freight", "payment_value_total", "payment_installments_max", "payment_records",
+    "payment_type_nunique", "item_count", "seller_count", "product_count", "same_state_seller_customer",
+    "approval_lag_hours", "delivery_days", "delivery_delay_days", "delivery_delay_days_clipped",
+    "late_delivery_flag", "freight_ratio", "payment_gap", "product_weight_g_mean", "package_volume_cm3_mean",
+    "product_photos_qty_mean", "product_description_lenght_mean", "purchase_month", "purchase_quarter",
+    "weekend_purchase_flag", "log1p_total_price", "log1p_total_freight", "log1p_payment_value_total",
+    "log1p_product_weight_g_mean", "log1p_package_volume_cm3_mean", "log1p_approval_lag_hours",
+    "log1p_delivery_days",
+]
+STRING_COLUMNS = ["payment_type_mode", "product_category_main", "seller_state_mode", "customer_state"]
+CORR_COLUMNS = [
+    "review_score", "text_present", "text_char_len", "text_word_count", "exclamation_count", "question_count",
+    "log1p_total_price", "log1p_total_freight", "log1p_payment_value_total", "payment_installments_max",
+    "payment_records", "payment_type_nunique", "item_count", "seller_count", "product_count",
+    "same_state_seller_customer", "approval_lag_hours", "delivery_days", "delivery_delay_days_clipped",
+    "late_delivery_flag", "freight_ratio", "log1p_product_weight_g_mean", "log1p_package_volume_cm3_mean",
+    "product_photos_qty_mean", "product_description_lenght_mean", "purchase_month", "purchase_quarter",
+    "weekend_purchase_flag", "target_repeat_within_180d",
+]
+OUTLIER_COLUMNS = ["total_price", "total_freight", "payment_value_total", "delivery_days",
+                   "approval_lag_hours", "product_weight_g_mean", "package_volume_cm3_mean"]

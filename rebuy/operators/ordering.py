@@ -150,3 +150,15 @@ def step_delta(df: DataFrame, value: str, step: str) -> DataFrame:
     best = out.agg(F.min_by(F.col(step), F.when(F.col("delta").isNotNull(),
                                                 F.struct(-F.col("delta"), F.col(step))))).scalar()
     return out.withColumn("is_largest_gain", (F.col(step) == best).cast("int"))
+
+
+def group_rank(df: DataFrame, by: list[str], order, name: str = "rank",
+               n_ranges: int | None = None) -> DataFrame:
+    """1-based position within each ``by`` group under ``order``, without a
+    window per group: one global rank over (by, order), minus the group's
+    first position (one row per group, broadcast)."""
+    ranked = global_rank(df, [*by, *order], name="_gr", n_ranges=n_ranges)
+    starts = ranked.groupBy(*by).agg(F.min("_gr").alias("_gs"))
+    return (ranked.join(F.broadcast(starts), by, "left")
+                  .withColumn(name, F.col("_gr") - F.col("_gs") + 1)
+                  .drop("_gr", "_gs"))

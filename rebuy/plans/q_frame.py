@@ -11,7 +11,7 @@ from ..functions import scalar as S
 from ..operators import assemble as A
 from ..operators import cohort as C
 from ..sources.retail import retail_tables
-from .registry import build_sql, register, views
+from .registry import build_sql, materialized, register, views
 from .sqlparts import DELIVERED_COLS, MF_DOUBLES, REVIEW_COLS, cohort_ctes, model_frame_ctes
 
 RETAIL = ["orders", "customers", "sellers", "category_translation", "products",
@@ -26,11 +26,18 @@ def _cohort(spark, sf):
     return C.first_order_cohort(_tables(spark, sf))
 
 
-def _frame(spark, sf):
+def _frame_plan(spark, sf):
     t = _tables(spark, sf)
     return A.model_frame(t, C.first_order_cohort(t))
 
 
+def _frame(spark, sf):
+    """The model frame, checkpointed once per session and data folder: the
+    analytics queries start from this written table instead of re-planning
+    the cohort (short lineage, no recomputation after a lost executor)."""
+    return materialized(spark, sf, "model_frame", lambda: _frame_plan(spark, sf))
+
+
 # A1 -------------------------------------------------------------------------
 @register("load_tables", build_sql(views(*RETAIL), " UNION ALL ".join(
     f"SELECT '{n}' AS table_name, count(*) AS n_rows, count(DISTINCT {k}) AS n_keys FROM v_{n}"
@@ -152,7 +159,7 @@ def q_translate(spark, sf):
 
 
 @register("item_enrich", build_sql(_M, """SELECT order_id, order_item_id, product_id, seller_id,
-  product_category_name_en, seller_state, package_volume_cm3 FROM items"""),
+  product_category_name_en, seller_state, package_volume_cm3 FROM items""", ["package_volume_cm3"]),
           doubles=["package_volume_cm3"])
 def q_item_enrich(spark, sf):
     t = _tables(spark, sf)
@@ -216,7 +223,7 @@ def q_feature_join(spark, sf):
 
 @register("model_frame", build_sql(_M, "SELECT * FROM mf", MF_DOUBLES), doubles=MF_DOUBLES)
 def q_model_frame(spark, sf):
-    return _frame(spark, sf)
+    return _frame_plan(spark, sf)
 
 
 # Column functions, shown on the model frame --------------------------

@@ -14,7 +14,7 @@ from ..sources import io as IO
 from ..sources.retail import v_orders
 from ..session import shared_path
 from .q_frame import _frame
-from .registry import build_sql, register, views
+from .registry import build_sql, materialized, register, views
 from .sqlparts import MF_DOUBLES, model_frame_ctes
 
 TARGET = "target_repeat_within_180d"
@@ -34,7 +34,7 @@ _S = split_ctes()
 
 
 def _splits(spark, sf):
-    return D.temporal_split(_frame(spark, sf), "score_time", F1, F2)
+    return materialized(spark, sf, "splits", lambda: D.temporal_split(_frame(spark, sf), "score_time", F1, F2))
 
 
 # D1–D7 ----------------------------------------------------------------------

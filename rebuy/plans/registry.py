@@ -1,8 +1,8 @@
 """Registry of named queries: each has a Spark plan and, where SQL can say
 the same thing, a DuckDB oracle text over the driver's base tables.
 
-Doubles are rounded to ``DIGITS`` places on both sides so that summation
-order does not decide the comparison.
+Doubles are rounded to ``DIGITS`` significant digits on both sides so that
+summation order does not decide the comparison.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from ..sources.retail import VIEW_SQL
 
-DIGITS = 6
+DIGITS = 10
 
 
 @dataclass
@@ -30,19 +30,33 @@ class Query:
 REGISTRY: dict[str, Query] = {}
 
 
+def round_sig(c, digits: int = DIGITS):
+    """Round to ``digits`` significant digits; NaN and ±inf become NULL."""
+    c = c.cast("double")
+    scale = F.pow(F.lit(10.0), F.floor(F.log10(F.abs(c))))
+    finite = ~F.isnan(c) & (F.abs(c) != float("inf"))
+    return (F.when(finite & (c == 0), F.lit(0.0))
+             .when(finite, F.round(c / scale, digits - 1) * scale))
+
+
 def round_doubles(df: DataFrame, digits: int = DIGITS) -> DataFrame:
-    """Round every double/float column; NaN and ±inf become NULL."""
+    """Round every double/float column to significant digits."""
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            c = F.col(f.name).cast("double")
-            c = F.when(F.isnan(c) | (F.abs(c) == float("inf")), F.lit(None).cast("double")).otherwise(c)
-            cols.append(F.round(c, digits).alias(f.name))
+            cols.append(round_sig(F.col(f.name), digits).alias(f.name))
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)
 
 
+def round_sig_sql(c: str, digits: int = DIGITS) -> str:
+    x = f"CAST({c} AS DOUBLE)"
+    scale = f"pow(10.0, floor(log10(abs({x}))))"
+    return (f"CASE WHEN NOT isfinite({x}) THEN NULL WHEN {x} = 0 THEN 0.0 "
+            f"ELSE round({x} / {scale}, {digits - 1}) * {scale} END")
+
+
 def register(name: str, sql: str | None = None, doubles: list[str] | None = None):
     """Decorator: register ``fn(spark, sf_dir) -> DataFrame`` under ``name``."""
     def deco(fn):
@@ -73,6 +87,20 @@ def build_sql(parts: list[tuple[str, str]], body: str, doubles: list[str] | None
             uniq.append((n, s))
     head = ("WITH " + ",\n".join(f"{n} AS (\n{s}\n)" for n, s in uniq) + "\n") if uniq else ""
     if doubles:
-        rep = ", ".join(f"round(CAST({c} AS DOUBLE), {DIGITS}) AS {c}" for c in doubles)
+        rep = ", ".join(f"{round_sig_sql(c)} AS {c}" for c in doubles)
         return f"{head}SELECT * REPLACE ({rep}) FROM (\n{body}\n) _q"
     return head + body
+
+
+_MEMO: dict = {}
+
+
+def materialized(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """``build()`` checkpointed to the session's checkpoint folder, once per
+    (application, data folder, name)."""
+    from ..session import checkpoint_dir
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _MEMO:
+        checkpoint_dir(spark)
+        _MEMO[key] = build().checkpoint(eager=True)
+    return _MEMO[key]

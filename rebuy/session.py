@@ -32,6 +32,9 @@ def get_session(master: str | None = None, app: str = "rebuy",
         b = b.master(master)
     for k, v in DEFAULT_CONF.items():
         b = b.config(k, v)
+    if master and master.startswith("local"):
+        # local mode: the driver is the only JVM
+        b = b.config("spark.driver.memory", "16g")
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in (extra or {}).items():

@@ -25,7 +25,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return round(v, 5)
+        return float(f"{v:.9g}")
     if hasattr(v, "isoformat"):
         return v.isoformat(sep=" ") if hasattr(v, "hour") else v.isoformat()
     if isinstance(v, (list, tuple)):
