@@ -47,7 +47,7 @@ def state_rate(df: DataFrame, state: str = "customer_state", target: str = TARGE
     median and mean of all state rates."""
     stats = (df.filter(F.col(state).isNotNull())
                .groupBy(state).agg(F.count(target).alias("n"), F.avg(target).alias("repeat_rate")))
-    ranked = global_rank(stats, [F.desc("n"), F.asc(state)], name="count_rank")
+    ranked = global_rank(stats, [("n", False), state], name="count_rank")
     med = stats.agg(F.median("repeat_rate")).scalar()
     mean = stats.agg(F.avg("repeat_rate")).scalar()
     return ranked.select(
@@ -73,8 +73,13 @@ def crosstab_norm(df: DataFrame, row: str, col: str) -> DataFrame:
 def dataset_summary(df: DataFrame, split: str = "split", target: str = TARGET) -> DataFrame:
     """The dataset summary as one row: counts, target rates per split,
     score-time range, missing-text rate, means and exact medians."""
+    from .profile import melt, quantile_columns
     s = F.col(split)
     y = F.col(target)
+    meds = quantile_columns(melt(df, ["total_price", "delivery_days"]), ["feature"], {"median": 0.5})
+
+    def med(c):
+        return meds.filter(F.col("feature") == c).select("median").scalar()
     return df.agg(
         F.count(F.lit(1)).alias("n_modeling_rows"),
         F.lit(len(df.columns) - 1).alias("n_processed_columns"),
@@ -90,6 +95,6 @@ def dataset_summary(df: DataFrame, split: str = "split", target: str = TARGET) -
         F.to_date(F.max("score_time")).cast("string").alias("score_time_max"),
         (1 - F.avg("text_present")).alias("missing_text_rate"),
         F.avg("review_score").alias("average_review_score"),
-        F.median("total_price").alias("median_total_price"),
-        F.median("delivery_days").alias("median_delivery_days"),
+        med("total_price").alias("median_total_price"),
+        med("delivery_days").alias("median_delivery_days"),
     )

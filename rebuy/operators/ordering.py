@@ -1,70 +1,150 @@
 """Global order, splits, sampling and small running computations.
 
 ``global_rank`` is the one primitive: an exact 1..n position under a total
-order without a single-partition window. Rows are range-partitioned on the
-order keys (Spark samples the bounds), sorted within each range, numbered
-locally, and shifted by the row counts of the preceding ranges (a frame
-with one row per range, broadcast). Ranges are balanced by the sampler even
-when one leading key value holds a third of the rows, as long as the keys
-end in a unique tie-break.
+order without a single-partition window. Each row gets a key-range bucket
+that is a pure function of its sort key (boundaries from a small sample),
+is numbered within its bucket, and is shifted by the sizes of the preceding
+buckets. Buckets stay balanced even when one leading key value holds a
+third of the rows, as long as the order ends in a unique tie-break.
 """
 
 from __future__ import annotations
 
+import functools
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_LOW33 = (1 << 33) - 1  # row-within-partition bits of monotonically_increasing_id
+MAX_BUCKETS = 1024
+ROWS_PER_BUCKET = 2_000_000
+SAMPLE_PER_BUCKET = 64
 
 
-def _cols(order) -> list[Column]:
-    return [F.col(c) if isinstance(c, str) else c for c in order]
+def _spec(order) -> list[tuple[str, bool]]:
+    """Normalise an order list: ``"c"`` or ``("c", ascending)``."""
+    out = []
+    for o in order:
+        if isinstance(o, str):
+            out.append((o, True))
+        else:
+            out.append((o[0], bool(o[1])))
+    return out
 
 
-def _n_ranges(df: DataFrame, n: int | None) -> int:
-    if n:
-        return n
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+def _sort_cols(spec) -> list[Column]:
+    # Spark defaults: ascending = NULLS FIRST, descending = NULLS LAST
+    return [F.col(c).asc() if a else F.col(c).desc() for c, a in spec]
+
+
+def _cmp_values(x, y, asc: bool) -> int:
+    if x is None or y is None:
+        if x is None and y is None:
+            return 0
+        # asc: nulls first; desc: nulls last
+        return (-1 if x is None else 1) if asc else (1 if x is None else -1)
+    if x == y:
+        return 0
+    less = x < y
+    return (-1 if less else 1) if asc else (1 if less else -1)
+
+
+def _after(spec, types, bound) -> Column:
+    """Row comes strictly after ``bound`` under ``spec`` (lexicographic)."""
+    res = None
+    for (c, asc), b in reversed(list(zip(spec, bound))):
+        col = F.col(c)
+        lit = F.lit(b).cast(types[c]) if b is not None else None
+        if b is None:
+            gt = col.isNotNull() if asc else F.lit(False)
+            eq = col.isNull()
+        elif asc:
+            gt = F.coalesce(col > lit, F.lit(False))
+            eq = F.coalesce(col == lit, F.lit(False))
+        else:
+            gt = col.isNull() | F.coalesce(col < lit, F.lit(False))
+            eq = F.coalesce(col == lit, F.lit(False))
+        res = gt if res is None else (gt | (eq & res))
+    return res
+
+
+def bucketizer(df: DataFrame, order, n_buckets: int | None = None, seed: int = 17) -> Column:
+    """A bucket id that is a pure, order-preserving function of the sort key:
+    boundary keys come from a small sample (at most SAMPLE_PER_BUCKET rows
+    per bucket reach the driver) and each row finds its bucket by a binary
+    search written as nested CASE expressions."""
+    spec = _spec(order)
+    names = [c for c, _ in spec]
+    types = {f.name: f.dataType for f in df.schema.fields}
+    n = df.count()
+    if n_buckets is None:
+        base = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+        n_buckets = max(base, math.ceil(n / ROWS_PER_BUCKET))
+    n_buckets = max(1, min(MAX_BUCKETS, n_buckets))
+    if n == 0 or n_buckets == 1:
+        return F.lit(0)
+    frac = min(1.0, SAMPLE_PER_BUCKET * n_buckets / n)
+    sample = [tuple(r) for r in df.select(*names).sample(False, frac, seed).collect()]
+
+    def cmp(a, b):
+        for (_, asc), x, y in zip(spec, a, b):
+            r = _cmp_values(x, y, asc)
+            if r:
+                return r
+        return 0
+    sample.sort(key=functools.cmp_to_key(cmp))
+    bounds = []
+    for i in range(1, n_buckets):
+        b = sample[min(len(sample) - 1, (i * len(sample)) // n_buckets)] if sample else None
+        if b is not None and (not bounds or cmp(b, bounds[-1]) > 0):
+            bounds.append(b)
+    if not bounds:
+        return F.lit(0)
+
+    def tree(lo, hi):
+        # answer in [lo, hi]; answer >= mid  <=>  row after bounds[mid - 1]
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi + 1) // 2
+        return F.when(_after(spec, types, bounds[mid - 1]), tree(mid, hi)).otherwise(tree(lo, mid - 1))
+    return tree(0, len(bounds))
 
 
 # D1
-def global_rank(df: DataFrame, order, name: str = "rank", n_ranges: int | None = None) -> DataFrame:
-    """Add ``name`` = 1-based position of each row under ``order``.
-
-    ``order`` is a list of column names / sort expressions (``F.desc``...);
-    end it with a unique key for a reproducible result.
-    """
-    keys = _cols(order)
-    n = _n_ranges(df, n_ranges)
-    local = (df.repartitionByRange(n, *keys)
-               .sortWithinPartitions(*keys)
-               .withColumn("_rng", F.spark_partition_id())
-               .withColumn("_pos", F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW33)) + 1))
-    # one row per non-empty range: bounded by n, so broadcasting it is safe
-    sizes = local.groupBy("_rng").agg(F.count(F.lit(1)).alias("_cnt"))
-    before = Window.orderBy("_rng").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_rng", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
-    return (local.join(F.broadcast(offsets), "_rng")
+def global_rank(df: DataFrame, order, name: str = "rank", n_buckets: int | None = None) -> DataFrame:
+    """Add ``name`` = 1-based position of each row under ``order``
+    (``"c"`` or ``("c", ascending)`` items; end with a unique key for a
+    reproducible result). Rows are bucketed by key range, numbered within
+    their bucket (one shuffle on the bucket), and shifted by the sizes of
+    the preceding buckets (one row per bucket, broadcast)."""
+    spec = _spec(order)
+    b = df.withColumn("_bkt", bucketizer(df, spec, n_buckets))
+    within = Window.partitionBy("_bkt").orderBy(*_sort_cols(spec))
+    local = b.withColumn("_pos", F.row_number().over(within))
+    sizes = b.groupBy("_bkt").agg(F.count(F.lit(1)).alias("_cnt"))
+    before = Window.orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_bkt", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
+    # offsets hold one row per bucket (at most MAX_BUCKETS): safe to broadcast
+    return (local.join(F.broadcast(offsets), "_bkt")
                  .withColumn(name, F.col("_off") + F.col("_pos"))
-                 .drop("_rng", "_pos", "_off"))
+                 .drop("_bkt", "_pos", "_off"))
 
 
-def prefix_sums(df: DataFrame, order, values: list[str], n_ranges: int | None = None,
+def prefix_sums(df: DataFrame, order, values: list[str], n_buckets: int | None = None,
                 suffix: str = "_cum") -> DataFrame:
-    """Running totals of ``values`` under a total ``order`` (inclusive), at
-    scale: per-range running sums plus broadcast per-range offsets."""
-    keys = _cols(order)
-    n = _n_ranges(df, n_ranges)
-    ranged = df.repartitionByRange(n, *keys).withColumn("_rng", F.spark_partition_id())
-    within = Window.partitionBy("_rng").orderBy(*keys).rowsBetween(Window.unboundedPreceding, 0)
-    local = ranged.withColumns({f"{v}{suffix}": F.sum(v).over(within) for v in values})
-    sizes = ranged.groupBy("_rng").agg(*[F.sum(v).alias(f"_t_{v}") for v in values])
-    before = Window.orderBy("_rng").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_rng", *[F.coalesce(F.sum(f"_t_{v}").over(before), F.lit(0)).alias(f"_o_{v}")
+    """Inclusive running totals of ``values`` under a total ``order``:
+    per-bucket running sums plus broadcast per-bucket offsets."""
+    spec = _spec(order)
+    b = df.withColumn("_bkt", bucketizer(df, spec, n_buckets))
+    within = Window.partitionBy("_bkt").orderBy(*_sort_cols(spec)).rowsBetween(Window.unboundedPreceding, 0)
+    local = b.withColumns({f"{v}{suffix}": F.sum(v).over(within) for v in values})
+    sizes = b.groupBy("_bkt").agg(*[F.sum(v).alias(f"_t_{v}") for v in values])
+    before = Window.orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_bkt", *[F.coalesce(F.sum(f"_t_{v}").over(before), F.lit(0)).alias(f"_o_{v}")
                                      for v in values])
-    out = local.join(F.broadcast(offsets), "_rng")
+    out = local.join(F.broadcast(offsets), "_bkt")
     out = out.withColumns({f"{v}{suffix}": F.col(f"{v}{suffix}") + F.col(f"_o_{v}") for v in values})
-    return out.drop("_rng", *[f"_o_{v}" for v in values])
+    return out.drop("_bkt", *[f"_o_{v}" for v in values])
 
 
 # D2
@@ -130,11 +210,11 @@ def cumulative_share(df: DataFrame, value: str, order: list, thresholds=(0.90, 0
     """Running share of ``value`` under ``order`` plus, per threshold, the
     1-based index of the first row reaching it. For small frames (one row
     per feature / component / category)."""
-    w = Window.orderBy(*_cols(order)).rowsBetween(Window.unboundedPreceding, 0)
+    w = Window.orderBy(*_sort_cols(_spec(order))).rowsBetween(Window.unboundedPreceding, 0)
     total = df.agg(F.sum(value)).scalar()
     out = df.withColumn("share", F.col(value) / total)
     out = out.withColumn("cum_share", F.sum("share").over(w))
-    out = out.withColumn("idx", F.row_number().over(Window.orderBy(*_cols(order))))
+    out = out.withColumn("idx", F.row_number().over(Window.orderBy(*_sort_cols(_spec(order)))))
     for t in thresholds:
         first = out.agg(F.min(F.when(F.col("cum_share") >= F.lit(t), F.col("idx")))).scalar()
         out = out.withColumn(f"first_at_{int(round(t * 100))}", first)
@@ -153,11 +233,11 @@ def step_delta(df: DataFrame, value: str, step: str) -> DataFrame:
 
 
 def group_rank(df: DataFrame, by: list[str], order, name: str = "rank",
-               n_ranges: int | None = None) -> DataFrame:
+               n_buckets: int | None = None) -> DataFrame:
     """1-based position within each ``by`` group under ``order``, without a
-    window per group: one global rank over (by, order), minus the group's
-    first position (one row per group, broadcast)."""
-    ranked = global_rank(df, [*by, *order], name="_gr", n_ranges=n_ranges)
+    window per group (a hot group is spread over many buckets): one global
+    rank over (by, order), minus the group's first position."""
+    ranked = global_rank(df, [*by, *_spec(order)], name="_gr", n_buckets=n_buckets)
     starts = ranked.groupBy(*by).agg(F.min("_gr").alias("_gs"))
     return (ranked.join(F.broadcast(starts), by, "left")
                   .withColumn(name, F.col("_gr") - F.col("_gs") + 1)

@@ -38,7 +38,7 @@ def exact_quantiles(long: DataFrame, keys: list[str], qs=(0.25, 0.5, 0.75),
     """Exact linear-interpolated quantiles of ``value`` per ``keys`` group
     (pandas / numpy "linear" rule: position q*(n-1) between neighbours)."""
     data = long.filter(F.col(value).isNotNull() & ~F.isnan(F.col(value)))
-    ranked = group_rank(data, keys, [F.col(value)], name="_pos")
+    ranked = group_rank(data, keys, [value], name="_pos")
     counts = data.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     h = F.col("q") * (F.col("_n") - 1)
     targets = (counts.select(*keys, "_n", F.explode(F.array(*[F.lit(float(q)) for q in qs])).alias("q"))
@@ -214,7 +214,7 @@ def target_corr(df: DataFrame, cols: list[str], target: str = TARGET, alarm: flo
     wide = df.agg(*[F.corr(F.col(c).cast("double"), F.col(target).cast("double")).alias(c) for c in cols])
     rows = _rows(wide, [F.struct(F.lit(c).alias("feature"), F.abs(F.col(c)).alias("abs_corr")) for c in cols])
     rows = rows.withColumn("abs_corr", F.when(~F.isnan("abs_corr"), F.col("abs_corr")))
-    return (group_rank(rows.withColumn("_all", F.lit(1)), ["_all"], [F.desc_nulls_last("abs_corr"), F.asc("feature")],
+    return (group_rank(rows.withColumn("_all", F.lit(1)), ["_all"], [("abs_corr", False), "feature"],
                        name="rank").drop("_all")
             .withColumn("leakage_alarm", F.coalesce(F.col("abs_corr") > alarm, F.lit(False)).cast("int")))
 
@@ -226,7 +226,7 @@ def categorical_profile(df: DataFrame, cols: list[str], top: int = 3) -> DataFra
     long = melt(df, cols, cast="string").filter(F.col("value").isNotNull())
     counts = long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("count"))
     card = counts.groupBy("feature").agg(F.count(F.lit(1)).alias("n_unique"))
-    ranked = group_rank(counts, ["feature"], [F.desc("count"), F.asc("value")], name="rank")
+    ranked = group_rank(counts, ["feature"], [("count", False), "value"], name="rank")
     return ranked.filter(F.col("rank") <= top).join(card, "feature")
 
 

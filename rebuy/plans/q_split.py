@@ -85,7 +85,7 @@ _CS_D = ["share", "cum_share"]
 def q_cumulative_share(spark, sf):
     cats = (_frame(spark, sf).filter(F.col("product_category_main").isNotNull())
             .groupBy("product_category_main").agg(F.count(F.lit(1)).alias("n")))
-    return D.cumulative_share(cats, "n", [F.desc("n"), F.asc("product_category_main")])
+    return D.cumulative_share(cats, "n", [("n", False), "product_category_main"])
 
 
 @register("step_delta", build_sql(_S, f"""SELECT purchase_month, rate, delta,

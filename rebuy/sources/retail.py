@@ -216,3 +216,28 @@ def with_views(names, body: str) -> str:
     """
     ctes = ",\n".join(f"v_{n} AS (\n{VIEW_SQL[n]}\n)" for n in names)
     return f"WITH {ctes}\n{body}"
+
+
+def scored_orders(spark, sf_dir):
+    """Scored rows (model, split, id, y, p) for the metric operators: the
+    fixture label (urgent priority) and two seeded scorers over every order;
+    split by order status."""
+    o = read_table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    models = F.array(
+        F.struct(F.lit("score_a").alias("model"), (((k * 37) % 101).cast("double") / 101).alias("p")),
+        F.struct(F.lit("score_b").alias("model"), (((k * 53) % 97).cast("double") / 97).alias("p")))
+    return o.select(
+        k.alias("id"),
+        F.when(F.col("o_orderstatus") == "F", "val").otherwise("test").alias("split"),
+        F.when(F.col("o_orderpriority") == "1-URGENT", 1).otherwise(0).alias("y"),
+        F.explode(models).alias("_m"),
+    ).select(F.col("_m.model").alias("model"), "split", "id", "y", F.col("_m.p").alias("p"))
+
+
+VIEW_SQL["scored"] = """SELECT 'score_a' AS model, CASE WHEN o_orderstatus = 'F' THEN 'val' ELSE 'test' END AS split,
+  o_orderkey AS id, CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END AS y,
+  CAST((o_orderkey * 37) % 101 AS DOUBLE) / 101 AS p FROM orders
+UNION ALL
+SELECT 'score_b', CASE WHEN o_orderstatus = 'F' THEN 'val' ELSE 'test' END, o_orderkey,
+  CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END, CAST((o_orderkey * 53) % 97 AS DOUBLE) / 97 FROM orders"""
