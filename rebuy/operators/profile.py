@@ -190,22 +190,56 @@ def class_stats(df: DataFrame, cols: list[str], label: str = TARGET) -> DataFram
     return basic.join(med, ["feature", label])
 
 
+def pairwise_moments(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Pairwise-complete co-moments of ``cols`` (centred on the column means
+    for accuracy): per (a, b) the count of rows where both are present and
+    the sums of a, b, a², b², ab over those rows. Each partition reduces its
+    rows to k x k matrices with numpy; Spark sums the k² cells."""
+    import numpy as np
+    import pandas as pd
+
+    k = len(cols)
+    means = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(cols)]).first()
+    shift = np.array([0.0 if means[i] is None else float(means[i]) for i in range(k)])
+    data = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
+    ia, ib = np.meshgrid(np.arange(k), np.arange(k), indexing="ij")
+
+    def part(batches):
+        n = np.zeros((k, k)); sa = np.zeros((k, k)); saa = np.zeros((k, k)); sab = np.zeros((k, k))
+        for pdf in batches:
+            x = pdf.to_numpy(dtype="float64") - shift
+            m = (~np.isnan(x)).astype("float64")
+            x0 = np.where(m > 0, x, 0.0)
+            n += m.T @ m
+            sa += x0.T @ m
+            saa += (x0 * x0).T @ m
+            sab += x0.T @ x0
+        yield pd.DataFrame({"a": ia.ravel(), "b": ib.ravel(), "n": n.ravel(), "sa": sa.ravel(),
+                            "saa": saa.ravel(), "sab": sab.ravel()})
+    schema = "a long, b long, n double, sa double, saa double, sab double"
+    sums = data.mapInPandas(part, schema).groupBy("a", "b").agg(
+        *[F.sum(c).alias(c) for c in ("n", "sa", "saa", "sab")])
+    names = F.array(*[F.lit(c) for c in cols])
+    return sums.select(F.element_at(names, F.col("a").cast("int") + 1).alias("col_a"),
+                       F.element_at(names, F.col("b").cast("int") + 1).alias("col_b"), "a", "b",
+                       "n", "sa", "saa", "sab")
+
+
 # P8
 def corr_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Pearson correlations, pairwise complete, long form (a, b, r) with the
-    diagonal and both triangles. One aggregate."""
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    wide = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{i}") for i, (a, b) in enumerate(pairs)],
-                  *[F.stddev_pop(F.col(c).cast("double")).alias(f"sd_{j}") for j, c in enumerate(cols)])
-    structs = []
-    for i, (a, b) in enumerate(pairs):
-        r = F.col(f"{i}")
-        structs.append(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), r.alias("r")))
-        structs.append(F.struct(F.lit(b).alias("a"), F.lit(a).alias("b"), r.alias("r")))
-    for j, c in enumerate(cols):
-        structs.append(F.struct(F.lit(c).alias("a"), F.lit(c).alias("b"),
-                                F.when(F.col(f"sd_{j}") > 0, F.lit(1.0)).alias("r")))
-    return _rows(wide, structs)
+    """Pearson correlations, pairwise complete (rows where both columns are
+    present), long form (a, b, r) over all ordered pairs; NULL when a
+    column is constant over the shared rows."""
+    mo = pairwise_moments(df, cols)
+    t = mo.select(F.col("a").alias("b"), F.col("b").alias("a"), F.col("sa").alias("sb"), F.col("saa").alias("sbb"))
+    j = mo.join(t, ["a", "b"])
+    n = F.col("n")
+    cov = n * F.col("sab") - F.col("sa") * F.col("sb")
+    va = n * F.col("saa") - F.col("sa") * F.col("sa")
+    vb = n * F.col("sbb") - F.col("sb") * F.col("sb")
+    r = F.when((n > 1) & (va > 0) & (vb > 0), F.least(F.lit(1.0), F.greatest(F.lit(-1.0), cov / F.sqrt(va * vb))))
+    return j.select(F.col("col_a").alias("a"), F.col("col_b").alias("b"),
+                    F.when(F.col("a") == F.col("b"), F.when(va > 0, F.lit(1.0))).otherwise(r).alias("r"))
 
 
 # P9
