@@ -40,3 +40,239 @@ def blend_average(a: DataFrame, b: DataFrame, on: list[str], p: str = "p", name:
     """Mean of two scores for the same rows."""
     j = a.select(*on, F.col(p).alias("_pa")).join(b.select(*on, F.col(p).alias("_pb")), on)
     return j.select(*on, ((F.col("_pa") + F.col("_pb")) / 2).alias(name))
+
+
+# --- distributed estimators (M3–M16) ------------------------------------------
+# LR C = 1; forest 400 trees, depth 12, leaf 5; the two grid
+# searches; boosted folds 100 trees, step 0.1, depth 4, leaf 10; the network
+# layers 64-32.
+from pyspark.ml.classification import (GBTClassifier, LogisticRegression,  # noqa: E402
+                                       MultilayerPerceptronClassifier, RandomForestClassifier)
+from pyspark.ml.evaluation import BinaryClassificationEvaluator  # noqa: E402
+from pyspark.ml.feature import VectorAssembler  # noqa: E402
+from pyspark.ml.functions import vector_to_array  # noqa: E402
+from pyspark.ml.tuning import CrossValidator, ParamGridBuilder  # noqa: E402
+
+from . import encoders as E  # noqa: E402
+from .ordering import stratified_folds  # noqa: E402
+
+RF_GRID = {"numTrees": [200, 400], "maxDepth": [10, 20, 30], "minInstancesPerNode": [5, 10, 20]}
+GBT_GRID = {"maxIter": [200, 400], "maxDepth": [3, 5, 7], "stepSize": [0.05, 0.1],
+            "subsamplingRate": [0.8], "minInstancesPerNode": [10, 20]}
+
+
+def logistic(features: str = "features", weight: str | None = "weight", n_weight_sum: float | None = None,
+             C: float = 1.0, max_iter: int = 1000) -> LogisticRegression:
+    """sklearn-style L2 logistic regression: C * sum(w * loss) + |b|^2 / 2
+    equals Spark's objective with regParam = 1 / (C * sum(w))."""
+    reg = 1.0 / (C * n_weight_sum) if n_weight_sum else 0.0
+    lr = LogisticRegression(featuresCol=features, labelCol="label", regParam=reg, elasticNetParam=0.0,
+                            standardization=False, maxIter=max_iter, tol=1e-9)
+    if weight:
+        lr.setWeightCol(weight)
+    return lr
+
+
+def prepare(df: DataFrame, target: str = TARGET) -> DataFrame:
+    return df.withColumn("label", F.col(target).cast("double"))
+
+
+# M15
+def batch_score(model, df: DataFrame, name: str = "p", threshold: float | None = None) -> DataFrame:
+    """Positive-class probability per row (and ``>=`` threshold prediction)."""
+    out = model.transform(df).withColumn(name, vector_to_array("probability")[1])
+    if threshold is not None:
+        out = out.withColumn("prediction", (F.col(name) >= F.lit(float(threshold))).cast("int"))
+    return out.drop("rawPrediction", "probability")
+
+
+def _scored(df: DataFrame, model_name: str, id_col: str = "order_id", target: str = TARGET) -> DataFrame:
+    return df.select(F.lit(model_name).alias("model"), "split", F.col(id_col).alias("id"),
+                     F.col(target).alias("y"), "p")
+
+
+class TabularModel:
+    """Preprocessor (fit on train) + one Spark estimator."""
+
+    def __init__(self, name, numeric, categorical, estimator_fn, scale=True, categorical_mode="onehot",
+                 weighted=True, text: bool = False, tabular: bool = True):
+        self.name, self.numeric, self.categorical = name, numeric, categorical
+        self.estimator_fn, self.scale, self.mode = estimator_fn, scale, categorical_mode
+        self.weighted, self.text, self.tabular = weighted, text, tabular
+
+    def _features(self, df: DataFrame) -> DataFrame:
+        out = prepare(df)
+        cols = []
+        if self.tabular:
+            out = self.pre.transform(out)
+            cols.append("features")
+        if self.text:
+            out = E.tfidf_vectors(out, E.tfidf_weights(out, self.vocab), self.vocab_size)
+            cols.append("text_features")
+        return VectorAssembler(inputCols=cols, outputCol="all_features").transform(out)
+
+    def fit(self, train: DataFrame) -> "TabularModel":
+        if self.tabular:
+            self.pre = E.TabularPreprocessor(self.numeric, self.categorical, self.scale, self.mode).fit(train)
+        if self.text:
+            from ..session import checkpoint_dir
+            checkpoint_dir(train.sparkSession)
+            self.vocab = E.fit_tfidf(train).checkpoint(eager=True)
+            self.vocab_size = self.vocab.count()
+        data = self._features(train)
+        if self.weighted:
+            data = with_weights(data, TARGET, "weight")
+        self.n = data.count()
+        self.model = self.estimator_fn(self.n).setFeaturesCol("all_features").fit(data)
+        return self
+
+    def score(self, df: DataFrame) -> DataFrame:
+        return batch_score(self.model, self._features(df))
+
+
+def review_score_lr():
+    # M3
+    return TabularModel("review_score_lr", ["review_score", "text_present"], [],
+                        lambda n: logistic("all_features", "weight", n))
+
+
+def tabular_lr():
+    # M4
+    return TabularModel("tabular_lr", E.BASELINE_NUMERIC, E.BASELINE_CATEGORICAL,
+                        lambda n: logistic("all_features", "weight", n))
+
+
+def tabular_rf(num_trees=400, max_depth=12, min_leaf=5, seed=42):
+    # M5
+    return TabularModel("tabular_rf", E.BASELINE_NUMERIC, E.BASELINE_CATEGORICAL,
+                        lambda n: RandomForestClassifier(labelCol="label", weightCol="weight", numTrees=num_trees,
+                                                         maxDepth=max_depth, minInstancesPerNode=min_leaf,
+                                                         featureSubsetStrategy="sqrt", seed=seed),
+                        scale=False, categorical_mode="ordinal")
+
+
+def text_lr():
+    # M6
+    return TabularModel("text_tfidf_lr", [], [], lambda n: logistic("all_features", "weight", n),
+                        text=True, tabular=False)
+
+
+def combined_lr():
+    # M7
+    return TabularModel("combined_tfidf_lr", E.BASELINE_NUMERIC, E.BASELINE_CATEGORICAL,
+                        lambda n: logistic("all_features", "weight", n), text=True)
+
+
+# M8 / M9
+def grid_search(train: DataFrame, estimator, grid: dict, features: str = "all_features", folds: int = 3,
+                seed: int = 42, parallelism: int = 4):
+    """Exhaustive grid with stratified folds (D4) and ROC AUC; refit on all
+    training rows. Returns (best model, frame of mean AUC per combination)."""
+    b = ParamGridBuilder()
+    for k, vals in grid.items():
+        b = b.addGrid(estimator.getParam(k), vals)
+    maps = b.build()
+    from ..session import checkpoint_dir
+    checkpoint_dir(train.sparkSession)
+    data = stratified_folds(train, "label", folds, seed, "order_id", name="fold").checkpoint(eager=True)
+    cv = CrossValidator(estimator=estimator, estimatorParamMaps=maps, numFolds=folds, foldCol="fold",
+                        evaluator=BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC"),
+                        parallelism=parallelism, seed=seed)
+    cvm = cv.fit(data)
+    spark = train.sparkSession
+    rows = [tuple([str({p.name: v for p, v in m.items()}), float(s)]) for m, s in zip(maps, cvm.avgMetrics)]
+    return cvm.bestModel, spark.createDataFrame(rows, "params string, mean_roc_auc double")
+
+
+def rf_estimator():
+    return RandomForestClassifier(labelCol="label", weightCol="weight", featureSubsetStrategy="sqrt",
+                                  seed=42, featuresCol="all_features")
+
+
+def gbt_estimator():
+    return GBTClassifier(labelCol="label", weightCol="weight", seed=42, featuresCol="all_features")
+
+
+def pos_weighted(train: DataFrame, target: str = TARGET, name: str = "weight") -> DataFrame:
+    """Weight n_neg / n_pos on positives, 1 on negatives."""
+    cw = class_weights(train, target).select("pos_weight").limit(1)
+    pw = cw.agg(F.first("pos_weight")).scalar()
+    return train.withColumn(name, F.when(F.col(target) == 1, pw).otherwise(F.lit(1.0)))
+
+
+# M10
+def boosted_oof(train: DataFrame, others: DataFrame, features: str = "all_features", k: int = 5, seed: int = 42,
+                max_iter: int = 100, step: float = 0.1, depth: int = 4, min_leaf: int = 10):
+    """k-fold out-of-fold scores for train rows, fold-averaged scores for
+    ``others``. Returns (train with 'oof', others with 'oof')."""
+    from ..session import checkpoint_dir
+    checkpoint_dir(train.sparkSession)
+    # fold ids are a global rank: write them once instead of once per fold
+    data = stratified_folds(pos_weighted(train), "label", k, seed, "order_id", name="fold").checkpoint(eager=True)
+    oof_parts, avg_parts = [], []
+    for f in range(k):
+        gbt = GBTClassifier(labelCol="label", featuresCol=features, weightCol="weight", maxIter=max_iter,
+                            stepSize=step, maxDepth=depth, minInstancesPerNode=min_leaf, seed=seed)
+        m = gbt.fit(data.filter(F.col("fold") != f))
+        oof_parts.append(batch_score(m, data.filter(F.col("fold") == f), "oof").select("order_id", "oof"))
+        avg_parts.append(batch_score(m, others, "oof").select("order_id", "oof"))
+    from functools import reduce
+    oof = reduce(lambda a, b: a.unionByName(b), oof_parts)
+    avg = reduce(lambda a, b: a.unionByName(b), avg_parts).groupBy("order_id").agg(F.avg("oof").alias("oof"))
+    return (train.join(oof, "order_id").checkpoint(eager=True),
+            others.join(avg, "order_id").checkpoint(eager=True))
+
+
+# M11
+def guided_features(df: DataFrame, features: str = "all_features", extra: str = "oof",
+                    out: str = "guided_features") -> DataFrame:
+    return VectorAssembler(inputCols=[features, extra], outputCol=out).transform(df)
+
+
+# M12
+def stacked_meta(fit_on: DataFrame, p1: str, p2: str, label: str = "label"):
+    """LR (C=1, unweighted) on [p1, p2, p1*p2, |p1-p2|]; returns a scoring
+    function."""
+    def feats(df):
+        d = df.withColumns({"_x1": F.col(p1) * F.col(p2), "_x2": F.abs(F.col(p1) - F.col(p2))})
+        return VectorAssembler(inputCols=[p1, p2, "_x1", "_x2"], outputCol="_meta").transform(d)
+    n = fit_on.count()
+    m = logistic("_meta", None, n).setLabelCol(label).fit(feats(fit_on))
+    return lambda df: batch_score(m, feats(df)).drop("_x1", "_x2", "_meta")
+
+
+# M14
+def mlp_classifier(train: DataFrame, features: str = "all_features", layers=(64, 32), max_iter: int = 200,
+                   seed: int = 42):
+    """Multilayer network; class balance by replicating each positive
+    round(n_neg / n_pos) times (the estimator has no weight column)."""
+    pw = class_weights(train, "label").agg(F.first("pos_weight")).scalar()
+    rep = F.when(F.col("label") == 1, F.greatest(F.round(pw).cast("int"), F.lit(1))).otherwise(F.lit(1))
+    data = train.withColumn("_rep", F.explode(F.sequence(F.lit(1), rep))).drop("_rep")
+    d = len(train.select(features).first()[0])
+    mlp = MultilayerPerceptronClassifier(featuresCol=features, labelCol="label", layers=[d, *layers, 2],
+                                         maxIter=max_iter, seed=seed)
+    return mlp.fit(data)
+
+
+LADDER_MODELS = [review_score_lr, tabular_lr, tabular_rf, text_lr, combined_lr]
+
+
+# M16
+def model_ladder(splits: DataFrame, models=None, store: str | None = None) -> DataFrame:
+    """Fit the dummy prior and each model on train, score val and test,
+    choose each model's threshold on val, and return the metric rows."""
+    from .metrics import best_threshold, compute_metrics
+    from .quality import union_metrics
+    train = splits.filter(F.col("split") == "train")
+    held = splits.filter(F.col("split") != "train")
+    scored = [_scored(dummy_prior(train, held, TARGET, "p"), "dummy_prior")]
+    for mk in (models or LADDER_MODELS):
+        tm = mk().fit(train)
+        if store:
+            from ..sources.io import save_model
+            save_model(tm.model, f"{store}/{tm.name}")
+        scored.append(_scored(tm.score(held), tm.name))
+    s = union_metrics(*scored)
+    thr = best_threshold(s.filter(F.col("split") == "val"), ["model"])
+    return compute_metrics(s, ["model", "split"], threshold=thr)

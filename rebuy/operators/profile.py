@@ -297,3 +297,43 @@ def welch_ttest(df: DataFrame, cols: list[str], target: str = TARGET, alpha: flo
         rows = rows.withColumn("p_value", t_pvalue("t_stat", "dof")).withColumn(
             "significant", F.coalesce(F.col("p_value") < alpha, F.lit(False)).cast("int"))
     return rows
+
+
+# P12
+def pca_scree(df: DataFrame, cols: list[str], k: int | None = None):
+    """PCA of the standardised columns (nulls -> 0). Returns (scree frame
+    with explained share, cumulative share and the component counts that
+    reach 90 % / 95 %, fitted PCA model). The covariance is k x k."""
+    from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
+
+    from .ordering import cumulative_share
+    data = df.select(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in cols])
+    vec = VectorAssembler(inputCols=cols, outputCol="_v").transform(data)
+    scaled = StandardScaler(inputCol="_v", outputCol="_s", withMean=True, withStd=True).fit(vec).transform(vec)
+    model = PCA(k=k or len(cols), inputCol="_s", outputCol="_pc").fit(scaled)
+    spark = df.sparkSession
+    ev = [float(x) for x in model.explainedVariance.toArray()]
+    comps = spark.createDataFrame([(i + 1, v) for i, v in enumerate(ev)], "component int, explained double")
+    return cumulative_share(comps, "explained", ["component"]), model
+
+
+# P13
+def pca_loadings(model, cols: list[str], top: int = 10, n_pc: int = 3) -> DataFrame:
+    """Loadings of the first components per feature (each component's sign
+    fixed so its largest |loading| is positive), the ``top`` features by
+    |PC1|."""
+    from pyspark.sql import SparkSession
+    spark = SparkSession.getActiveSession()
+    import numpy as np
+    pc = np.array(model.pc.toArray())
+    n_pc = min(n_pc, pc.shape[1])
+    rows = []
+    for j in range(n_pc):
+        col = pc[:, j]
+        sign = 1.0 if col[abs(col).argmax()] >= 0 else -1.0
+        pc[:, j] = col * sign
+    for i, c in enumerate(cols):
+        rows.append((c, *[float(pc[i, j]) for j in range(n_pc)]))
+    names = [f"pc{j + 1}" for j in range(n_pc)]
+    df = spark.createDataFrame(rows, ", ".join(["feature string"] + [f"{n} double" for n in names]))
+    return df.withColumn("abs_pc1", F.abs("pc1")).orderBy(F.desc("abs_pc1"), "feature").limit(top)

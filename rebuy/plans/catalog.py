@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import q_encode, q_frame, q_metrics, q_profile, q_split  # noqa: F401
+from . import q_encode, q_frame, q_metrics, q_models, q_profile, q_split  # noqa: F401
 from .registry import REGISTRY
 
 
