@@ -135,7 +135,11 @@ def derive_row_features(df: DataFrame) -> DataFrame:
 
 # B16
 def model_frame(tables: dict, cohort: DataFrame) -> DataFrame:
-    """The 46-column order-level table, one row per cohort member."""
+    """The 46-column order-level table, one row per cohort member. The
+    cohort is read three times (frame, item and payment semi-joins), so it
+    is written once first."""
+    from ..session import materialize
+    cohort = materialize(cohort)
     products = category_translate(tables["products"], tables["category_translation"])
     items = cohort_semi_join(tables["order_items"], cohort)
     items = item_enrich(items, products, tables["sellers"])

@@ -132,15 +132,18 @@ def repeat_label(df: DataFrame, window_days: int = 180,
 
 
 # B11
-def first_order_cohort(tables: dict, window_days: int = 180) -> DataFrame:
+def first_order_cohort(tables: dict, window_days: int = 180, materialize_first: bool = True) -> DataFrame:
     """One row per person: the first delivered order, its review, score time
     and the forward-looking label."""
     delivered = delivered_orders(tables["orders"])
-    d = orders_customers(delivered, tables["customers"])
-    d = orders_reviews(d, tables["order_reviews"])
-    d = score_time(d)
+    dc = orders_customers(delivered, tables["customers"])
+    d = score_time(orders_reviews(dc, tables["order_reviews"]))
     first = first_order_per_customer(d)
     first = eligible_filter(first, dataset_end(delivered), window_days)
-    first = next_purchase_after(first, d)
+    if materialize_first:
+        # one row per person, read twice by the next-purchase join
+        from ..session import materialize
+        first = materialize(first)
+    first = next_purchase_after(first, dc)  # purchases need no review columns
     name = f"target_repeat_within_{window_days}d"
     return repeat_label(first, window_days, name)

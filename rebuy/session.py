@@ -62,3 +62,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def shared_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for written tables."""
     return os.path.join(checkpoint_dir(spark), name)
+
+
+def materialize(df):
+    """Write ``df`` to the shared checkpoint folder and continue from it
+    (cuts lineage; survives lost executors). Used where one result feeds
+    several branches of a plan."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
