@@ -122,6 +122,7 @@ class TabularModel:
         data = self._features(train)
         if self.weighted:
             data = with_weights(data, TARGET, "weight")
+        data = sized_for_training(data)
         self.n = data.count()
         self.model = self.estimator_fn(self.n).setFeaturesCol("all_features").fit(data)
         return self
@@ -163,6 +164,20 @@ def combined_lr():
                         lambda n: logistic("all_features", "weight", n), text=True)
 
 
+ROWS_PER_TRAIN_PARTITION = 1_000_000
+
+
+def sized_for_training(df: DataFrame) -> DataFrame:
+    """About one partition per million rows (at least one, at most the
+    default parallelism): iterative learners run several jobs per round,
+    and tiny partitions only add scheduling overhead."""
+    import math
+    n = df.count()
+    par = df.sparkSession.sparkContext.defaultParallelism
+    k = max(1, min(par, math.ceil(n / ROWS_PER_TRAIN_PARTITION)))
+    return df.repartition(k) if k != df.rdd.getNumPartitions() else df
+
+
 # M8 / M9
 def grid_search(train: DataFrame, estimator, grid: dict, features: str = "all_features", folds: int = 3,
                 seed: int = 42, parallelism: int = 4):
@@ -174,7 +189,7 @@ def grid_search(train: DataFrame, estimator, grid: dict, features: str = "all_fe
     maps = b.build()
     from ..session import checkpoint_dir
     checkpoint_dir(train.sparkSession)
-    data = stratified_folds(train, "label", folds, seed, "order_id", name="fold").checkpoint(eager=True)
+    data = sized_for_training(stratified_folds(train, "label", folds, seed, "order_id", name="fold")).checkpoint(eager=True)
     cv = CrossValidator(estimator=estimator, estimatorParamMaps=maps, numFolds=folds, foldCol="fold",
                         evaluator=BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC"),
                         parallelism=parallelism, seed=seed)
@@ -208,7 +223,8 @@ def boosted_oof(train: DataFrame, others: DataFrame, features: str = "all_featur
     from ..session import checkpoint_dir
     checkpoint_dir(train.sparkSession)
     # fold ids are a global rank: write them once instead of once per fold
-    data = stratified_folds(pos_weighted(train), "label", k, seed, "order_id", name="fold").checkpoint(eager=True)
+    data = sized_for_training(stratified_folds(pos_weighted(train), "label", k, seed, "order_id",
+                                               name="fold")).checkpoint(eager=True)
     oof_parts, avg_parts = [], []
     for f in range(k):
         gbt = GBTClassifier(labelCol="label", featuresCol=features, weightCol="weight", maxIter=max_iter,
@@ -248,7 +264,7 @@ def mlp_classifier(train: DataFrame, features: str = "all_features", layers=(64,
     round(n_neg / n_pos) times (the estimator has no weight column)."""
     pw = class_weights(train, "label").agg(F.first("pos_weight")).scalar()
     rep = F.when(F.col("label") == 1, F.greatest(F.round(pw).cast("int"), F.lit(1))).otherwise(F.lit(1))
-    data = train.withColumn("_rep", F.explode(F.sequence(F.lit(1), rep))).drop("_rep")
+    data = sized_for_training(train.withColumn("_rep", F.explode(F.sequence(F.lit(1), rep))).drop("_rep"))
     d = len(train.select(features).first()[0])
     mlp = MultilayerPerceptronClassifier(featuresCol=features, labelCol="label", layers=[d, *layers, 2],
                                          maxIter=max_iter, seed=seed)
