@@ -58,7 +58,7 @@ def report_source(spark: SparkSession, path: str, fmt: str = "csv", nested: bool
         return spark.read.option("header", True).option("inferSchema", True).csv(path)
     if not nested:
         return spark.read.json(path)
-    raw = spark.read.option("wholetext", True).text(path)
+    raw = spark.read.text(path, wholetext=True)
     m = F.from_json("value", T.MapType(T.StringType(), T.MapType(T.StringType(), T.DoubleType())))
     return (raw.select(F.explode(m).alias(key_name, "_m"))
                .select(key_name, F.explode("_m").alias("metric", "value")))
