@@ -52,11 +52,20 @@ def item_enrich(items: DataFrame, products: DataFrame, sellers: DataFrame) -> Da
     return out.withColumn("package_volume_cm3", dims[0] * dims[1] * dims[2])
 
 
+MONEY = "decimal(38,6)"
+
+
+def money_sum(c: str) -> Column:
+    """Exact sum of a money column (micro-units), 0 for a group of NULLs:
+    the result does not depend on how rows are partitioned."""
+    return F.coalesce(F.sum(F.col(c).cast(MONEY)).cast("double"), F.lit(0.0))
+
+
 # G1
 def item_agg(items: DataFrame) -> DataFrame:
     return (items.filter(F.col("order_id").isNotNull()).groupBy("order_id").agg(
-        F.coalesce(F.sum("price"), F.lit(0.0)).alias("total_price"),
-        F.coalesce(F.sum("freight_value"), F.lit(0.0)).alias("total_freight"),
+        money_sum("price").alias("total_price"),
+        money_sum("freight_value").alias("total_freight"),
         F.count("order_item_id").alias("item_count"),
         F.countDistinct("seller_id").alias("seller_count"),
         F.countDistinct("product_id").alias("product_count"),
@@ -72,7 +81,7 @@ def item_agg(items: DataFrame) -> DataFrame:
 # G2
 def payment_agg(payments: DataFrame) -> DataFrame:
     return (payments.filter(F.col("order_id").isNotNull()).groupBy("order_id").agg(
-        F.coalesce(F.sum("payment_value"), F.lit(0.0)).alias("payment_value_total"),
+        money_sum("payment_value").alias("payment_value_total"),
         F.max("payment_installments").alias("payment_installments_max"),
         F.count("payment_sequential").alias("payment_records"),
         F.countDistinct("payment_type").alias("payment_type_nunique"),

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MAX_BUCKETS = 1024
-ROWS_PER_BUCKET = 2_000_000
+ROWS_PER_BUCKET = 1_000_000
 SAMPLE_PER_BUCKET = 64
 
 
@@ -78,8 +78,8 @@ def bucketizer(df: DataFrame, order, n_buckets: int | None = None, seed: int = 1
     types = {f.name: f.dataType for f in df.schema.fields}
     n = df.count()
     if n_buckets is None:
-        base = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-        n_buckets = max(base, math.ceil(n / ROWS_PER_BUCKET))
+        # about a million rows per bucket: one sorted window task each
+        n_buckets = math.ceil(n / ROWS_PER_BUCKET)
     n_buckets = max(1, min(MAX_BUCKETS, n_buckets))
     if n == 0 or n_buckets == 1:
         return F.lit(0)

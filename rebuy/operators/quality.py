@@ -56,16 +56,20 @@ def temporal_order(df: DataFrame, time_col: str = "score_time", split: str = "sp
 
 # Q5
 def metric_range_gate(metrics: DataFrame, n_models: int = 6) -> DataFrame:
-    """Each [0,1] metric in range (NULL fails), lift >= 0, model count."""
-    rows = []
-    for c in ["pr_auc", "roc_auc", "precision_at_k", "f1", "precision", "recall", "brier"]:
-        bad = F.count(F.when(~F.coalesce(F.col(c).between(0, 1), F.lit(False)), 1))
-        rows.append(_row(metrics, f"{c}_in_unit_range", bad == 0, bad))
-    bad = F.count(F.when(~F.coalesce(F.col("lift_at_k") >= 0, F.lit(False)), 1))
-    rows.append(_row(metrics, "lift_non_negative", bad == 0, bad))
-    nm = F.countDistinct("model")
-    rows.append(_row(metrics, "model_count", nm == n_models, nm))
-    return union_metrics(*rows)
+    """Each [0,1] metric in range (NULL fails), lift >= 0, model count. One
+    aggregate over the metric table, turned into rows."""
+    unit = ["pr_auc", "roc_auc", "precision_at_k", "f1", "precision", "recall", "brier"]
+    aggs = [F.count(F.when(~F.coalesce(F.col(c).between(0, 1), F.lit(False)), 1)).alias(c) for c in unit]
+    aggs += [F.count(F.when(~F.coalesce(F.col("lift_at_k") >= 0, F.lit(False)), 1)).alias("lift"),
+             F.countDistinct("model").alias("models")]
+    wide = metrics.agg(*aggs)
+    rows = [F.struct(F.lit(f"{c}_in_unit_range").alias("check"), (F.col(c) == 0).cast("int").alias("passed"),
+                     F.col(c).cast("double").alias("detail")) for c in unit]
+    rows += [F.struct(F.lit("lift_non_negative").alias("check"), (F.col("lift") == 0).cast("int").alias("passed"),
+                      F.col("lift").cast("double").alias("detail")),
+             F.struct(F.lit("model_count").alias("check"), (F.col("models") == n_models).cast("int").alias("passed"),
+                      F.col("models").cast("double").alias("detail"))]
+    return wide.select(F.inline(F.array(*rows)))
 
 
 # Q6

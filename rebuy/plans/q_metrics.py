@@ -96,8 +96,11 @@ def _scored(spark, sf):
 
 
 def ladder(scored, by=BY):
+    """Metric table with each model's threshold chosen on val; written once
+    (a handful of rows) because the report queries read it several times."""
+    from ..session import materialize
     thr = K.best_threshold(scored.filter(F.col("split") == "val"), ["model"])
-    return K.compute_metrics(scored, by, threshold=thr)
+    return materialize(K.compute_metrics(scored, by, threshold=thr))
 
 
 @register("average_precision", build_sql(_MC, "SELECT model, split, pr_auc AS average_precision FROM m_ap",

@@ -88,7 +88,8 @@ LEFT JOIN v_category_translation t ON p.product_category_name = t.product_catego
 LEFT JOIN v_sellers s ON i.seller_id = s.seller_id
 WHERE i.order_id IN (SELECT order_id FROM cohort)"""),
         ("pays", "SELECT * FROM v_order_payments WHERE order_id IN (SELECT order_id FROM cohort)"),
-        ("ia", """SELECT order_id, coalesce(sum(price), 0) AS total_price, coalesce(sum(freight_value), 0) AS total_freight,
+        ("ia", """SELECT order_id, coalesce(CAST(sum(CAST(price AS DECIMAL(38,6))) AS DOUBLE), 0) AS total_price,
+  coalesce(CAST(sum(CAST(freight_value AS DECIMAL(38,6))) AS DOUBLE), 0) AS total_freight,
   count(order_item_id) AS item_count, count(DISTINCT seller_id) AS seller_count,
   count(DISTINCT product_id) AS product_count, avg(product_weight_g) AS product_weight_g_mean,
   avg(package_volume_cm3) AS package_volume_cm3_mean, avg(product_photos_qty) AS product_photos_qty_mean,
@@ -96,7 +97,7 @@ WHERE i.order_id IN (SELECT order_id FROM cohort)"""),
 FROM items WHERE order_id IS NOT NULL GROUP BY order_id"""),
         _mode_cte("cat_mode", "items", "product_category_name_en", "product_category_main"),
         _mode_cte("sel_mode", "items", "seller_state", "seller_state_mode"),
-        ("pa", """SELECT order_id, coalesce(sum(payment_value), 0) AS payment_value_total,
+        ("pa", """SELECT order_id, coalesce(CAST(sum(CAST(payment_value AS DECIMAL(38,6))) AS DOUBLE), 0) AS payment_value_total,
   max(payment_installments) AS payment_installments_max, count(payment_sequential) AS payment_records,
   count(DISTINCT payment_type) AS payment_type_nunique
 FROM pays WHERE order_id IS NOT NULL GROUP BY order_id"""),
