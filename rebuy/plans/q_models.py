@@ -115,12 +115,24 @@ def _hybrid_inputs(spark, sf):
     return data.filter(F.col("split") == "train"), data.filter(F.col("split") != "train")
 
 
+_OOF: dict = {}
+
+
+def _oof(spark, sf):
+    """Out-of-fold scores, fitted once per session and data folder (both
+    frames are checkpoints) and shared by the hybrid queries."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _OOF:
+        tr, held = _hybrid_inputs(spark, sf)
+        _OOF[key] = (tr,) + M.boosted_oof(tr, held)
+    return _OOF[key]
+
+
 @register("boosted_oof")
 def q_oof(spark, sf):
     """5-fold out-of-fold boosted scores on train, fold-averaged on val and
     test; average precision per split."""
-    tr, held = _hybrid_inputs(spark, sf)
-    a, b = M.boosted_oof(tr, held)
+    _, a, b = _oof(spark, sf)
     scored = a.select("split", F.col("label").alias("y"), F.col("oof").alias("p")).unionByName(
         b.select("split", F.col("label").alias("y"), F.col("oof").alias("p")))
     return K.average_precision(scored, ["split"])
@@ -130,8 +142,7 @@ def q_oof(spark, sf):
 def q_guided(spark, sf):
     """Out-of-fold score appended as a feature; a weighted LR on the guided
     vector, scored on val and test."""
-    tr, held = _hybrid_inputs(spark, sf)
-    a, b = M.boosted_oof(tr, held)
+    _, a, b = _oof(spark, sf)
     a, b = M.guided_features(a), M.guided_features(b)
     aw = M.with_weights(a, "label")
     lr = M.logistic("guided_features", "weight", aw.count()).fit(aw)
@@ -144,8 +155,7 @@ def q_guided(spark, sf):
 def q_stacked(spark, sf):
     """Meta LR on [p1, p2, p1*p2, |p1-p2|] of a boosted and a network model,
     fit on val, scored on val and test."""
-    tr, held = _hybrid_inputs(spark, sf)
-    a, b = M.boosted_oof(tr, held)
+    tr, a, b = _oof(spark, sf)
     mlp = M.mlp_classifier(tr)
     b = M.batch_score(mlp, b, "p_mlp").withColumnRenamed("oof", "p_gbt").drop("prediction")
     meta = M.stacked_meta(b.filter(F.col("split") == "val"), "p_gbt", "p_mlp")
