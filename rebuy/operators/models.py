@@ -67,7 +67,7 @@ def logistic(features: str = "features", weight: str | None = "weight", n_weight
     equals Spark's objective with regParam = 1 / (C * sum(w))."""
     reg = 1.0 / (C * n_weight_sum) if n_weight_sum else 0.0
     lr = LogisticRegression(featuresCol=features, labelCol="label", regParam=reg, elasticNetParam=0.0,
-                            standardization=False, maxIter=max_iter, tol=1e-9)
+                            standardization=False, maxIter=max_iter, tol=1e-6)
     if weight:
         lr.setWeightCol(weight)
     return lr
@@ -122,7 +122,8 @@ class TabularModel:
         data = self._features(train)
         if self.weighted:
             data = with_weights(data, TARGET, "weight")
-        data = sized_for_training(data)
+        est = self.estimator_fn(None)
+        data = sized_for_training(data, wide=isinstance(est, RandomForestClassifier))
         self.n = data.count()
         self.model = self.estimator_fn(self.n).setFeaturesCol("all_features").fit(data)
         return self
@@ -148,7 +149,8 @@ def tabular_rf(num_trees=400, max_depth=12, min_leaf=5, seed=42):
     return TabularModel("tabular_rf", E.BASELINE_NUMERIC, E.BASELINE_CATEGORICAL,
                         lambda n: RandomForestClassifier(labelCol="label", weightCol="weight", numTrees=num_trees,
                                                          maxDepth=max_depth, minInstancesPerNode=min_leaf,
-                                                         featureSubsetStrategy="sqrt", seed=seed),
+                                                         featureSubsetStrategy="sqrt", seed=seed,
+                                                         maxMemoryInMB=1024, cacheNodeIds=True),
                         scale=False, categorical_mode="ordinal")
 
 
@@ -167,14 +169,17 @@ def combined_lr():
 ROWS_PER_TRAIN_PARTITION = 1_000_000
 
 
-def sized_for_training(df: DataFrame) -> DataFrame:
-    """About one partition per million rows (at least one, at most the
-    default parallelism): iterative learners run several jobs per round,
-    and tiny partitions only add scheduling overhead."""
+def sized_for_training(df: DataFrame, wide: bool = False) -> DataFrame:
+    """Partitions sized for an iterative learner. Boosting and LBFGS run
+    several small jobs per round, so about one partition per million rows
+    (tiny partitions only add scheduling); a forest does much work per pass
+    (``wide=True``) and gets at least one partition per core."""
     import math
     n = df.count()
     par = df.sparkSession.sparkContext.defaultParallelism
     k = max(1, min(par, math.ceil(n / ROWS_PER_TRAIN_PARTITION)))
+    if wide:
+        k = max(k, par)
     return df.repartition(k) if k != df.rdd.getNumPartitions() else df
 
 
@@ -201,7 +206,7 @@ def grid_search(train: DataFrame, estimator, grid: dict, features: str = "all_fe
 
 def rf_estimator():
     return RandomForestClassifier(labelCol="label", weightCol="weight", featureSubsetStrategy="sqrt",
-                                  seed=42, featuresCol="all_features")
+                                  seed=42, featuresCol="all_features", maxMemoryInMB=1024, cacheNodeIds=True)
 
 
 def gbt_estimator():
