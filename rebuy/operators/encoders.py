@@ -94,8 +94,9 @@ def fit_ordinal(train: DataFrame, col: str) -> DataFrame:
 def ordinal_encode(df: DataFrame, col: str, codes: DataFrame, unknown: int = -1,
                    name: str | None = None) -> DataFrame:
     """Code of the value; values unseen in train (and NULL) -> ``unknown``."""
+    # one row per train category: AQE broadcasts it when it is small
     c = codes.select(F.col("value").alias("_v"), F.col("code").alias("_code"))
-    out = df.join(F.broadcast(c), F.col(col).cast("string") == F.col("_v"), "left")
+    out = df.join(c, F.col(col).cast("string") == F.col("_v"), "left")
     return out.withColumn(name or f"{col}_code", F.coalesce(F.col("_code"), F.lit(unknown)).cast("int")) \
               .drop("_v", "_code")
 
@@ -114,7 +115,7 @@ def fit_target_encoding(train: DataFrame, col: str, target: str = TARGET, smooth
 def target_encode(df: DataFrame, col: str, enc: DataFrame, name: str | None = None) -> DataFrame:
     e = enc.select(F.col("value").alias("_v"), F.col("encoding").alias("_e"), F.col("global_mean").alias("_gm"))
     gm = e.agg(F.first("_gm")).scalar()
-    out = df.join(F.broadcast(e.drop("_gm")), F.col(col).cast("string") == F.col("_v"), "left")
+    out = df.join(e.drop("_gm"), F.col(col).cast("string") == F.col("_v"), "left")
     return out.withColumn(name or f"{col}_target_enc", F.coalesce(F.col("_e"), gm)).drop("_v", "_e")
 
 

@@ -238,7 +238,9 @@ def group_rank(df: DataFrame, by: list[str], order, name: str = "rank",
     window per group (a hot group is spread over many buckets): one global
     rank over (by, order), minus the group's first position."""
     ranked = global_rank(df, [*by, *_spec(order)], name="_gr", n_buckets=n_buckets)
+    # one row per group; the number of groups is not bounded here, so the
+    # join strategy is left to AQE
     starts = ranked.groupBy(*by).agg(F.min("_gr").alias("_gs"))
-    return (ranked.join(F.broadcast(starts), by, "left")
+    return (ranked.join(starts, by, "left")
                   .withColumn(name, F.col("_gr") - F.col("_gs") + 1)
                   .drop("_gr", "_gs"))

@@ -34,10 +34,18 @@ def _rows(one_row: DataFrame, structs: list[Column]) -> DataFrame:
 
 
 def exact_quantiles(long: DataFrame, keys: list[str], qs=(0.25, 0.5, 0.75),
-                    value: str = "value") -> DataFrame:
+                    value: str = "value", approx: bool = False, accuracy: int = 10000) -> DataFrame:
     """Exact linear-interpolated quantiles of ``value`` per ``keys`` group
-    (pandas / numpy "linear" rule: position q*(n-1) between neighbours)."""
+    (pandas / numpy "linear" rule: position q*(n-1) between neighbours).
+    ``approx=True`` opts into ``percentile_approx`` (one aggregate, relative
+    rank error 1/accuracy) for very large groups where exactness is not
+    needed."""
     data = long.filter(F.col(value).isNotNull() & ~F.isnan(F.col(value)))
+    if approx:
+        arr = F.percentile_approx(value, [float(q) for q in qs], accuracy)
+        per = data.groupBy(*keys).agg(arr.alias("_qs"))
+        pairs = F.arrays_zip(F.array(*[F.lit(float(q)) for q in qs]).alias("q"), F.col("_qs").alias("quantile"))
+        return per.select(*keys, F.explode(pairs).alias("_p")).select(*keys, "_p.q", "_p.quantile")
     ranked = group_rank(data, keys, [value], name="_pos")
     counts = data.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     h = F.col("q") * (F.col("_n") - 1)
@@ -52,9 +60,10 @@ def exact_quantiles(long: DataFrame, keys: list[str], qs=(0.25, 0.5, 0.75),
     return out.select(*keys, "q", (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac")).alias("quantile"))
 
 
-def quantile_columns(long: DataFrame, keys: list[str], qs: dict[str, float], value: str = "value") -> DataFrame:
+def quantile_columns(long: DataFrame, keys: list[str], qs: dict[str, float], value: str = "value",
+                     approx: bool = False) -> DataFrame:
     """Quantiles as named columns (e.g. {'q1': .25, 'q3': .75}) per group."""
-    qd = exact_quantiles(long, keys, tuple(qs.values()), value)
+    qd = exact_quantiles(long, keys, tuple(qs.values()), value, approx=approx)
     return qd.groupBy(*keys).agg(*[F.max(F.when(F.col("q") == float(q), F.col("quantile"))).alias(n)
                                    for n, q in qs.items()])
 

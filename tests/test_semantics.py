@@ -183,3 +183,11 @@ def test_calibration_bins_right_closed(spark):
     df = spark.createDataFrame([(1, 1, 0.1), (2, 0, 0.1000001), (3, 1, 1.0)], "id long, y int, p double")
     got = sorted((r.bin, r.n) for r in K.calibration_curve(df).collect())
     assert got == [(0, 1), (1, 1), (9, 1)]
+
+
+def test_approx_quantiles_close_to_exact(spark):
+    vals = [float((i * 7919) % 1009) for i in range(5000)]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    ex = P.quantile_columns(P.melt(df, ["x"]), ["feature"], {"med": 0.5}).collect()[0].med
+    ap = P.quantile_columns(P.melt(df, ["x"]), ["feature"], {"med": 0.5}, approx=True).collect()[0].med
+    assert abs(ex - ap) <= 2.0
