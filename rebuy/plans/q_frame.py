@@ -223,7 +223,9 @@ def q_feature_join(spark, sf):
 
 @register("model_frame", build_sql(_M, "SELECT * FROM mf", MF_DOUBLES), doubles=MF_DOUBLES)
 def q_model_frame(spark, sf):
-    return _frame_plan(spark, sf)
+    """The 46-column model frame built from the raw tables and written to
+    the checkpoint folder; later analytics in the session read that copy."""
+    return _frame(spark, sf)
 
 
 # Column functions, shown on the model frame --------------------------
