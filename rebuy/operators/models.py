@@ -294,6 +294,7 @@ def model_ladder(splits: DataFrame, models=None, store: str | None = None) -> Da
             from ..sources.io import save_model
             save_model(tm.model, f"{store}/{tm.name}")
         scored.append(_scored(tm.score(held), tm.name))
-    s = union_metrics(*scored)
+    from ..session import materialize
+    s = materialize(union_metrics(*scored))  # models run once, metrics read the written scores
     thr = best_threshold(s.filter(F.col("split") == "val"), ["model"])
     return compute_metrics(s, ["model", "split"], threshold=thr)

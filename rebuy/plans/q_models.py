@@ -29,6 +29,10 @@ def _tt(spark, sf):
 
 
 def _ladder_rows(scored):
+    """Metrics with the val-chosen threshold. The scored rows are written
+    once: every metric branch would otherwise re-run the model."""
+    from ..session import materialize
+    scored = materialize(scored)
     thr = K.best_threshold(scored.filter(F.col("split") == "val"), ["model"])
     return K.compute_metrics(scored, ["model", "split"], threshold=thr)
 
