@@ -243,3 +243,21 @@ def q_tree_imp(spark, sf):
     _, train, _ = _tt(spark, sf)
     tm = M.tabular_rf().fit(train)
     return X.tree_importance(tm.model, tm.pre.columns(), 20)
+
+
+@register("tabular_lr_all")
+def q_lr_all(spark, sf):
+    """M4, tuned variant: balanced LR on the 43 numeric and engineered
+    features plus train target encodings of the four categoricals
+    (NULL / ±inf -> 0, population scaling), scored on val and test."""
+    from .q_profile import DL_NUMERIC
+    sp, _, _ = _tt(spark, sf)
+    eng = S.engineer_features(sp)
+    train = eng.filter(F.col("split") == "train")
+    for c in E.BASELINE_CATEGORICAL:
+        eng = E.target_encode(eng, c, E.fit_target_encoding(train, c, TARGET))
+    cols = DL_NUMERIC + [f"{c}_target_enc" for c in E.BASELINE_CATEGORICAL]
+    eng = S.sanitize(eng, cols, "zero")
+    tm = M.TabularModel("tabular_lr_all", cols, [], lambda n: M.logistic("all_features", "weight", n))
+    tm.fit(eng.filter(F.col("split") == "train"))
+    return _ladder_rows(M._scored(tm.score(eng.filter(F.col("split") != "train")), tm.name))
