@@ -106,10 +106,10 @@ def schema_checks(splits: dict[str, DataFrame], n_columns: int = 46) -> DataFram
 # Q7
 def quality_report(split_frame: DataFrame, split: str = "split", key: str = "order_id",
                    time_col: str = "score_time", metrics: DataFrame | None = None,
-                   summary: DataFrame | None = None) -> DataFrame:
+                   summary: DataFrame | None = None, n_columns: int = 46) -> DataFrame:
     """All gates as rows (check, passed, detail)."""
     parts = {s: split_frame.filter(F.col(split) == s).drop(split) for s in SPLITS}
-    rows = [schema_checks(parts), unique_keys(split_frame, key, split),
+    rows = [schema_checks(parts, n_columns), unique_keys(split_frame, key, split),
             split_disjoint(split_frame, key, split), temporal_order(split_frame, time_col, split)]
     if metrics is not None:
         rows.append(metric_range_gate(metrics))
