@@ -73,26 +73,26 @@ def describe_numeric(df: DataFrame, cols: list[str]) -> DataFrame:
     """Per column: count, mean, sample std, bias-corrected skewness and
     excess kurtosis (pandas conventions; 0 for a constant column), min,
     max, nulls. One aggregate for all columns."""
-    aggs = []
+    aggs = [F.count(F.lit(1)).alias("__rows")]
     for c in cols:
         x = F.col(c).cast("double")
         aggs += [F.count(x).alias(f"{c}__n"), F.avg(x).alias(f"{c}__mean"),
-                 F.stddev_samp(x).alias(f"{c}__std"), F.skewness(x).alias(f"{c}__g1"),
-                 F.kurtosis(x).alias(f"{c}__g2"), F.var_pop(x).alias(f"{c}__vp"),
-                 F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max"),
-                 F.count(F.when(x.isNull(), 1)).alias(f"{c}__nulls")]
+                 F.skewness(x).alias(f"{c}__g1"), F.kurtosis(x).alias(f"{c}__g2"),
+                 F.var_pop(x).alias(f"{c}__vp"), F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max")]
     wide = df.agg(*aggs)
     structs = []
     for c in cols:
         n = F.col(f"{c}__n").cast("double")
         const = F.col(f"{c}__vp") == 0
+        # sample std from the population variance: one moment aggregate less
+        std = F.when(n > 1, F.sqrt(F.col(f"{c}__vp") * n / (n - 1)))
         structs.append(F.struct(
             F.lit(c).alias("feature"), F.col(f"{c}__n").alias("n"), F.col(f"{c}__mean").alias("mean"),
-            F.col(f"{c}__std").alias("std"),
+            std.alias("std"),
             F.when(n < 3, None).when(const, 0.0).otherwise(sample_skewness(F.col(f"{c}__g1"), n)).alias("skewness"),
             F.when(n < 4, None).when(const, 0.0).otherwise(sample_excess_kurtosis(F.col(f"{c}__g2"), n)).alias("kurtosis"),
             F.col(f"{c}__min").alias("min"), F.col(f"{c}__max").alias("max"),
-            F.col(f"{c}__nulls").alias("nulls")))
+            (F.col("__rows") - F.col(f"{c}__n")).alias("nulls")))
     return _rows(wide, structs)
 
 
