@@ -55,3 +55,16 @@ def test_quality_report_catches_overlap(spark):
                                "order_id long, score_time double, split string")
     rep = {r.check: r.passed for r in Q.quality_report(df).collect()}
     assert rep["splits_disjoint"] == 0 and rep["unique_order_id_test"] == 0 and rep["val_before_test"] == 0
+
+
+def test_seeded_sample_exact_and_reproducible(spark):
+    df = spark.range(20000).select(F.col("id").alias("order_id"))
+    a = {r.order_id for r in D.seeded_sample(df, 5000, seed=42).collect()}
+    b = {r.order_id for r in D.seeded_sample(df.repartition(7), 5000, seed=42).collect()}
+    c = {r.order_id for r in D.seeded_sample(df, 5000, seed=43).collect()}
+    assert len(a) == 5000 and a == b and a != c
+
+
+def test_top_k_ties_by_name(spark):
+    df = spark.createDataFrame([("b", 3.0), ("a", 3.0), ("c", 5.0), ("d", 1.0)], "name string, v double")
+    assert [r.name for r in D.top_k(df, "v", 3, tiebreak=["name"]).collect()] == ["c", "a", "b"]
