@@ -7,7 +7,9 @@ from conftest import SF_SMALL
 FAST = ["first_order_cohort", "model_frame", "one_review_per_order", "item_agg", "payment_agg",
         "temporal_split", "global_rank", "stratified_folds", "dataset_summary", "quality_report",
         "describe_numeric", "iqr_outliers", "box_stats", "histogram", "corr_matrix", "categorical_profile",
-        "welch_ttest", "compute_metrics", "pr_curve", "roc_curve", "calibration_curve", "confusion_report"]
+        "welch_ttest", "compute_metrics", "pr_curve", "roc_curve", "calibration_curve", "confusion_report",
+        "impute_median", "one_hot", "ordinal_encode", "target_encode", "tfidf_vocabulary", "tfidf",
+        "metric_range_gate", "model_ranking"]
 
 
 def test_registry_contract():
