@@ -182,9 +182,9 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     labels. Null ids match no label; a repeated id takes part once a label row
     and document row. Empty tables give an empty result.
     """
+    # Measured once and written; the labels then meet numbers, not texts.
+    measured = written(features(docs, text_col, keep_text), "features", compression="zstd")
     named = labels.select(F.col(id_col).alias("_id"), (F.col(quality_col) == 1).alias("good")).where("_id is not null and good")
-    some = docs.join(named, F.col(f"`{id_col}`") == F.col("_id")).select(
-        F.col(f"`{stratum_col}`").alias("stratum"), "good", F.col(f"`{text_col}`").alias("text"))
-    measured = features(some.select(F.col("stratum").alias("s"), "good", "text")).select("*", F.col("row.s").alias("stratum"), F.col("row.good").alias("good"))
-    cutoffs = written(thresholds(measured, risk=risk, level=level), "cutoffs")
-    return verdicts(features(docs, text_col, keep_text), cutoffs, F.col(f"row.{stratum_col}"))
+    some = measured.select(F.col("row")[id_col].alias("_doc"), F.col("row")[stratum_col].alias("stratum"), *FEATURES)
+    cutoffs = written(thresholds(some.join(named, F.col("_doc") == F.col("_id")), risk=risk, level=level), "cutoffs")
+    return verdicts(measured, cutoffs, F.col("row")[stratum_col])
