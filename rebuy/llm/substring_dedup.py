@@ -295,8 +295,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     index = written(_index(docs, id_col, text_col, width), "super-kmers")
     one = index.select("id", "text_key", F.explode(F.arrays_zip("minimiser", "first", "windows")).alias("k")) \
         .select("id", "text_key", "k.minimiser", "k.first", "k.windows")
-    again = one.groupBy("minimiser").count().where("count > 1") \
-        .select(F.col("minimiser").alias("_m"), (F.col("count") > hot).alias("hot"))
+    # Written, so that the join below has plain exchanges, whose hot
+    # partitions Spark can split.
+    again = written(one.groupBy("minimiser").count().where("count > 1")
+                    .select(F.col("minimiser").alias("_m"), (F.col("count") > hot).alias("hot")), "minimisers")
     chosen = one.join(again, one["minimiser"] == F.col("_m"))
     key = F.struct("id", "text_key").alias("key")
     chosen = (chosen.select(key, F.struct("minimiser", "first", "windows", "hot").alias("k"))
@@ -313,6 +315,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.when(none, words).alias("n_words"), F.when(none, whole).alias("sha"),
         (F.col("text") if with_text else F.when(~none, F.col("text"))).alias("text")), "texts", compression="zstd")
     drop(index)
+    drop(again)
     travel = written(_travel(parts, width), "travelling", compression="zstd")
     spans = _buckets(travel.where("packed is not null"), width)
     counted = travel.where("packed is null").groupBy("minimiser", "digest").count().where("count > 1") \
