@@ -116,10 +116,10 @@ def mix_sizes(docs: DataFrame, weights: DataFrame, size_col: str = "size", sourc
     """
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     size = F.coalesce(F.col("row")[size_col], F.lit(0)).cast("long")
-    rows = rows.groupBy("row").agg(F.count(F.lit(1)).alias("times")).withColumn("size", size)
+    # Written: sizes are counted once, whatever reads them below.
+    rows = written(rows.groupBy("row").agg(F.count(F.lit(1)).alias("times")).withColumn("size", size), "mix-rows", compression="zstd")
     by_source = written(
-        docs.select(F.col(f"`{source_col}`").alias("source"), F.coalesce(F.col(f"`{size_col}`"), F.lit(0)).cast("long").alias("size"))
-        .groupBy("source").agg(F.sum("size").alias("source_size")), "mix-sources")
+        rows.groupBy(F.col("row")[source_col].alias("source")).agg(F.sum(F.col("size") * F.col("times")).alias("source_size")), "mix-sources")
     shares = by_source.join(weights.select(F.col("source").alias("_s"), "weight"),
                             F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s")
     shares = written(targets(shares, cap=cap), "mix-targets")
