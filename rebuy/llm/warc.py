@@ -80,7 +80,7 @@ def write_arc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["value"])
 
     (rows.mapInArrow(run, "value binary").select(F.col("value").cast("string"))
-     .write.option("lineSep", "\n").option("compression", "gzip").text(path))
+     .write.option("lineSep", "\n").option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").text(path))
 
 
 def unpacked(data: bytes) -> bytes:
