@@ -10,8 +10,14 @@ encoded, or delta encoded with ``encoding="delta"``.
 
 from __future__ import annotations
 
+import hashlib
+import json
+import os
+import sys
+import types
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -28,31 +34,55 @@ _ODD = (b"\x1c", b"\x1d", b"\x1e", b"\x1f")
 class CachedEncoder:
     """Encodes with the tokenizers library, each white-space-free chunk of
     text once. Right for tokenizers that drop white space before they split
-    and whose added tokens hold none; others encode whole texts."""
+    and whose added tokens hold none; others encode whole texts. New chunks
+    go through the library many at a time, with a special token between
+    them at whose id the result is cut."""
 
-    def __init__(self, spec: str, limit: int = 300_000):
+    def __init__(self, spec: str, limit: int = 250_000):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
-        self.lib, self.limit, self.cache = Tokenizer.from_str(spec), limit, {}
+        # What one task has learned serves the later tasks of its worker.
+        kept = sys.modules.setdefault("rebuy_worker_caches", types.ModuleType("rebuy_worker_caches")).__dict__
+        self.cache = kept.setdefault(hashlib.md5(spec.encode()).hexdigest(), {})
+        self.lib, self.limit = Tokenizer.from_str(spec), limit
+        added = json.loads(spec)["added_tokens"]
+        self.added = [t["content"].encode() for t in added]
+        self.mark, self.mark_id = next(((t["content"], t["id"]) for t in added if t["special"]), (None, None))
         a, b = "one", "twö"
         self.by_chunk = all(self.ids(a + s + b) == self.ids(a) + self.ids(b) for s in (" ", "\n", "　", " \t "))
 
     def ids(self, text: str) -> list[int]:
         return self.lib.encode(text, add_special_tokens=False).ids
 
+    def learn(self, chunks: list[bytes]) -> None:
+        """Put the ids of chunks into the cache."""
+        alone = [c for c in chunks if self.mark is None or any(a in c for a in self.added)]
+        for c in alone:
+            self.cache[c] = np.array(self.ids(c.decode()), "<u4").tobytes()
+        if alone:
+            chunks = [c for c in chunks if c not in set(alone)]
+        if not chunks:
+            return
+        joined = f" {self.mark} ".join([c.decode() for c in chunks])
+        ids = np.array(self.lib.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
+        cut = np.flatnonzero(ids == self.mark_id) * 4
+        raw = ids.tobytes()
+        self.cache.update({c: raw[a:b] for c, a, b in zip(chunks, [0, *(cut + 4).tolist()], [*cut.tolist(), len(raw)])})
+
     def encode_batch(self, texts: list[bytes | None]) -> list[bytes]:
         """Ids of each UTF-8 text as little-endian 32-bit integers."""
-        if len(self.cache) > self.limit:
-            self.cache = {}
+        if len(self.cache) > self.limit:  # frequent chunks were learned first
+            for c in list(islice(reversed(self.cache), len(self.cache) // 2)):
+                del self.cache[c]
         lists = [(t or b"").split() if self.by_chunk and not any(o in (t or b"") for o in _ODD) else None for t in texts]
         new: set[bytes] = set()
         for chunks in lists:
             if chunks is not None:
                 new.update(chunks)
         new.difference_update(self.cache)
-        if new:
-            new = list(new)
-            encoded = self.lib.encode_batch_fast([c.decode() for c in new], add_special_tokens=False)
-            self.cache.update({c: np.array(e.ids, "<u4").tobytes() for c, e in zip(new, encoded)})
+        new = list(new)
+        for at in range(0, len(new), 256):
+            self.learn(new[at:at + 256])
         get = self.cache.__getitem__
         return [np.array(self.ids((t or b"").decode()), "<u4").tobytes() if chunks is None else b"".join(map(get, chunks))
                 for t, chunks in zip(texts, lists)]
