@@ -96,23 +96,46 @@ def _fold(items: Column, item_type: str, seed: int, level: int) -> Column:
 
 
 def mix(docs: DataFrame, weights: DataFrame, text_col: str = "text", **options) -> DataFrame:
-    """``mix_sizes`` of documents, whose size is the words of their text."""
-    return mix_sizes(docs.withColumn("_size", word_count(F.col(f"`{text_col}`"))), weights, size_col="_size", **options)
+    """Struct ``row`` (all columns of ``docs``) and ``copies`` of the documents
+    that a mix takes, whose size is the words of their text; the options and
+    cases are those of ``mix_sizes``.
 
+    Rows are rounded by a 96-bit key and their text is moved once, to meet
+    their copies. Rows equal in every column come as one row with the copies
+    of all; rows that aren't taken don't come.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(row.alias("row"), F.struct(F.xxhash64(row).alias("a"), F.hash(row).alias("b")).alias("key"))
+    source = options.pop("source_col", "source")
+    sizes = rows.select("key", F.col("row")[source].alias("source"), word_count(F.col("row")[text_col]).alias("size"))
+    taken = totals(sizes, weights, **options).where("total > 0").select(F.col("row.key").alias("_key"), F.col("total").alias("copies"))
+    return rows.join(taken, F.col("key") == F.col("_key")).dropDuplicates(["key"]).select("row", "copies")
+
+
+def mix_sizes(docs: DataFrame, weights: DataFrame, **options) -> DataFrame:
+    """``totals`` by row of ``docs``: struct ``row``, ``size``,
+    ``source_size``, ``target`` and ``copies``, at most ``ceil(cap)`` each.
+    Equal rows share their copies evenly."""
+    # The k copies due to `times` equal rows: the first k mod times get one more.
+    each = F.explode(F.sequence(F.lit(1).cast("long"), F.col("times")))
+    return (totals(docs, weights, **options).withColumn("i", each)
+            .select("row", "size", "source_size", "target",
+                    (F.floor(F.col("total") / F.col("times"))
+                     + (F.col("i") <= F.col("total") % F.col("times")).cast("long")).cast("long").alias("copies")))
 
-def mix_sizes(docs: DataFrame, weights: DataFrame, size_col: str = "size", source_col: str = "source",
-              cap: float = 3.0, seed: int = 17, fan_in: int = 32, reserve: int = 24) -> DataFrame:
-    """Copies of each row of ``docs`` that make up the mix.
+
+def totals(docs: DataFrame, weights: DataFrame, size_col: str = "size", source_col: str = "source",
+           cap: float = 3.0, seed: int = 17, fan_in: int = 32, reserve: int = 24) -> DataFrame:
+    """Copies of each distinct row of ``docs`` that make up the mix.
 
     ``weights`` has ``source`` and ``weight``, one row a source (a source it
     lacks weighs 0). Returns struct ``row`` (all columns of ``docs``, so names
-    cannot clash), ``size``, ``source_size``, ``target`` and ``copies``, which
-    is at most ``ceil(cap)``. Rows of size 0 (null or blank text) count for
-    nothing and are taken once if their source's target is positive. A null
-    source is a source of its own; a null size is 0. Rows equal in every
-    column are counted first and share their copies evenly, so they cannot
-    crowd one leaf. An empty table gives an empty mix. The same input gives
-    the same mix.
+    cannot clash), ``times`` it comes, ``size``, ``source_size``, ``target``
+    and ``total`` (copies of all its ``times``). Rows of size 0 (null or blank
+    text) count for nothing and are taken once if their source's target is
+    positive. A null source is a source of its own; a null size is 0. Rows
+    equal in every column are counted first, so they cannot crowd one leaf.
+    An empty table gives an empty mix. The same input gives the same mix.
     """
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     size = F.coalesce(F.col("row")[size_col], F.lit(0)).cast("long")
@@ -168,14 +191,7 @@ def mix_sizes(docs: DataFrame, weights: DataFrame, size_col: str = "size", sourc
     last = (_uniform(seed, F.lit(-1), F.col("h")) < F.col("p")).cast("int")
     parts.append(level.select("row", last.alias("extra")))
     taken = reduce(DataFrame.unionAll, parts)
-    # The k copies due to `times` equal rows: the first k mod times get one more.
-    total = F.col("row.sure") + F.col("extra")
-    each = F.explode(F.sequence(F.lit(1).cast("long"), F.col("times")))
-    return (taken.select("row.*", total.alias("total"))
-            .withColumn("i", each)
-            .select("row", "size", "source_size", "target",
-                    (F.floor(F.col("total") / F.col("times"))
-                     + (F.col("i") <= F.col("total") % F.col("times")).cast("long")).cast("long").alias("copies")))
+    return taken.select("row.*", (F.col("row.sure") + F.col("extra")).alias("total"))
 
 
 def pattern_weights(docs: DataFrame, source_col: str = "source", pattern=(5, 2, 1)) -> DataFrame:
