@@ -49,11 +49,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     A cluster names a shared folder there; it is used as is. Only when the
-    setting is unset (local runs, tests) a scratch folder is created.
+    setting is unset and the master is local (tests) a scratch folder is created.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="rebuy-ckpt-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)

@@ -110,23 +110,23 @@ def v_payments(spark, sf_dir):
 
 def v_reviews(spark, sf_dir):
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
-    # doc_id = o_orderkey % 200 can only match ids 0..199: the filter reaches
-    # the parquet scan and AQE sees the small remainder at run time.
-    docs = (read_table(spark, sf_dir, "documents")
-            .filter(F.col("doc_id").between(0, 199))
-            .select("doc_id", F.substring("text", 1, 400).alias("text400")))
+    # Every order has one of all documents, in full; the one-row count joins
+    # each order with a constant.
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    n_docs = docs.agg(F.count(F.lit(1)).alias("n_docs"))
     k = F.col("o_orderkey")
     base = (o.filter(k % 3 != 0)
              .withColumn("k", F.explode(F.when(k % 20 == 0, F.array(F.lit(0), F.lit(1)))
                                          .otherwise(F.array(F.lit(0))))))
-    j = base.join(docs, (k % 200) == docs.doc_id, "left")
+    base = base.crossJoin(F.broadcast(n_docs)).withColumn("doc", F.expr("try_mod(o_orderkey, n_docs)"))
+    j = base.join(docs, F.col("doc") == docs.doc_id, "left")
     kk, d = F.col("k"), F.col("o_orderdate")
     return j.select(
         (k * 10 + kk).alias("review_id"),
         k.alias("order_id"),
         F.when((kk == 1) | (k % 40 != 0), 1 + (k + kk) % 5).alias("review_score"),
         F.when(k % 14 == 0, F.lit(""))
-         .when(k % 2 == 0, F.concat(F.col("text400"),
+         .when(k % 2 == 0, F.concat(F.col("text"),
                                      F.when(k % 5 == 0, F.lit(" ok?!")).otherwise(F.lit(""))))
          .alias("review_comment_message"),
         (d + _days(1 + k % 34 + 3 * kk)).alias("review_creation_date"),
@@ -196,11 +196,11 @@ FROM lineitem""",
     "order_reviews": """SELECT o_orderkey * 10 + k AS review_id, o_orderkey AS order_id,
   CASE WHEN k = 1 OR o_orderkey % 40 <> 0 THEN 1 + (o_orderkey + k) % 5 END AS review_score,
   CASE WHEN o_orderkey % 14 = 0 THEN ''
-       WHEN o_orderkey % 2 = 0 THEN substr(text, 1, 400) || CASE WHEN o_orderkey % 5 = 0 THEN ' ok?!' ELSE '' END END AS review_comment_message,
+       WHEN o_orderkey % 2 = 0 THEN text || CASE WHEN o_orderkey % 5 = 0 THEN ' ok?!' ELSE '' END END AS review_comment_message,
   o_orderdate + INTERVAL '1' DAY * (1 + o_orderkey % 34 + 3 * k) AS review_creation_date,
   o_orderdate + INTERVAL '1' DAY * (3 + o_orderkey % 34 + 3 * k) AS review_answer_timestamp
 FROM orders CROSS JOIN (SELECT 0 AS k UNION ALL SELECT 1 AS k) r
-LEFT JOIN documents ON doc_id = o_orderkey % 200
+LEFT JOIN documents ON doc_id = o_orderkey % (SELECT count(*) FROM documents)
 WHERE o_orderkey % 3 <> 0 AND (k = 0 OR o_orderkey % 20 = 0)""",
     "scores": """SELECT o_orderkey AS id, CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END AS y,
   CAST((o_orderkey * 37) % 101 AS DOUBLE) / 101 AS p
