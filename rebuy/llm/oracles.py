@@ -1,3 +1,31 @@
 """DuckDB SQL for the queries that SQL can express."""
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op9_extendible_shards": """
+WITH r AS (
+  SELECT doc_id, CAST(coalesce(strlen(text), 0) AS BIGINT) AS bytes,
+    CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS h
+  FROM documents
+), n AS (
+  SELECT depth, h >> (60 - depth) AS prefix, count(*) AS shard_rows, CAST(sum(bytes) AS BIGINT) AS shard_bytes
+  FROM r, (SELECT CAST(unnest(range(0, 61)) AS INT) AS depth) d
+  GROUP BY depth, h >> (60 - depth)
+), leaf AS (
+  SELECT n.* FROM n LEFT JOIN n p ON p.depth = n.depth - 1 AND p.prefix = n.prefix >> 1
+  WHERE (n.depth = 0 OR p.shard_bytes > 1048576) AND (n.shard_bytes <= 1048576 OR n.depth = 60)
+)
+SELECT doc_id, bytes, depth, CASE WHEN depth = 0 THEN '' ELSE lpad(bin(prefix), depth, '0') END AS shard, shard_rows, shard_bytes
+FROM r JOIN leaf ON h >> (60 - depth) = prefix""",
+    "op10_voronoi_topk": """
+WITH v AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, d.vec_id, CAST(list_sum(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * d.e[i])) AS BIGINT) AS score
+  FROM v q JOIN v d ON q.vec_id % 50 = 0 AND q.vec_id <> d.vec_id AND len(q.e) = len(d.e)
+)
+SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) t
+WHERE rank <= 5""",
+}
