@@ -6,7 +6,7 @@ the executors.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .ordering import global_rank
@@ -45,8 +45,11 @@ def impute_median(df: DataFrame, medians: dict[str, float]) -> DataFrame:
 # E2
 def fit_mode(train: DataFrame, cols: list[str]) -> dict[str, str]:
     """Most frequent train value per column (smallest on ties)."""
-    row = train.agg(*[F.mode(F.col(c).cast("string"), True).alias(c) for c in cols]).first()
-    return {c: row[c] for c in cols}
+    counts = (melt(train, cols, cast="string").filter(F.col("value").isNotNull())
+              .groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n")))
+    best = counts.groupBy("feature").agg(F.min_by("value", F.struct(-F.col("n"), F.col("value"))).alias("mode"))
+    got = {r.feature: r.mode for r in best.collect()}  # one row per column
+    return {c: got.get(c) for c in cols}
 
 
 def impute_mode(df: DataFrame, modes: dict[str, str]) -> DataFrame:
@@ -150,10 +153,10 @@ def tfidf_weights(df: DataFrame, vocab: DataFrame, text: str = "review_text", id
     """(id, term, index, weight): sublinear tf * idf, L2-normalised per doc.
     The vocabulary side is at most ``max_features`` rows."""
     tf = terms(df, text, id_col).groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
-    w = (tf.join(F.broadcast(vocab.select("term", "index", "idf")), "term")
+    w = (tf.join(vocab.select("term", "index", "idf"), "term")
            .withColumn("w", (1 + F.log(F.col("tf").cast("double"))) * F.col("idf")))
-    norm = w.groupBy(id_col).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_norm"))
-    return w.join(norm, id_col).select(id_col, "term", "index", (F.col("w") / F.col("_norm")).alias("weight"))
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(id_col)))
+    return w.select(id_col, "term", "index", (F.col("w") / norm).alias("weight"))
 
 
 def tfidf_vectors(df: DataFrame, weights: DataFrame, size: int, id_col: str = "order_id",

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .metrics import average_precision
-from .ordering import group_rank, seeded_hash
+from .ordering import global_rank, seeded_hash
 from .profile import melt, quantile_columns
 
 
@@ -49,23 +49,22 @@ def permutation_importance(scored_fn, df: DataFrame, features: list[str], repeat
                            id_col: str = "order_id", label: str = "label") -> DataFrame:
     """Drop in average precision when one column is shuffled, mean and
     population std over ``repeats`` shuffles. A shuffle pairs the row at
-    position i (by id) with the row at position i of a seeded-hash order;
-    all (feature, repeat) copies are scored in one job by ``scored_fn``
-    (DataFrame -> DataFrame with column 'p')."""
+    position i (by id) with the row at position i of a seeded-hash order of
+    its repeat, for all features alike: one rank by id and one per repeat.
+    Each feature's copy of a row takes that feature from the paired row and
+    is scored by ``scored_fn`` (DataFrame -> DataFrame with column 'p')."""
     base_ap = average_precision(scored_fn(df).select(F.col(label).alias("y"), "p")).first()[0]
-    copies = F.array(*[F.struct(F.lit(f).alias("_f"), F.lit(r).alias("_r")) for f in features for r in range(repeats)])
-    x = df.select("*", F.explode(copies).alias("_c")).select("*", "_c._f", "_c._r").drop("_c")
-    recv = group_rank(x, ["_f", "_r"], [id_col], name="_pos")
-    h = seeded_hash(F.concat_ws("|", F.col(id_col).cast("string"), F.col("_f"), F.col("_r").cast("string")), seed)
-    donor_long = x.select("_f", "_r", id_col, F.explode(F.array(*[
-        F.struct(F.lit(c).alias("_col"), F.col(c).cast("double").alias("_val")) for c in features])).alias("_d"), h.alias("_h"))
-    donor_long = donor_long.filter(F.col("_d._col") == F.col("_f")).select("_f", "_r", id_col, "_h", F.col("_d._val").alias("_val"))
-    donor = group_rank(donor_long, ["_f", "_r"], ["_h", id_col], name="_pos").select("_f", "_r", "_pos", "_val")
-    shuffled = recv.join(donor, ["_f", "_r", "_pos"])
-    shuffled = shuffled.withColumns({c: F.when(F.col("_f") == F.lit(c), F.col("_val")).otherwise(F.col(c).cast("double"))
-                                     for c in features})
-    sc = scored_fn(shuffled.drop("_val", "_pos"))
-    ap = average_precision(sc.select("_f", "_r", F.col(label).alias("y"), "p"), ["_f", "_r"])
+    names = F.array(*[F.lit(f) for f in features])
+    placed = global_rank(df, [id_col], name="_pos")
+    scored = []
+    for r in range(repeats):
+        h = seeded_hash(F.concat_ws("|", F.col(id_col).cast("string"), F.lit(r)), seed)
+        donor = global_rank(df.select(id_col, h.alias("_h"), *[F.col(c).cast("double").alias(f"_d_{c}") for c in features]),
+                            ["_h", id_col], name="_pos").drop(id_col, "_h")
+        copies = placed.join(donor, "_pos").withColumn("_f", F.explode(names)).withColumns(
+            {c: F.when(F.col("_f") == F.lit(c), F.col(f"_d_{c}")).otherwise(F.col(c).cast("double")) for c in features})
+        scored.append(scored_fn(copies).select("_f", F.lit(r).alias("_r"), F.col(label).alias("y"), "p"))
+    ap = average_precision(reduce(DataFrame.unionByName, scored), ["_f", "_r"])
     drop = ap.select(F.col("_f").alias("feature"), (F.lit(base_ap) - F.col("average_precision")).alias("d"))
     return (drop.groupBy("feature").agg(F.avg("d").alias("importance_mean"), F.stddev_pop("d").alias("importance_std"))
                 .orderBy(F.desc("importance_mean"), "feature"))
@@ -86,7 +85,8 @@ def partial_dependence(scored_fn, df: DataFrame, feature: str, grid_resolution:
               .select((lo + F.col("i") * (hi - lo) / (grid_resolution - 1)).alias("v")))
     grid = few.select("v").where(n_distinct < grid_resolution).unionByName(even.where(n_distinct >= grid_resolution))
     g = [r.v for r in grid.orderBy("v").collect()]  # at most grid_resolution values
-    expanded = df.select("*", F.explode(F.array(*[F.lit(float(v)) for v in g])).alias("_grid")) if g else df.limit(0)
+    values = F.array(*[F.lit(float(v)) for v in g]).cast("array<double>")  # no values: no rows
+    expanded = df.select("*", F.explode(values).alias("_grid"))
     expanded = expanded.withColumn(feature, F.col("_grid"))
     return scored_fn(expanded).groupBy(F.col("_grid").alias("grid_value")).agg(F.avg("p").alias("mean_probability"))
 

@@ -50,10 +50,10 @@ def score_curve(scored: DataFrame, by=None, y: str = "y", p: str = "p") -> DataF
                                   (F.count(F.lit(1)) - F.sum(F.col(y).cast("long"))).alias("neg"))
     cum = prefix_sums(st, [*keys, (p, False)], ["pos", "neg"])
     base = cum.groupBy(*keys).agg(F.min(F.col("pos_cum") - F.col("pos")).alias("_bp"),
-                                  F.min(F.col("neg_cum") - F.col("neg")).alias("_bn"))
-    tot = st.groupBy(*keys).agg(F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
-    # one row per group on the right-hand side of both joins
-    out = (cum.join(F.broadcast(base), keys).join(F.broadcast(tot), keys)
+                                  F.min(F.col("neg_cum") - F.col("neg")).alias("_bn"),
+                                  F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
+    # one row per group on the right-hand side
+    out = (cum.join(base, keys)
               .withColumn("pos_cum", F.col("pos_cum") - F.col("_bp"))
               .withColumn("neg_cum", F.col("neg_cum") - F.col("_bn"))
               .drop("_bp", "_bn"))
@@ -69,21 +69,26 @@ def _drop_g(df: DataFrame, by=None) -> DataFrame:
 def average_precision(scored: DataFrame, by=None, y: str = "y", p: str = "p") -> DataFrame:
     """Step-wise AP: sum over distinct thresholds of (R_i - R_{i-1}) * P_i."""
     keys = _by(by) or ["_g"]
-    c = score_curve(scored, by, y, p)
-    term = F.col("pos") / F.col("n_pos") * F.col("pos_cum") / (F.col("pos_cum") + F.col("neg_cum"))
-    out = c.groupBy(*keys).agg(F.when(F.first("n_pos") > 0, F.sum(term)).alias("average_precision"))
+    out = score_curve(scored, by, y, p).groupBy(*keys).agg(_ap().alias("average_precision"))
     return _drop_g(out, by)
 
 
+def _ap() -> Column:
+    term = F.col("pos") / F.col("n_pos") * F.col("pos_cum") / (F.col("pos_cum") + F.col("neg_cum"))
+    return F.when(F.first("n_pos") > 0, F.sum(term))
+
+
+def _auc() -> Column:
+    term = F.col("pos") * (F.col("n_neg") - F.col("neg_cum") + 0.5 * F.col("neg"))
+    return F.when((F.first("n_pos") > 0) & (F.first("n_neg") > 0),
+                  F.sum(term) / (F.first("n_pos").cast("double") * F.first("n_neg")))
+
+
 # K2
 def roc_auc(scored: DataFrame, by=None, y: str = "y", p: str = "p") -> DataFrame:
     """ROC AUC with ties counted half; NULL when a class is absent."""
     keys = _by(by) or ["_g"]
-    c = score_curve(scored, by, y, p)
-    term = F.col("pos") * (F.col("n_neg") - F.col("neg_cum") + 0.5 * F.col("neg"))
-    out = c.groupBy(*keys).agg(
-        F.when((F.first("n_pos") > 0) & (F.first("n_neg") > 0),
-               F.sum(term) / (F.first("n_pos").cast("double") * F.first("n_neg"))).alias("roc_auc"))
+    out = score_curve(scored, by, y, p).groupBy(*keys).agg(_auc().alias("roc_auc"))
     return _drop_g(out, by)
 
 
@@ -92,11 +97,31 @@ def precision_at_k(scored: DataFrame, by=None, frac: float = 0.10, y: str = "y",
                    id_col: str = "id") -> DataFrame:
     """Mean label among the top max(1, floor(n*frac)) scores (ties by id)."""
     df, keys = _with_group(scored, _by(by))
-    ranked = group_rank(df, keys, [(p, False), id_col], name="_rk")
-    k = totals(df, keys, y).select(*keys, F.greatest(F.lit(1), F.floor(F.col("n") * F.lit(float(frac)))).alias("_k"))
-    out = (ranked.join(F.broadcast(k), keys).filter(F.col("_rk") <= F.col("_k"))
-                 .groupBy(*keys).agg(F.avg(F.col(y).cast("double")).alias("precision_at_k")))
-    return _drop_g(out, by)
+    return _drop_g(_top_share(score_curve(df, keys, y, p), df, keys, frac, y, p, id_col)
+                   .select(*keys, "precision_at_k"), by)
+
+
+def _top_share(curve: DataFrame, df: DataFrame, keys: list[str], frac: float, y: str, p: str,
+               id_col: str) -> DataFrame:
+    """(keys..., precision_at_k, _rate) from the score curve: the scores above
+    the one that holds position k count whole, and only the rows tied at that
+    score are ranked by id."""
+    n = F.col("n_pos") + F.col("n_neg")
+    k = F.greatest(F.lit(1), F.floor(n * F.lit(float(frac))))
+    above = F.col("pos_cum") + F.col("neg_cum") - F.col("pos") - F.col("neg")
+    edge = curve.filter((above < k) & (F.col("pos_cum") + F.col("neg_cum") >= k)).select(
+        *keys, F.col(p).alias("_edge"), k.alias("_k"), (k - above).alias("_left"),
+        (F.col("pos_cum") - F.col("pos")).alias("_above"), (F.col("n_pos") / n).alias("_rate"))
+    tied = (df.join(edge.select(*keys, "_edge", "_left"), keys).filter(F.col(p).eqNullSafe(F.col("_edge")))
+              .select(*keys, id_col, F.col(y).cast("long").alias("_y"), "_left"))
+    taken = (group_rank(tied, keys, [id_col], name="_rk").filter(F.col("_rk") <= F.col("_left"))
+             .groupBy(*keys).agg(F.sum("_y").alias("_taken")))
+    return edge.join(taken, keys).select(
+        *keys, ((F.col("_above") + F.col("_taken")) / F.col("_k")).alias("precision_at_k"), "_rate")
+
+
+def _lift(precision: Column, rate: Column) -> Column:
+    return F.when(rate == 0, F.lit(0.0)).otherwise(precision / rate)
 
 
 # K4
@@ -105,10 +130,8 @@ def lift_at_k(scored: DataFrame, by=None, frac: float = 0.10, y: str = "y", p: s
     """precision@k / base rate; 0 when the base rate is 0."""
     keys = _by(by) or ["_g"]
     df, _ = _with_group(scored, _by(by))
-    pk = precision_at_k(df, keys, frac, y, p, id_col)
-    rate = df.groupBy(*keys).agg(F.avg(F.col(y).cast("double")).alias("_rate"))
-    out = pk.join(rate, keys).select(*keys, "precision_at_k", F.when(F.col("_rate") == 0, F.lit(0.0))
-                                     .otherwise(F.col("precision_at_k") / F.col("_rate")).alias("lift_at_k"))
+    top = _top_share(score_curve(df, keys, y, p), df, keys, frac, y, p, id_col)
+    out = top.select(*keys, "precision_at_k", _lift(F.col("precision_at_k"), F.col("_rate")).alias("lift_at_k"))
     return _drop_g(out, by)
 
 
@@ -148,7 +171,7 @@ def _threshold_col(df: DataFrame, keys: list[str], threshold) -> tuple[DataFrame
     if isinstance(threshold, DataFrame):
         tk = [k for k in keys if k in threshold.columns]
         t = threshold.select(*tk, F.col("threshold").alias("_thr"))
-        return (df.join(F.broadcast(t), tk) if tk else df.withColumn("_thr", t.agg(F.first("_thr")).scalar())), F.col("_thr")
+        return (df.join(t, tk) if tk else df.withColumn("_thr", t.agg(F.first("_thr")).scalar())), F.col("_thr")
     return df, F.lit(float(threshold))
 
 
@@ -210,9 +233,10 @@ def compute_metrics(scored: DataFrame, by=None, threshold=None, frac: float = 0.
         thr_df = df.select(*keys).distinct().withColumn("threshold", F.lit(float(thr)))
     else:
         thr_df = thr
-    parts = [average_precision(df, keys, y, p).withColumnRenamed("average_precision", "pr_auc"),
-             roc_auc(df, keys, y, p),
-             lift_at_k(df, keys, frac, y, p, id_col),
+    curve = score_curve(df, keys, y, p)  # one curve for AP, AUC and the top share
+    top = _top_share(curve, df, keys, frac, y, p, id_col)
+    parts = [curve.groupBy(*keys).agg(_ap().alias("pr_auc"), _auc().alias("roc_auc")),
+             top.select(*keys, "precision_at_k", _lift(F.col("precision_at_k"), F.col("_rate")).alias("lift_at_k")),
              f1_precision_recall(df, keys, thr_df, y, p),
              brier(df, keys, y, p)]
     out = reduce(lambda a, b: a.join(b, keys), parts)

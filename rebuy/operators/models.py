@@ -29,10 +29,10 @@ def class_weights(train: DataFrame, target: str = TARGET) -> DataFrame:
 
 
 def with_weights(train: DataFrame, target: str = TARGET, name: str = "weight") -> DataFrame:
-    """Attach the balanced class weight to every training row (broadcast of
-    one row per class)."""
+    """Attach the balanced class weight to every training row (one row per
+    class)."""
     w = class_weights(train, target).select(target, F.col("balanced_weight").alias(name))
-    return train.join(F.broadcast(w), target)
+    return train.join(w, target)
 
 
 # M13
@@ -55,6 +55,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder  # noqa: E402
 
 from . import encoders as E  # noqa: E402
 from .ordering import stratified_folds  # noqa: E402
+from ..session import materialize  # noqa: E402
 
 RF_GRID = {"numTrees": [200, 400], "maxDepth": [10, 20, 30], "minInstancesPerNode": [5, 10, 20]}
 GBT_GRID = {"maxIter": [200, 400], "maxDepth": [3, 5, 7], "stepSize": [0.05, 0.1],
@@ -62,7 +63,7 @@ GBT_GRID = {"maxIter": [200, 400], "maxDepth": [3, 5, 7], "stepSize": [0.05, 0.1
 
 
 def logistic(features: str = "features", weight: str | None = "weight", n_weight_sum: float | None = None,
-             C: float = 1.0, max_iter: int = 1000) -> LogisticRegression:
+             C: float = 1.0, max_iter: int = 12000) -> LogisticRegression:
     """sklearn-style L2 logistic regression: C * sum(w * loss) + |b|^2 / 2
     equals Spark's objective with regParam = 1 / (C * sum(w))."""
     reg = 1.0 / (C * n_weight_sum) if n_weight_sum else 0.0
@@ -115,16 +116,14 @@ class TabularModel:
         if self.tabular:
             self.pre = E.TabularPreprocessor(self.numeric, self.categorical, self.scale, self.mode).fit(train)
         if self.text:
-            from ..session import checkpoint_dir
-            checkpoint_dir(train.sparkSession)
-            self.vocab = E.fit_tfidf(train).checkpoint(eager=True)
+            self.vocab = materialize(E.fit_tfidf(train), "vocabulary")
             self.vocab_size = self.vocab.count()
         data = self._features(train)
         if self.weighted:
             data = with_weights(data, TARGET, "weight")
         est = self.estimator_fn(None)
-        data = sized_for_training(data, wide=isinstance(est, RandomForestClassifier))
-        self.n = data.count()
+        data = training_table(data, wide=isinstance(est, RandomForestClassifier))
+        self.n = data.count()  # of the written features
         self.model = self.estimator_fn(self.n).setFeaturesCol("all_features").fit(data)
         return self
 
@@ -166,21 +165,14 @@ def combined_lr():
                         lambda n: logistic("all_features", "weight", n), text=True)
 
 
-ROWS_PER_TRAIN_PARTITION = 1_000_000
-
-
-def sized_for_training(df: DataFrame, wide: bool = False) -> DataFrame:
-    """Partitions sized for an iterative learner. Boosting and LBFGS run
-    several small jobs per round, so about one partition per million rows
-    (tiny partitions only add scheduling); a forest does much work per pass
-    (``wide=True``) and gets at least one partition per core."""
-    import math
-    n = df.count()
-    par = df.sparkSession.sparkContext.defaultParallelism
-    k = max(1, min(par, math.ceil(n / ROWS_PER_TRAIN_PARTITION)))
-    if wide:
-        k = max(k, par)
-    return df.repartition(k) if k != df.rdd.getNumPartitions() else df
+def training_table(df: DataFrame, wide: bool = False) -> DataFrame:
+    """The feature rows written once for an iterative learner, in even
+    partitions that AQE sizes by bytes (``spark.sql.adaptive.
+    advisoryPartitionSizeInBytes``); nothing caps their number. A forest does
+    much work per pass (``wide=True``): at least one partition per core."""
+    data = materialize(df.hint("rebalance"), "training")
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return data.repartition(cores) if wide and data.rdd.getNumPartitions() < cores else data
 
 
 # M8 / M9
@@ -192,9 +184,7 @@ def grid_search(train: DataFrame, estimator, grid: dict, features: str = "all_fe
     for k, vals in grid.items():
         b = b.addGrid(estimator.getParam(k), vals)
     maps = b.build()
-    from ..session import checkpoint_dir
-    checkpoint_dir(train.sparkSession)
-    data = sized_for_training(stratified_folds(train, "label", folds, seed, "order_id", name="fold")).checkpoint(eager=True)
+    data = training_table(stratified_folds(train, "label", folds, seed, "order_id", name="fold"))
     cv = CrossValidator(estimator=estimator, estimatorParamMaps=maps, numFolds=folds, foldCol="fold",
                         evaluator=BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC"),
                         parallelism=parallelism, seed=seed)
@@ -225,11 +215,8 @@ def boosted_oof(train: DataFrame, others: DataFrame, features: str = "all_featur
                 max_iter: int = 100, step: float = 0.1, depth: int = 4, min_leaf: int = 10):
     """k-fold out-of-fold scores for train rows, fold-averaged scores for
     ``others``. Returns (train with 'oof', others with 'oof')."""
-    from ..session import checkpoint_dir
-    checkpoint_dir(train.sparkSession)
     # fold ids are a global rank: write them once instead of once per fold
-    data = sized_for_training(stratified_folds(pos_weighted(train), "label", k, seed, "order_id",
-                                               name="fold")).checkpoint(eager=True)
+    data = training_table(stratified_folds(pos_weighted(train), "label", k, seed, "order_id", name="fold"))
     oof_parts, avg_parts = [], []
     for f in range(k):
         gbt = GBTClassifier(labelCol="label", featuresCol=features, weightCol="weight", maxIter=max_iter,
@@ -240,8 +227,7 @@ def boosted_oof(train: DataFrame, others: DataFrame, features: str = "all_featur
     from functools import reduce
     oof = reduce(lambda a, b: a.unionByName(b), oof_parts)
     avg = reduce(lambda a, b: a.unionByName(b), avg_parts).groupBy("order_id").agg(F.avg("oof").alias("oof"))
-    return (train.join(oof, "order_id").checkpoint(eager=True),
-            others.join(avg, "order_id").checkpoint(eager=True))
+    return materialize(train.join(oof, "order_id"), "oof"), materialize(others.join(avg, "order_id"), "oof")
 
 
 # M11
@@ -269,7 +255,7 @@ def mlp_classifier(train: DataFrame, features: str = "all_features", layers=(64,
     round(n_neg / n_pos) times (the estimator has no weight column)."""
     pw = class_weights(train, "label").agg(F.first("pos_weight")).scalar()
     rep = F.when(F.col("label") == 1, F.greatest(F.round(pw).cast("int"), F.lit(1))).otherwise(F.lit(1))
-    data = sized_for_training(train.withColumn("_rep", F.explode(F.sequence(F.lit(1), rep))).drop("_rep"))
+    data = training_table(train.withColumn("_rep", F.explode(F.sequence(F.lit(1), rep))).drop("_rep"))
     d = len(train.select(features).first()[0])
     mlp = MultilayerPerceptronClassifier(featuresCol=features, labelCol="label", layers=[d, *layers, 2],
                                          maxIter=max_iter, seed=seed)
@@ -294,7 +280,6 @@ def model_ladder(splits: DataFrame, models=None, store: str | None = None) -> Da
             from ..sources.io import save_model
             save_model(tm.model, f"{store}/{tm.name}")
         scored.append(_scored(tm.score(held), tm.name))
-    from ..session import materialize
     s = materialize(union_metrics(*scored))  # models run once, metrics read the written scores
     thr = best_threshold(s.filter(F.col("split") == "val"), ["model"])
     return compute_metrics(s, ["model", "split"], threshold=thr)

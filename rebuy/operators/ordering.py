@@ -1,24 +1,23 @@
 """Global order, splits, sampling and small running computations.
 
 ``global_rank`` is the one primitive: an exact 1..n position under a total
-order without a single-partition window. Each row gets a key-range bucket
-that is a pure function of its sort key (boundaries from a small sample),
-is numbered within its bucket, and is shifted by the sizes of the preceding
-buckets. Buckets stay balanced even when one leading key value holds a
-third of the rows, as long as the order ends in a unique tie-break.
+order without a single-partition window. Rows are range-partitioned by their
+sort key, sorted within their range and written once with their place in it;
+the sizes of the ranges before (one row per range) shift the places to
+positions. Ranges are sized by Spark's own sampling and by AQE, and stay
+balanced even when one leading key value holds a third of the rows, as long
+as the order ends in a unique tie-break.
 """
 
 from __future__ import annotations
 
-import functools
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_BUCKETS = 1024
-ROWS_PER_BUCKET = 1_000_000
-SAMPLE_PER_BUCKET = 64
+from ..session import materialize
+
+#: monotonically_increasing_id keeps the row's place in the lower 33 bits
+PLACE_BITS = 33
 
 
 def _spec(order) -> list[tuple[str, bool]]:
@@ -37,114 +36,47 @@ def _sort_cols(spec) -> list[Column]:
     return [F.col(c).asc() if a else F.col(c).desc() for c, a in spec]
 
 
-def _cmp_values(x, y, asc: bool) -> int:
-    if x is None or y is None:
-        if x is None and y is None:
-            return 0
-        # asc: nulls first; desc: nulls last
-        return (-1 if x is None else 1) if asc else (1 if x is None else -1)
-    if x == y:
-        return 0
-    less = x < y
-    return (-1 if less else 1) if asc else (1 if less else -1)
-
-
-def _after(spec, types, bound) -> Column:
-    """Row comes strictly after ``bound`` under ``spec`` (lexicographic)."""
-    res = None
-    for (c, asc), b in reversed(list(zip(spec, bound))):
-        col = F.col(c)
-        lit = F.lit(b).cast(types[c]) if b is not None else None
-        if b is None:
-            gt = col.isNotNull() if asc else F.lit(False)
-            eq = col.isNull()
-        elif asc:
-            gt = F.coalesce(col > lit, F.lit(False))
-            eq = F.coalesce(col == lit, F.lit(False))
-        else:
-            gt = col.isNull() | F.coalesce(col < lit, F.lit(False))
-            eq = F.coalesce(col == lit, F.lit(False))
-        res = gt if res is None else (gt | (eq & res))
-    return res
-
-
-def bucketizer(df: DataFrame, order, n_buckets: int | None = None, seed: int = 17) -> Column:
-    """A bucket id that is a pure, order-preserving function of the sort key:
-    boundary keys come from a small sample (at most SAMPLE_PER_BUCKET rows
-    per bucket reach the driver) and each row finds its bucket by a binary
-    search written as nested CASE expressions."""
-    spec = _spec(order)
-    names = [c for c, _ in spec]
-    types = {f.name: f.dataType for f in df.schema.fields}
-    n = df.count()
-    if n_buckets is None:
-        # about a million rows per bucket: one sorted window task each
-        n_buckets = math.ceil(n / ROWS_PER_BUCKET)
-    n_buckets = max(1, min(MAX_BUCKETS, n_buckets))
-    if n == 0 or n_buckets == 1:
-        return F.lit(0)
-    frac = min(1.0, SAMPLE_PER_BUCKET * n_buckets / n)
-    sample = [tuple(r) for r in df.select(*names).sample(False, frac, seed).collect()]
-
-    def cmp(a, b):
-        for (_, asc), x, y in zip(spec, a, b):
-            r = _cmp_values(x, y, asc)
-            if r:
-                return r
-        return 0
-    sample.sort(key=functools.cmp_to_key(cmp))
-    bounds = []
-    for i in range(1, n_buckets):
-        b = sample[min(len(sample) - 1, (i * len(sample)) // n_buckets)] if sample else None
-        if b is not None and (not bounds or cmp(b, bounds[-1]) > 0):
-            bounds.append(b)
-    if not bounds:
-        return F.lit(0)
-
-    def tree(lo, hi):
-        # answer in [lo, hi]; answer >= mid  <=>  row after bounds[mid - 1]
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi + 1) // 2
-        return F.when(_after(spec, types, bounds[mid - 1]), tree(mid, hi)).otherwise(tree(lo, mid - 1))
-    return tree(0, len(bounds))
+def in_buckets(df: DataFrame, order, n_buckets: int | None = None) -> DataFrame:
+    """``df`` with ``_bkt`` (key range, ascending in the order) and ``_at``
+    (0-based place within the range), written once to the shared folder so
+    that every later branch sees the same ranges. Without ``n_buckets`` AQE
+    sizes the ranges by bytes; it merges neighbours only, which keeps the order."""
+    cols = _sort_cols(_spec(order))
+    ranged = df.repartitionByRange(n_buckets, *cols) if n_buckets else df.repartitionByRange(*cols)
+    placed = materialize(ranged.sortWithinPartitions(*cols).withColumn("_at", F.monotonically_increasing_id()), "ranges")
+    return (placed.withColumn("_bkt", F.shiftright("_at", PLACE_BITS))
+                  .withColumn("_at", F.col("_at").bitwiseAND(F.lit((1 << PLACE_BITS) - 1))))
 
 
 # D1
 def global_rank(df: DataFrame, order, name: str = "rank", n_buckets: int | None = None) -> DataFrame:
     """Add ``name`` = 1-based position of each row under ``order``
     (``"c"`` or ``("c", ascending)`` items; end with a unique key for a
-    reproducible result). Rows are bucketed by key range, numbered within
-    their bucket (one shuffle on the bucket), and shifted by the sizes of
-    the preceding buckets (one row per bucket, broadcast)."""
-    spec = _spec(order)
-    b = df.withColumn("_bkt", bucketizer(df, spec, n_buckets))
-    within = Window.partitionBy("_bkt").orderBy(*_sort_cols(spec))
-    local = b.withColumn("_pos", F.row_number().over(within))
-    sizes = b.groupBy("_bkt").agg(F.count(F.lit(1)).alias("_cnt"))
+    reproducible result). One range shuffle; no window over the rows."""
+    placed = in_buckets(df, order, n_buckets)
     before = Window.orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = placed.groupBy("_bkt").agg(F.count(F.lit(1)).alias("_cnt"))
     offsets = sizes.select("_bkt", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
-    # offsets hold one row per bucket (at most MAX_BUCKETS): safe to broadcast
-    return (local.join(F.broadcast(offsets), "_bkt")
-                 .withColumn(name, F.col("_off") + F.col("_pos"))
-                 .drop("_bkt", "_pos", "_off"))
+    # one row per range, so at most spark.sql.shuffle.partitions rows: safe to broadcast
+    return (placed.join(F.broadcast(offsets), "_bkt")
+                  .withColumn(name, F.col("_off") + F.col("_at") + 1)
+                  .drop("_bkt", "_at", "_off"))
 
 
 def prefix_sums(df: DataFrame, order, values: list[str], n_buckets: int | None = None,
                 suffix: str = "_cum") -> DataFrame:
     """Inclusive running totals of ``values`` under a total ``order``:
-    per-bucket running sums plus broadcast per-bucket offsets."""
-    spec = _spec(order)
-    b = df.withColumn("_bkt", bucketizer(df, spec, n_buckets))
-    within = Window.partitionBy("_bkt").orderBy(*_sort_cols(spec)).rowsBetween(Window.unboundedPreceding, 0)
-    local = b.withColumns({f"{v}{suffix}": F.sum(v).over(within) for v in values})
-    sizes = b.groupBy("_bkt").agg(*[F.sum(v).alias(f"_t_{v}") for v in values])
+    running sums within each range plus the totals of the ranges before."""
+    placed = in_buckets(df, order, n_buckets)
+    within = Window.partitionBy("_bkt").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
+    local = placed.withColumns({f"{v}{suffix}": F.sum(v).over(within) for v in values})
+    sizes = placed.groupBy("_bkt").agg(*[F.sum(v).alias(f"_t_{v}") for v in values])
     before = Window.orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_bkt", *[F.coalesce(F.sum(f"_t_{v}").over(before), F.lit(0)).alias(f"_o_{v}")
                                      for v in values])
     out = local.join(F.broadcast(offsets), "_bkt")
     out = out.withColumns({f"{v}{suffix}": F.col(f"{v}{suffix}") + F.col(f"_o_{v}") for v in values})
-    return out.drop("_bkt", *[f"_o_{v}" for v in values])
+    return out.drop("_bkt", "_at", *[f"_o_{v}" for v in values])
 
 
 # D2
@@ -191,8 +123,8 @@ def stratified_folds(df: DataFrame, label: str, k: int = 5, seed: int = 42,
     holds each class's rows to within one."""
     h = seeded_hash(id_col, seed, kind)
     ranked = global_rank(df.withColumn("_h", h), [label, "_h", id_col], name="_r")
-    starts = ranked.groupBy(label).agg(F.min("_r").alias("_s"))  # one row per class
-    return (ranked.join(F.broadcast(starts), label)
+    starts = ranked.groupBy(label).agg(F.min("_r").alias("_s"))  # one row per label value
+    return (ranked.join(starts, label)
                   .withColumn(name, ((F.col("_r") - F.col("_s")) % k).cast("int"))
                   .drop("_h", "_r", "_s"))
 
@@ -235,7 +167,7 @@ def step_delta(df: DataFrame, value: str, step: str) -> DataFrame:
 def group_rank(df: DataFrame, by: list[str], order, name: str = "rank",
                n_buckets: int | None = None) -> DataFrame:
     """1-based position within each ``by`` group under ``order``, without a
-    window per group (a hot group is spread over many buckets): one global
+    window per group (a hot group is spread over many ranges): one global
     rank over (by, order), minus the group's first position."""
     ranked = global_rank(df, [*by, *_spec(order)], name="_gr", n_buckets=n_buckets)
     # one row per group; the number of groups is not bounded here, so the

@@ -1,10 +1,8 @@
 """Profiling and statistics (P1–P11; P12–P13 live with the models).
 
 Wide statistics are one aggregate over all columns, turned into rows with
-``inline``. Order statistics (quartiles, medians) are exact and fully
-distributed: values are ranked within their group by one range shuffle and
-only the rows at the needed positions are picked, so no task ever holds a
-whole column.
+``inline``, or one aggregate grouped by column. Order statistics (quartiles,
+medians) are exact and distributed over counted distinct values.
 """
 
 from __future__ import annotations
@@ -15,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.stats import sample_excess_kurtosis, sample_skewness, t_pvalue
-from .ordering import group_rank
+from .ordering import group_rank, prefix_sums
 
 TARGET = "target_repeat_within_180d"
 
@@ -33,67 +31,63 @@ def _rows(one_row: DataFrame, structs: list[Column]) -> DataFrame:
     return one_row.select(F.inline(F.array(*structs)))
 
 
-def exact_quantiles(long: DataFrame, keys: list[str], qs=(0.25, 0.5, 0.75),
-                    value: str = "value", approx: bool = False, accuracy: int = 10000) -> DataFrame:
-    """Exact linear-interpolated quantiles of ``value`` per ``keys`` group
-    (pandas / numpy "linear" rule: position q*(n-1) between neighbours).
-    ``approx=True`` opts into ``percentile_approx`` (one aggregate, relative
-    rank error 1/accuracy) for very large groups where exactness is not
-    needed."""
+def quantile_columns(long: DataFrame, keys: list[str], qs: dict[str, float], value: str = "value",
+                     approx: bool = False, accuracy: int = 10000) -> DataFrame:
+    """Quantiles of ``value`` as named columns (e.g. {'q1': .25, 'q3': .75})
+    per ``keys`` group, exact and linear-interpolated (position q*(n-1)
+    between neighbours). Equal values collapse to one counted row before the
+    shuffle, running counts give each value its span of positions, and only
+    the values whose span holds a wanted position are kept, so a value that
+    fills a column costs one row. NULL and NaN take no part; a group without
+    values gives no row. ``approx=True`` opts into ``percentile_approx``
+    (relative rank error 1/accuracy)."""
     data = long.filter(F.col(value).isNotNull() & ~F.isnan(F.col(value)))
     if approx:
-        arr = F.percentile_approx(value, [float(q) for q in qs], accuracy)
-        per = data.groupBy(*keys).agg(arr.alias("_qs"))
-        pairs = F.arrays_zip(F.array(*[F.lit(float(q)) for q in qs]).alias("q"), F.col("_qs").alias("quantile"))
-        return per.select(*keys, F.explode(pairs).alias("_p")).select(*keys, "_p.q", "_p.quantile")
-    ranked = group_rank(data, keys, [value], name="_pos")
-    counts = data.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    h = F.col("q") * (F.col("_n") - 1)
-    targets = (counts.select(*keys, "_n", F.explode(F.array(*[F.lit(float(q)) for q in qs])).alias("q"))
-                     .select(*keys, "q", (F.floor(h) + 1).alias("_lo"), (F.ceil(h) + 1).alias("_hi"),
-                             (h - F.floor(h)).alias("_frac")))
-    wanted = (targets.select(*keys, F.explode(F.array("_lo", "_hi")).alias("_pos")).distinct())
-    picked = ranked.join(wanted, [*keys, "_pos"])  # rows at the needed positions only
-    lo = picked.select(*keys, F.col("_pos").alias("_lo"), F.col(value).alias("_vlo"))
-    hi = picked.select(*keys, F.col("_pos").alias("_hi"), F.col(value).alias("_vhi"))
-    out = targets.join(lo, [*keys, "_lo"]).join(hi, [*keys, "_hi"])
-    return out.select(*keys, "q", (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac")).alias("quantile"))
+        got = F.percentile_approx(value, [float(q) for q in qs.values()], accuracy)
+        return data.groupBy(*keys).agg(got.alias("_qs")).select(
+            *keys, *[F.col("_qs")[i].alias(n) for i, n in enumerate(qs)])
+    counted = data.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
+    cum = prefix_sums(counted, [*keys, value], ["_c"])
+    groups = cum.groupBy(*keys).agg(F.sum("_c").alias("_n"), F.min(F.col("_c_cum") - F.col("_c")).alias("_start"))
+    last = F.col("_c_cum") - F.col("_start") - 1
+    first = last - F.col("_c") + 1
+    spans = cum.join(groups, keys).select(*keys, F.col(value).alias("_v"), "_n", first.alias("_first"), last.alias("_last"))
+    aggs, outs = [F.first("_n").alias("_n")], []
+    for i, (name, q) in enumerate(qs.items()):
+        at = F.lit(float(q)) * (F.col("_n") - 1)
+        for side, pos in (("lo", F.floor(at)), ("hi", F.ceil(at))):
+            aggs.append(F.max(F.when(pos.between(F.col("_first"), F.col("_last")), F.col("_v"))).alias(f"_{side}{i}"))
+        outs.append((F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * (at - F.floor(at))).alias(name))
+    return spans.groupBy(*keys).agg(*aggs).select(*keys, *outs)
 
 
-def quantile_columns(long: DataFrame, keys: list[str], qs: dict[str, float], value: str = "value",
-                     approx: bool = False) -> DataFrame:
-    """Quantiles as named columns (e.g. {'q1': .25, 'q3': .75}) per group."""
-    qd = exact_quantiles(long, keys, tuple(qs.values()), value, approx=approx)
-    return qd.groupBy(*keys).agg(*[F.max(F.when(F.col("q") == float(q), F.col("quantile"))).alias(n)
-                                   for n, q in qs.items()])
+def exact_quantiles(long: DataFrame, keys: list[str], qs=(0.25, 0.5, 0.75),
+                    value: str = "value", approx: bool = False, accuracy: int = 10000) -> DataFrame:
+    """``quantile_columns`` as rows (keys..., q, quantile)."""
+    names = {f"_q{i}": float(q) for i, q in enumerate(qs)}
+    wide = quantile_columns(long, keys, names, value, approx, accuracy)
+    return wide.select(*keys, F.inline(F.array(*[F.struct(F.lit(q).alias("q"), F.col(n).alias("quantile"))
+                                                 for n, q in names.items()])))
 
 
 # P1
 def describe_numeric(df: DataFrame, cols: list[str]) -> DataFrame:
     """Per column: count, mean, sample std, bias-corrected skewness and
     excess kurtosis (pandas conventions; 0 for a constant column), min,
-    max, nulls. One aggregate for all columns."""
-    aggs = [F.count(F.lit(1)).alias("__rows")]
-    for c in cols:
-        x = F.col(c).cast("double")
-        aggs += [F.count(x).alias(f"{c}__n"), F.avg(x).alias(f"{c}__mean"),
-                 F.skewness(x).alias(f"{c}__g1"), F.kurtosis(x).alias(f"{c}__g2"),
-                 F.var_pop(x).alias(f"{c}__vp"), F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max")]
-    wide = df.agg(*aggs)
-    structs = []
-    for c in cols:
-        n = F.col(f"{c}__n").cast("double")
-        const = F.col(f"{c}__vp") == 0
-        # sample std from the population variance: one moment aggregate less
-        std = F.when(n > 1, F.sqrt(F.col(f"{c}__vp") * n / (n - 1)))
-        structs.append(F.struct(
-            F.lit(c).alias("feature"), F.col(f"{c}__n").alias("n"), F.col(f"{c}__mean").alias("mean"),
-            std.alias("std"),
-            F.when(n < 3, None).when(const, 0.0).otherwise(sample_skewness(F.col(f"{c}__g1"), n)).alias("skewness"),
-            F.when(n < 4, None).when(const, 0.0).otherwise(sample_excess_kurtosis(F.col(f"{c}__g2"), n)).alias("kurtosis"),
-            F.col(f"{c}__min").alias("min"), F.col(f"{c}__max").alias("max"),
-            (F.col("__rows") - F.col(f"{c}__n")).alias("nulls")))
-    return _rows(wide, structs)
+    max, nulls. One aggregate grouped by column over the melted values (nine
+    buffers, inside code generation, whatever the number of columns). An
+    empty table gives no rows."""
+    x = F.col("value")
+    n = F.col("n").cast("double")
+    const = F.col("_vp") == 0
+    per = melt(df, cols).groupBy("feature").agg(
+        F.count(x).alias("n"), F.count(F.lit(1)).alias("_rows"), F.avg(x).alias("mean"), F.skewness(x).alias("_g1"),
+        F.kurtosis(x).alias("_g2"), F.var_pop(x).alias("_vp"), F.min(x).alias("min"), F.max(x).alias("max"))
+    return per.select(
+        "feature", "n", "mean", F.when(n > 1, F.sqrt(F.col("_vp") * n / (n - 1))).alias("std"),
+        F.when(n < 3, None).when(const, 0.0).otherwise(sample_skewness(F.col("_g1"), n)).alias("skewness"),
+        F.when(n < 4, None).when(const, 0.0).otherwise(sample_excess_kurtosis(F.col("_g2"), n)).alias("kurtosis"),
+        "min", "max", (F.col("_rows") - F.col("n")).alias("nulls"))
 
 
 # P2
@@ -117,7 +111,7 @@ def _fenced(df: DataFrame, cols: list[str], k: float = 1.5) -> DataFrame:
         (F.col("q3") + k * F.col("iqr")).alias("upper_fence"))
     v = F.col("value")
     inside = (v >= F.col("lower_fence")) & (v <= F.col("upper_fence"))
-    counted = (long.join(F.broadcast(fences.select("feature", "lower_fence", "upper_fence")), "feature")
+    counted = (long.join(fences.select("feature", "lower_fence", "upper_fence"), "feature")
                    .groupBy("feature").agg(
                        F.count(v).alias("n"),
                        F.count(F.when(~inside, 1)).alias("n_outliers"),
@@ -153,8 +147,7 @@ def histogram(df: DataFrame, col: str, bins: int = 30, by: str | None = None,
                      F.when(same, F.col("_mx") + 0.5).otherwise(F.col("_mx")).alias("_hi"))
     b = F.least(F.floor((F.col("x") - F.col("_lo")) * bins / (F.col("_hi") - F.col("_lo"))),
                 F.lit(bins - 1)).cast("int")
-    # one row per group: broadcast is bounded by the number of groups
-    counts = (data.join(F.broadcast(rng), keys).select(*keys, b.alias("bin"))
+    counts = (data.join(rng, keys).select(*keys, b.alias("bin"))
                   .groupBy(*keys, "bin").agg(F.count(F.lit(1)).alias("count")))
     spine = rng.select(*keys, "_n", "_lo", "_hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     width = (F.col("_hi") - F.col("_lo")) / bins
@@ -173,7 +166,7 @@ def class_kde(df: DataFrame, col: str, label: str = TARGET, points: int = 100) -
     """Gaussian KDE per class on ``points`` grid points over the class's
     [min, max]; Scott bandwidth h = std * n^(-1/5). Values are pre-binned
     by distinct value (exact), then each distinct value meets its class's
-    grid (a broadcast of classes x points rows)."""
+    grid."""
     data = df.select(label, F.col(col).cast("double").alias("x")).filter(
         F.col("x").isNotNull() & F.col(label).isNotNull())
     st = data.groupBy(label).agg(F.count("x").alias("_n"), F.stddev_samp("x").alias("_sd"),
@@ -185,7 +178,7 @@ def class_kde(df: DataFrame, col: str, label: str = TARGET, points: int = 100) -
     vals = data.groupBy(label, "x").agg(F.count(F.lit(1)).alias("_c"))
     z = (F.col("grid_x") - F.col("x")) / F.col("_h")
     contrib = F.col("_c") * F.exp(-0.5 * z * z) / (F.col("_h") * math.sqrt(2 * math.pi))
-    return (vals.join(F.broadcast(grid.select(label, "point", "grid_x", "_n", "_h")), label)
+    return (vals.join(grid.select(label, "point", "grid_x", "_n", "_h"), label)
                 .groupBy(label, "point", "grid_x")
                 .agg((F.sum(contrib) / F.first("_n")).alias("density")))
 
@@ -254,8 +247,8 @@ def corr_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
 # P9
 def target_corr(df: DataFrame, cols: list[str], target: str = TARGET, alarm: float = 0.5) -> DataFrame:
     """|corr| of each column with the target, ranked, with a leakage flag."""
-    wide = df.agg(*[F.corr(F.col(c).cast("double"), F.col(target).cast("double")).alias(c) for c in cols])
-    rows = _rows(wide, [F.struct(F.lit(c).alias("feature"), F.abs(F.col(c)).alias("abs_corr")) for c in cols])
+    long = melt(df.withColumn("_y", F.col(target).cast("double")), cols, keep=["_y"])
+    rows = long.groupBy("feature").agg(F.abs(F.corr("value", "_y")).alias("abs_corr"))
     rows = rows.withColumn("abs_corr", F.when(~F.isnan("abs_corr"), F.col("abs_corr")))
     return (group_rank(rows.withColumn("_all", F.lit(1)), ["_all"], [("abs_corr", False), "feature"],
                        name="rank").drop("_all")

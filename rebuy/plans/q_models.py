@@ -15,7 +15,7 @@ from ..operators import explain as X
 from ..operators import metrics as K
 from ..operators import models as M
 from ..operators import profile as P
-from ..session import shared_path
+from ..session import materialize, shared_path
 from ..sources import io as IO
 from .q_split import _splits
 from .registry import register
@@ -31,7 +31,6 @@ def _tt(spark, sf):
 def _ladder_rows(scored):
     """Metrics with the val-chosen threshold. The scored rows are written
     once: every metric branch would otherwise re-run the model."""
-    from ..session import materialize
     scored = materialize(scored)
     thr = K.best_threshold(scored.filter(F.col("split") == "val"), ["model"])
     return K.compute_metrics(scored, ["model", "split"], threshold=thr)
@@ -115,7 +114,7 @@ def _hybrid_inputs(spark, sf):
     from .q_profile import DL_NUMERIC
     pre = E.TabularPreprocessor(DL_NUMERIC, [], scale=True, output="all_features").fit(
         eng.filter(F.col("split") == "train"))
-    data = pre.transform(M.prepare(eng)).checkpoint(eager=True)
+    data = materialize(pre.transform(M.prepare(eng)), "hybrid")
     return data.filter(F.col("split") == "train"), data.filter(F.col("split") != "train")
 
 

@@ -71,10 +71,6 @@ def register(name: str, sql: str | None = None, doubles: list[str] | None = None
 
 # --- SQL assembly ----------------------------------------------------------
 
-def ctes(*pairs: tuple[str, str]) -> list[tuple[str, str]]:
-    return list(pairs)
-
-
 def views(*names: str) -> list[tuple[str, str]]:
     return [(f"v_{n}", VIEW_SQL[n]) for n in names]
 
@@ -96,11 +92,11 @@ _MEMO: dict = {}
 
 
 def materialized(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """``build()`` checkpointed to the session's checkpoint folder, once per
-    (application, data folder, name)."""
-    from ..session import checkpoint_dir
+    """``build()`` written as Parquet under the session's checkpoint folder
+    (later scans read only their columns), once per (application, data
+    folder, name)."""
+    from ..session import materialize
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _MEMO:
-        checkpoint_dir(spark)
-        _MEMO[key] = build().checkpoint(eager=True)
+        _MEMO[key] = materialize(build(), name)
     return _MEMO[key]

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the operators assume. Timestamps stay TIMESTAMP_NTZ end to end,
 # so results do not depend on the session time zone; UTC is pinned anyway
@@ -67,9 +68,18 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_dir(spark), name)
 
 
-def materialize(df):
-    """Write ``df`` to the shared checkpoint folder and continue from it
-    (cuts lineage; survives lost executors). Used where one result feeds
-    several branches of a plan."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame, name: str = "step") -> DataFrame:
+    """Write ``df`` as Parquet under the shared checkpoint folder and continue
+    from it (cuts lineage, survives lost executors, later scans prune
+    columns). Used where one result feeds several branches of a plan."""
+    spark = df.sparkSession
+    path = shared_path(spark, f"{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def clean_up(spark: SparkSession) -> None:
+    """Delete every table this application wrote with ``materialize``. Call it
+    when no result that stands on them is needed any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(shared_path(spark, spark.sparkContext.applicationId))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
