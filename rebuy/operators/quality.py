@@ -18,6 +18,13 @@ def _row(df: DataFrame, name: str, passed: Column, detail: Column) -> DataFrame:
                   detail.cast("double").alias("detail"))
 
 
+def _rows(wide: DataFrame, checks: list[tuple]) -> DataFrame:
+    """One-row aggregate -> a row per (check, passed, detail); a NULL verdict fails."""
+    return wide.select(F.inline(F.array(*[
+        F.struct(F.lit(n).alias("check"), F.coalesce(ok, F.lit(False)).cast("int").alias("passed"),
+                 detail.cast("double").alias("detail")) for n, ok, detail in checks])))
+
+
 # Q1
 def union_metrics(*frames: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
@@ -33,25 +40,22 @@ def split_disjoint(df: DataFrame, key: str = "order_id", split: str = "split") -
 
 # Q3
 def unique_keys(df: DataFrame, key: str = "order_id", split: str = "split") -> DataFrame:
-    dup = df.groupBy(split, key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
-    rows = []
-    for s in SPLITS:
-        d = dup.filter(F.col(split) == s)
-        bad = F.count(F.lit(1))
-        rows.append(_row(d, f"unique_{key}_{s}", bad == 0, bad))
-    return union_metrics(*rows)
+    """Keys found more than once in a split (one shuffle, one aggregate)."""
+    per_key = df.groupBy(split, key).agg(F.count(F.lit(1)).alias("_n"))
+    bad = per_key.agg(*[F.count(F.when((F.col("_n") > 1) & (F.col(split) == s), 1)).alias(s) for s in SPLITS])
+    return _rows(bad, [(f"unique_{key}_{s}", F.col(s) == 0, F.col(s)) for s in SPLITS])
 
 
 # Q4
 def temporal_order(df: DataFrame, time_col: str = "score_time", split: str = "split") -> DataFrame:
-    """Splits follow each other in time: max(train) <= min(val), max(val) <= min(test)."""
+    """Splits follow each other in time: max(train) <= min(val), max(val) <=
+    min(test). A split without rows or times fails."""
     t = F.col(time_col)
     s = F.col(split)
     agg = df.agg(*[F.max(F.when(s == x, t)).alias(f"max_{x}") for x in SPLITS],
                  *[F.min(F.when(s == x, t)).alias(f"min_{x}") for x in SPLITS])
-    a = _row(agg, "train_before_val", F.coalesce(F.max("max_train") <= F.min("min_val"), F.lit(True)), F.lit(None))
-    b = _row(agg, "val_before_test", F.coalesce(F.max("max_val") <= F.min("min_test"), F.lit(True)), F.lit(None))
-    return a.unionByName(b)
+    return _rows(agg, [("train_before_val", F.col("max_train") <= F.col("min_val"), F.lit(None)),
+                       ("val_before_test", F.col("max_val") <= F.col("min_test"), F.lit(None))])
 
 
 # Q5
@@ -63,32 +67,32 @@ def metric_range_gate(metrics: DataFrame, n_models: int = 6) -> DataFrame:
     aggs += [F.count(F.when(~F.coalesce(F.col("lift_at_k") >= 0, F.lit(False)), 1)).alias("lift"),
              F.countDistinct("model").alias("models")]
     wide = metrics.agg(*aggs)
-    rows = [F.struct(F.lit(f"{c}_in_unit_range").alias("check"), (F.col(c) == 0).cast("int").alias("passed"),
-                     F.col(c).cast("double").alias("detail")) for c in unit]
-    rows += [F.struct(F.lit("lift_non_negative").alias("check"), (F.col("lift") == 0).cast("int").alias("passed"),
-                      F.col("lift").cast("double").alias("detail")),
-             F.struct(F.lit("model_count").alias("check"), (F.col("models") == n_models).cast("int").alias("passed"),
-                      F.col("models").cast("double").alias("detail"))]
-    return wide.select(F.inline(F.array(*rows)))
+    rows = [(f"{c}_in_unit_range", F.col(c) == 0, F.col(c)) for c in unit]
+    return _rows(wide, rows + [("lift_non_negative", F.col("lift") == 0, F.col("lift")),
+                               ("model_count", F.col("models") == n_models, F.col("models"))])
 
 
 # Q6
 def summary_gate(summary: DataFrame, frame: DataFrame, n_columns: int = 46,
                  n_baseline_features: int = 20) -> DataFrame:
     """The stored summary row agrees with the data it describes."""
-    fresh = frame.agg(F.count(F.lit(1)).alias("_n"))
-    j = summary.withColumn("_n", fresh.scalar())
-    rows = [
-        _row(j, "summary_has_columns", F.lit("n_processed_columns" in summary.columns), F.lit(None)),
-        _row(j, "summary_has_baseline_count", F.lit("n_model_input_features_baseline" in summary.columns),
-             F.lit(None)),
-        _row(j, "summary_columns_match", F.min(F.col("n_processed_columns") == n_columns),
-             F.first("n_processed_columns")),
-        _row(j, "summary_baseline_match", F.min(F.col("n_model_input_features_baseline") == n_baseline_features),
-             F.first("n_model_input_features_baseline")),
-        _row(j, "summary_rows_match", F.min(F.col("n_modeling_rows") == F.col("_n")), F.first("_n")),
-    ]
-    return union_metrics(*rows)
+    fresh = frame.agg(F.count(F.lit(1)).alias("_n")).scalar()
+    stored = ["n_processed_columns", "n_model_input_features_baseline", "n_modeling_rows"]
+    got = summary.agg(*[F.first(c if c in summary.columns else F.lit(None)).alias(c) for c in stored],
+                      fresh.alias("_n"))
+    return _rows(got, [
+        ("summary_has_columns", F.lit(stored[0] in summary.columns), F.lit(None)),
+        ("summary_has_baseline_count", F.lit(stored[1] in summary.columns), F.lit(None)),
+        ("summary_columns_match", F.col(stored[0]) == n_columns, F.col(stored[0])),
+        ("summary_baseline_match", F.col(stored[1]) == n_baseline_features, F.col(stored[1])),
+        ("summary_rows_match", F.col(stored[2]) == F.col("_n"), F.col("_n"))])
+
+
+def metric_schema_gate(metrics: DataFrame) -> DataFrame:
+    """The metric table has every column of ``METRIC_COLUMNS``; the detail
+    is the number of missing ones."""
+    missing = [c for c in METRIC_COLUMNS if c not in metrics.columns]
+    return _row(metrics, "metric_columns_present", F.lit(not missing), F.lit(len(missing)))
 
 
 def schema_checks(splits: dict[str, DataFrame], n_columns: int = 46) -> DataFrame:
@@ -106,13 +110,16 @@ def schema_checks(splits: dict[str, DataFrame], n_columns: int = 46) -> DataFram
 # Q7
 def quality_report(split_frame: DataFrame, split: str = "split", key: str = "order_id",
                    time_col: str = "score_time", metrics: DataFrame | None = None,
-                   summary: DataFrame | None = None, n_columns: int = 46) -> DataFrame:
-    """All gates as rows (check, passed, detail)."""
-    parts = {s: split_frame.filter(F.col(split) == s).drop(split) for s in SPLITS}
+                   summary: DataFrame | None = None, n_columns: int = 46,
+                   written: dict[str, DataFrame] | None = None, n_models: int = 6) -> DataFrame:
+    """All gates as rows (check, passed, detail). ``written``: the splits as
+    read back one by one from where they were stored; the schema gate then
+    compares the stored schemas with each other."""
+    parts = written or {s: split_frame.filter(F.col(split) == s).drop(split) for s in SPLITS}
     rows = [schema_checks(parts, n_columns), unique_keys(split_frame, key, split),
             split_disjoint(split_frame, key, split), temporal_order(split_frame, time_col, split)]
     if metrics is not None:
-        rows.append(metric_range_gate(metrics))
+        rows += [metric_schema_gate(metrics), metric_range_gate(metrics, n_models)]
     if summary is not None:
         rows.append(summary_gate(summary, split_frame))
     return union_metrics(*rows)

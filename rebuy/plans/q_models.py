@@ -10,6 +10,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from ..functions import scalar as S
+from ..operators import assemble as A
 from ..operators import encoders as E
 from ..operators import explain as X
 from ..operators import metrics as K
@@ -97,6 +98,7 @@ def q_grid_rf(spark, sf):
     return table
 
 
+@register("grid_search_gbt")
 def q_grid_gbt(spark, sf):
     """24 boosted models (positive weight n_neg/n_pos) x 3 folds."""
     _, train, held = _tt(spark, sf)
@@ -105,9 +107,6 @@ def q_grid_gbt(spark, sf):
     return table
 
 
-DL_CATS = E.BASELINE_CATEGORICAL
-
-
 def _hybrid_inputs(spark, sf):
     sp, train, held = _tt(spark, sf)
     eng = S.engineer_features(sp)
@@ -177,8 +176,8 @@ def q_mlp(spark, sf):
 
 
 def _pca_cols():
-    from .q_profile import DL_NUMERIC
-    return DL_NUMERIC
+    """All 51 numeric columns: 37 of the frame and 14 engineered."""
+    return A.NUMERIC_COLUMNS + S.ENGINEERED
 
 
 @register("pca_scree")

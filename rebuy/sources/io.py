@@ -9,16 +9,18 @@ from pyspark.sql import types as T
 
 # A1
 def load_tables(spark: SparkSession, paths: dict[str, str], schemas: dict[str, T.StructType] | None = None,
-                fmt: str = "csv") -> dict[str, DataFrame]:
-    """Read raw tables with explicit schemas. CSV: header row, quoted
-    fields that may hold newlines, UTF-8 (a BOM in the header is dropped)."""
+                fmt: str = "csv", multiline: tuple[str, ...] | None = None) -> dict[str, DataFrame]:
+    """Read raw tables with explicit schemas. CSV: header row, UTF-8 (a BOM
+    in the header is dropped). Quoted fields may hold newlines in the tables
+    named by ``multiline`` (None: in all); only their files can't be split
+    between tasks, so name the few that need it when files are large."""
     out = {}
     for name, path in paths.items():
         r = spark.read
         if schemas and name in schemas:
             r = r.schema(schemas[name])
         if fmt == "csv":
-            r = (r.option("header", True).option("multiLine", True).option("escape", '"')
+            r = (r.option("header", True).option("multiLine", multiline is None or name in multiline).option("escape", '"')
                   .option("encoding", "UTF-8").option("timestampFormat", "yyyy-MM-dd HH:mm:ss"))
             out[name] = r.csv(path)
         else:

@@ -75,3 +75,32 @@ def test_partial_dependence_grid_bounded(spark, frame):
     assert 1 < len(pdp) <= 100
     vals = [r.mean_probability for r in sorted(pdp, key=lambda r: r.grid_value)]
     assert vals[-1] > vals[0]  # probability rises with x1
+
+
+def test_permutation_importance_ranks_the_signal_first(spark, frame):
+    scored = lambda df: df.withColumn("p", F.col("x1") + 0.2 * F.col("x2"))
+    data = M.prepare(frame).select("order_id", "label", "x1", "x2", F.lit(1.0).alias("flat"))
+    got = X.permutation_importance(scored, data, ["x1", "x2", "flat"], repeats=2).collect()
+    assert got[0].feature == "x1" and got[0].importance_mean > 0.2
+    assert abs({r.feature: r.importance_mean for r in got}["flat"]) < 1e-12
+
+
+def test_partial_dependence_of_an_empty_feature_has_no_rows(spark, frame):
+    data = frame.select("order_id", F.lit(None).cast("double").alias("x1"))
+    assert X.partial_dependence(lambda df: df.withColumn("p", F.lit(0.5)), data, "x1").count() == 0
+
+
+def test_out_of_fold_scores_cover_every_row(spark, frame):
+    pre = E.TabularPreprocessor(["x1", "x2"], [], scale=False, output="all_features").fit(frame)
+    data = pre.transform(M.prepare(frame))
+    tr, other = M.boosted_oof(data.filter("split = 'train'"), data.filter("split = 'test'"), k=2, max_iter=3)
+    assert tr.filter("oof is not null").count() == 480 and other.filter("oof is not null").count() == 120
+    s = other.select(F.col("label").alias("y"), F.col("oof").alias("p"))
+    assert K.roc_auc(s).first()[0] > 0.9
+
+
+def test_grid_search_has_a_row_for_each_combination(spark, frame):
+    pre = E.TabularPreprocessor(["x1", "x2"], [], scale=False, output="all_features").fit(frame)
+    data = M.pos_weighted(pre.transform(M.prepare(frame)), "label")
+    _, table = M.grid_search(data, M.gbt_estimator(), {"maxIter": [1, 2], "maxDepth": [2]}, folds=2)
+    assert table.count() == 2 and table.filter("mean_roc_auc > 0.8").count() == 2

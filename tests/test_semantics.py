@@ -191,3 +191,35 @@ def test_approx_quantiles_close_to_exact(spark):
     ex = P.quantile_columns(P.melt(df, ["x"]), ["feature"], {"med": 0.5}).collect()[0].med
     ap = P.quantile_columns(P.melt(df, ["x"]), ["feature"], {"med": 0.5}, approx=True).collect()[0].med
     assert abs(ex - ap) <= 2.0
+
+
+def test_quantiles_of_a_column_that_one_value_fills(spark):
+    import numpy as np
+    vals = [0.0] * 1900 + [float(i) for i in range(1, 101)]
+    df = spark.createDataFrame([("a", v) for v in vals] + [("b", 7.0), ("b", None)], "feature string, value double")
+    got = {(r.feature, r.q): r.quantile for r in P.exact_quantiles(df, ["feature"], (0.25, 0.5, 0.951, 0.99)).collect()}
+    for q in (0.25, 0.5, 0.951, 0.99):
+        assert abs(got[("a", q)] - float(np.quantile(vals, q))) < 1e-9
+        assert got[("b", q)] == 7.0
+
+
+def test_equal_values_are_one_row_when_ranked(spark, monkeypatch):
+    """No task holds the copies of a value: only counted values are ordered."""
+    seen = []
+    ranked = P.prefix_sums
+    monkeypatch.setattr(P, "prefix_sums", lambda df, *a, **k: seen.append(df.count()) or ranked(df, *a, **k))
+    df = spark.range(20000).select(F.lit("f").alias("feature"), F.when(F.col("id") % 20 == 0, 1.0).otherwise(0.0).alias("value"))
+    assert P.quantile_columns(df, ["feature"], {"m": 0.5}).first().m == 0.0 and seen == [2]
+
+
+def test_global_rank_over_many_ranges_with_a_hot_key(spark):
+    df = spark.range(4000).select(F.col("id"), F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 11).alias("g"))
+    placed = D.in_buckets(df, ["g", ("id", False)], 8)
+    assert placed.select("_bkt").distinct().count() >= 8
+    got = [r.id for r in D.global_rank(df, ["g", ("id", False)], n_buckets=8).orderBy("rank").collect()]
+    want = [r.id for r in df.orderBy("g", F.desc("id")).collect()]
+    assert got == want
+
+
+def test_global_rank_of_an_empty_table(spark):
+    assert D.global_rank(spark.range(0), ["id"]).count() == 0
