@@ -98,7 +98,6 @@ def q_grid_rf(spark, sf):
     return table
 
 
-@register("grid_search_gbt")
 def q_grid_gbt(spark, sf):
     """24 boosted models (positive weight n_neg/n_pos) x 3 folds."""
     _, train, held = _tt(spark, sf)
