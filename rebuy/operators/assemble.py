@@ -97,6 +97,8 @@ def order_feature_join(cohort: DataFrame, *aggs: DataFrame) -> DataFrame:
     return out
 
 
+# The output schema, the 43 numeric inputs of the network models
+# and the 39 of the hybrid (the last 14 and 10 of them are engineered).
 MODEL_FRAME_COLUMNS = [
     "customer_unique_id", "order_id", "score_time", "target_repeat_within_180d", "review_score", "review_text",
     "text_present", "text_char_len", "text_word_count", "exclamation_count", "question_count",
@@ -109,7 +111,29 @@ MODEL_FRAME_COLUMNS = [
     "log1p_total_price", "log1p_total_freight", "log1p_payment_value_total", "log1p_product_weight_g_mean",
     "log1p_package_volume_cm3_mean", "log1p_approval_lag_hours", "log1p_delivery_days",
 ]
-META_COLUMNS = ["customer_unique_id", "order_id", "score_time", "target_repeat_within_180d"]
+DL_NUMERIC = [
+    "review_score", "text_present", "text_char_len", "text_word_count", "exclamation_count", "question_count",
+    "log1p_total_price", "log1p_total_freight", "log1p_payment_value_total", "payment_installments_max",
+    "payment_records", "payment_type_nunique", "item_count", "seller_count", "product_count",
+    "same_state_seller_customer", "log1p_approval_lag_hours", "delivery_days", "delivery_delay_days_clipped",
+    "late_delivery_flag", "freight_ratio", "payment_gap", "log1p_product_weight_g_mean",
+    "log1p_package_volume_cm3_mean", "product_photos_qty_mean", "product_description_lenght_mean",
+    "purchase_month", "purchase_quarter", "weekend_purchase_flag",
+    "price_per_item", "freight_pct", "payment_overhead", "delivery_efficiency", "emotional_intensity",
+    "word_density", "volume_weight_ratio", "desc_per_photo", "multi_seller", "multi_product", "multi_payment",
+    "score_x_delivery", "text_x_score", "price_x_late",
+]
+HYBRID_NUMERIC = [
+    "review_score", "text_present", "text_char_len", "text_word_count", "exclamation_count", "question_count",
+    "log1p_total_price", "log1p_total_freight", "log1p_payment_value_total", "payment_installments_max",
+    "payment_records", "payment_type_nunique", "item_count", "seller_count", "product_count",
+    "same_state_seller_customer", "log1p_approval_lag_hours", "delivery_days", "delivery_delay_days_clipped",
+    "late_delivery_flag", "freight_ratio", "payment_gap", "log1p_product_weight_g_mean",
+    "log1p_package_volume_cm3_mean", "product_photos_qty_mean", "product_description_lenght_mean",
+    "purchase_month", "purchase_quarter", "weekend_purchase_flag",
+    "price_per_item", "freight_pct", "payment_overhead", "delivery_efficiency", "emotional_intensity",
+    "word_density", "volume_weight_ratio", "score_x_delivery", "text_x_score", "price_x_late",
+]
 
 
 def derive_row_features(df: DataFrame) -> DataFrame:

@@ -87,19 +87,22 @@ def one_hot(df: DataFrame, col: str, categories: list[str], prefix: str | None =
 
 
 # E5
-def fit_ordinal(train: DataFrame, col: str) -> DataFrame:
+def fit_ordinal(train: DataFrame, col: str, missing: str | None = None) -> DataFrame:
     """Alphabetical code (0-based) of every distinct train value, as a
-    frame (one row per category)."""
-    vals = train.select(F.col(col).cast("string").alias("value")).filter(F.col("value").isNotNull()).distinct()
+    frame (one row per category). ``missing``: NULL counts as this value."""
+    vals = train.select(F.coalesce(F.col(col).cast("string"), F.lit(missing).cast("string")).alias("value")).filter(F.col("value").isNotNull()).distinct()
     return global_rank(vals, ["value"], name="code").withColumn("code", F.col("code") - 1)
 
 
 def ordinal_encode(df: DataFrame, col: str, codes: DataFrame, unknown: int = -1,
-                   name: str | None = None) -> DataFrame:
-    """Code of the value; values unseen in train (and NULL) -> ``unknown``."""
+                   name: str | None = None, missing: str | None = None) -> DataFrame:
+    """Code of the value; values unseen in train -> ``unknown``, and NULL too
+    unless it counts as the value ``missing``. Embedding inputs take
+    ``missing=MISSING, unknown=0``."""
     # one row per train category: AQE broadcasts it when it is small
     c = codes.select(F.col("value").alias("_v"), F.col("code").alias("_code"))
-    out = df.join(c, F.col(col).cast("string") == F.col("_v"), "left")
+    value = F.coalesce(F.col(col).cast("string"), F.lit(missing).cast("string"))
+    out = df.join(c, value == F.col("_v"), "left")
     return out.withColumn(name or f"{col}_code", F.coalesce(F.col("_code"), F.lit(unknown)).cast("int")) \
               .drop("_v", "_code")
 
@@ -162,17 +165,22 @@ def tfidf_weights(df: DataFrame, vocab: DataFrame, text: str = "review_text", id
 def tfidf_vectors(df: DataFrame, weights: DataFrame, size: int, id_col: str = "order_id",
                   name: str = "text_features") -> DataFrame:
     """Attach a sparse vector per row (empty for rows without vocabulary
-    terms); the only Python is packing sorted (index, weight) pairs."""
-    from pyspark.ml.linalg import SparseVector, VectorUDT
-
-    @F.udf(VectorUDT())
-    def pack(pairs):
-        pairs = pairs or []
-        return SparseVector(size, [p[0] for p in pairs], [p[1] for p in pairs])
+    terms). Python only wraps the sorted index and weight lists of an Arrow
+    batch as the vector type's columns; no row is touched."""
+    import pyarrow as pa
+    from pyspark.ml.linalg import VectorUDT
+
+    @F.arrow_udf(VectorUDT())
+    def pack(index: pa.Array, weight: pa.Array) -> pa.Array:
+        n = len(index)
+        return pa.StructArray.from_arrays(
+            [pa.array([0] * n, pa.int8()), pa.array([size] * n, pa.int32()), index, weight],
+            ["type", "size", "indices", "values"])
 
     per_doc = weights.groupBy(id_col).agg(
         F.sort_array(F.collect_list(F.struct(F.col("index").cast("int"), F.col("weight")))).alias("_pairs"))
-    return df.join(per_doc, id_col, "left").withColumn(name, pack("_pairs")).drop("_pairs")
+    return df.join(per_doc, id_col, "left").withColumn("_pairs", F.coalesce("_pairs", F.array().cast(per_doc.schema["_pairs"].dataType))) \
+             .withColumn(name, pack(F.col("_pairs")["index"], F.col("_pairs")["weight"])).drop("_pairs")
 
 
 # E9

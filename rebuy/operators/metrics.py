@@ -366,6 +366,25 @@ def model_ranking(metrics: DataFrame, by=("split",), cols=None, model: str = "mo
         F.min_by("value", F.struct(sign * F.col("value"), F.col(model))).alias("best_value"))
 
 
+def best_model_summary(metrics: DataFrame, by: str = "pr_auc") -> DataFrame:
+    """One row naming the best model on val and on test and the one to use
+    (best on val; ties by name), with its test metrics as a struct."""
+    def best(split):
+        here = F.col("split") == split
+        score = F.coalesce(-F.col(by), F.lit(float("inf")))
+        return F.min_by(F.when(here, F.col("model")), F.when(here, F.struct(score, F.col("model"))))
+
+    row = metrics.agg(best("val").alias("overall_validation_best_model"), best("test").alias("overall_test_best_model"),
+                      F.countDistinct("model").alias("n_total_models_evaluated"))
+    test = metrics.where(F.col("split") == "test").select(
+        F.col("model").alias("_m"), F.struct(*METRICS).alias("recommended_model_test_metrics"))
+    return row.join(test, F.col("_m") == F.col("overall_validation_best_model"), "left").select(
+        "overall_validation_best_model", "overall_test_best_model",
+        F.col("overall_validation_best_model").alias("recommended_model"),
+        F.lit(f"highest validation {by}").alias("recommendation_reason"),
+        "recommended_model_test_metrics", "n_total_models_evaluated")
+
+
 # K17
 def relative_gain(metrics: DataFrame, baseline: str, by=("split",), cols=None, model: str = "model") -> DataFrame:
     """% change of each model's metric over the named baseline model."""

@@ -8,8 +8,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# The columns of a metric table and of a best-model summary.
 METRIC_COLUMNS = ["model", "split", "pr_auc", "roc_auc", "precision_at_k", "lift_at_k",
                   "f1", "precision", "recall", "brier", "threshold"]
+BEST_MODEL_COLUMNS = ["overall_validation_best_model", "overall_test_best_model", "recommended_model",
+                      "recommendation_reason", "recommended_model_test_metrics", "n_total_models_evaluated"]
 SPLITS = ("train", "val", "test")
 
 
@@ -95,6 +98,14 @@ def metric_schema_gate(metrics: DataFrame) -> DataFrame:
     return _row(metrics, "metric_columns_present", F.lit(not missing), F.lit(len(missing)))
 
 
+def best_model_gate(best: DataFrame) -> DataFrame:
+    """The best-model summary has every column of ``BEST_MODEL_COLUMNS`` and a
+    recommendation; the detail is the number of missing columns."""
+    missing = [c for c in BEST_MODEL_COLUMNS if c not in best.columns]
+    named = F.count("recommended_model" if "recommended_model" in best.columns else F.lit(None)) > 0
+    return _row(best, "best_model_fields_present", named & F.lit(not missing), F.lit(len(missing)))
+
+
 def schema_checks(splits: dict[str, DataFrame], n_columns: int = 46) -> DataFrame:
     """Splits share one schema, with the expected column count."""
     frames = list(splits.values())
@@ -111,7 +122,8 @@ def schema_checks(splits: dict[str, DataFrame], n_columns: int = 46) -> DataFram
 def quality_report(split_frame: DataFrame, split: str = "split", key: str = "order_id",
                    time_col: str = "score_time", metrics: DataFrame | None = None,
                    summary: DataFrame | None = None, n_columns: int = 46,
-                   written: dict[str, DataFrame] | None = None, n_models: int = 6) -> DataFrame:
+                   written: dict[str, DataFrame] | None = None, n_models: int = 6,
+                   best_model: DataFrame | None = None) -> DataFrame:
     """All gates as rows (check, passed, detail). ``written``: the splits as
     read back one by one from where they were stored; the schema gate then
     compares the stored schemas with each other."""
@@ -122,4 +134,6 @@ def quality_report(split_frame: DataFrame, split: str = "split", key: str = "ord
         rows += [metric_schema_gate(metrics), metric_range_gate(metrics, n_models)]
     if summary is not None:
         rows.append(summary_gate(summary, split_frame))
+    if best_model is not None:
+        rows.append(best_model_gate(best_model))
     return union_metrics(*rows)

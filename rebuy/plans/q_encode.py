@@ -43,9 +43,12 @@ def q_impute_mode(spark, sf):
     return E.impute_mode(sp, E.fit_mode(train, CAT)).select("order_id", "split", *CAT)
 
 
-@register("standard_scale", build_sql(_S + _IMP_CTE + [("sc", ", ".join(
+_SC_CTE = [("sc", ", ".join(
     f"avg({c}) AS m_{c}, CASE WHEN stddev_pop({c}) > 0 THEN stddev_pop({c}) ELSE 1 END AS s_{c}" for c in NUM)
-    .join(["SELECT ", " FROM imp WHERE split = 'train'"]))],
+    .join(["SELECT ", " FROM imp WHERE split = 'train'"]))]
+
+
+@register("standard_scale", build_sql(_S + _IMP_CTE + _SC_CTE,
     "SELECT order_id, split, " + ", ".join(f"(imp.{c} - sc.m_{c}) / sc.s_{c} AS {c}" for c in NUM) + " FROM imp, sc",
     NUM), doubles=NUM)
 def q_scale(spark, sf):
@@ -84,6 +87,21 @@ def q_ordinal(spark, sf):
         "order_id", "split", "product_category_main", "product_category_main_code")
 
 
+_CODES_M = [("codes", f"""SELECT value, CAST(row_number() OVER (ORDER BY value) - 1 AS BIGINT) AS code FROM (
+  SELECT DISTINCT coalesce(CAST(product_category_main AS VARCHAR), '{E.MISSING}') AS value FROM sp WHERE split = 'train')""")]
+
+
+@register("ordinal_encode_missing", build_sql(_S + _CODES_M, f"""SELECT sp.order_id, sp.split, sp.product_category_main,
+  CAST(coalesce(codes.code, 0) AS INTEGER) AS product_category_main_code
+FROM sp LEFT JOIN codes ON coalesce(CAST(sp.product_category_main AS VARCHAR), '{E.MISSING}') = codes.value"""))
+def q_ordinal_missing(spark, sf):
+    """The form that embeddings take: NULL is a category, unseen values are 0."""
+    sp, train = _parts(spark, sf)
+    codes = E.fit_ordinal(train, "product_category_main", E.MISSING)
+    return E.ordinal_encode(sp, "product_category_main", codes, unknown=0, missing=E.MISSING).select(
+        "order_id", "split", "product_category_main", "product_category_main_code")
+
+
 def _te_sql(m):
     return [("gm", f"SELECT avg(CAST({TARGET} AS DOUBLE)) AS mu FROM sp WHERE split = 'train'"),
             ("te", f"""SELECT CAST(customer_state AS VARCHAR) AS value,
@@ -151,10 +169,22 @@ def q_baseline_cols(spark, sf):
     return E.baseline_columns(_splits(spark, sf))
 
 
-@register("column_transform")
+_CT_CTE = _IMP_CTE + _SC_CTE + [
+    ("ci", "SELECT order_id, split, " + ", ".join(f"coalesce(CAST({c} AS VARCHAR), {_mode_sql(c)}) AS {c}" for c in CAT) + " FROM sp"),
+    ("cats", " UNION ALL ".join(f"SELECT DISTINCT {i} AS block, {c} AS value FROM ci WHERE split = 'train'" for i, c in enumerate(CAT))),
+    ("pos", f"SELECT block, value, {len(NUM)} - 1 + row_number() OVER (ORDER BY block, value) AS position FROM cats"),
+]
+
+
+@register("column_transform", build_sql(_S + _CT_CTE, " UNION ALL ".join(
+    [f"SELECT order_id, split, CAST({i} AS INTEGER) AS position, (imp.{c} - sc.m_{c}) / sc.s_{c} AS value FROM imp, sc" for i, c in enumerate(NUM)]
+    + [f"""SELECT order_id, split, CAST(pos.position AS INTEGER), CAST(coalesce(ci.{c} = pos.value, false) AS DOUBLE)
+FROM ci, pos WHERE pos.block = {i}""" for i, c in enumerate(CAT)]), ["value"]), doubles=["value"])
 def q_column_transform(spark, sf):
     """Median-impute + scale numerics, mode-impute + one-hot categoricals,
-    assembled into one vector (fit on train, applied to every split)."""
+    assembled into one vector (fit on train, applied to every split); a row
+    for each place of each order's vector."""
     sp, train = _parts(spark, sf)
     pre = E.TabularPreprocessor(NUM, CAT).fit(train)
-    return pre.transform(sp).select("order_id", "split", vector_to_array("features").alias("features"))
+    return pre.transform(sp).select(
+        "order_id", "split", F.posexplode(vector_to_array("features")).alias("position", "value"))

@@ -3,6 +3,7 @@ functions (A1, B1–B16, G1–G3, C1–C11)."""
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import functions as F
@@ -10,6 +11,8 @@ from pyspark.sql import functions as F
 from ..functions import scalar as S
 from ..operators import assemble as A
 from ..operators import cohort as C
+from ..session import shared_path
+from ..sources import io as IO
 from ..sources.retail import retail_tables
 from .registry import build_sql, materialized, register, views
 from .sqlparts import DELIVERED_COLS, MF_DOUBLES, REVIEW_COLS, cohort_ctes, model_frame_ctes
@@ -56,6 +59,31 @@ def q_load_tables(spark, sf):
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+_CSV = {"orders": ("order_id", "order_purchase_timestamp"), "customers": ("customer_id", "customer_state"),
+        "sellers": ("seller_id", "seller_state"), "products": ("product_id", "product_category_name"),
+        "category_translation": ("product_category_name", "product_category_name_english"),
+        "order_items": ("order_id", "seller_id"), "order_payments": ("order_id", "payment_type"),
+        "order_reviews": ("review_id", "review_comment_message")}
+
+
+@register("load_tables_csv", build_sql(views(*RETAIL), " UNION ALL ".join(
+    f"""SELECT '{n}' AS table_name, count(*) AS n_rows, count(DISTINCT {k}) AS n_keys, count(nullif(CAST({c} AS VARCHAR), '')) AS n_values,
+  CAST(sum(length(CAST({c} AS VARCHAR))) AS BIGINT) AS n_chars FROM v_{n}""" for n, (k, c) in _CSV.items())))
+def q_load_tables_csv(spark, sf):
+    """Every retail table written as CSV and read back by the raw-table
+    source: rows, keys, and the values and characters of one column. An
+    empty field is NULL."""
+    t = _tables(spark, sf)
+    base = shared_path(spark, f"raw-{uuid.uuid4().hex}")
+    for n in _CSV:
+        IO.write_csv(t[n], f"{base}/{n}")
+    back = IO.load_tables(spark, {n: f"{base}/{n}" for n in _CSV}, {n: t[n].schema for n in _CSV}, multiline=("order_reviews",))
+    parts = [back[n].agg(F.lit(n).alias("table_name"), F.count(F.lit(1)).alias("n_rows"), F.countDistinct(k).alias("n_keys"),
+                         F.count(c).alias("n_values"), F.sum(F.length(F.col(c).cast("string"))).alias("n_chars"))
+             for n, (k, c) in _CSV.items()]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 # B1–B11 ---------------------------------------------------------------------
 _B = cohort_ctes()
 

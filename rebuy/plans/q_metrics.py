@@ -6,11 +6,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import scalar as S
+from ..operators import aggregates as G
 from ..operators import metrics as K
 from ..operators import models as M
 from ..operators import quality as Q
 from ..sources.retail import scored_orders
-from .q_split import _S, _splits
+from .q_split import _S, _SUM_SQL, _SUMMARY_GATE_SQL, _TO_SQL, _scratch, _splits
 from .registry import build_sql, register, views
 
 BY = ["model", "split"]
@@ -277,24 +278,61 @@ def q_union(spark, sf):
     return Q.union_metrics(*parts)
 
 
-@register("metric_range_gate", build_sql(_L, " UNION ALL ".join(
+_RANGE_SQL = " UNION ALL ".join(
     [f"""SELECT '{c}_in_unit_range' AS "check", CAST(count(*) FILTER (WHERE NOT coalesce({c} BETWEEN 0 AND 1, false)) = 0 AS INTEGER) AS passed,
   CAST(count(*) FILTER (WHERE NOT coalesce({c} BETWEEN 0 AND 1, false)) AS DOUBLE) AS detail FROM m_all"""
      for c in ["pr_auc", "roc_auc", "precision_at_k", "f1", "precision", "recall", "brier"]]
     + ["""SELECT 'lift_non_negative', CAST(count(*) FILTER (WHERE NOT coalesce(lift_at_k >= 0, false)) = 0 AS INTEGER),
   CAST(count(*) FILTER (WHERE NOT coalesce(lift_at_k >= 0, false)) AS DOUBLE) FROM m_all""",
-       """SELECT 'model_count', CAST(count(DISTINCT model) = 2 AS INTEGER), CAST(count(DISTINCT model) AS DOUBLE) FROM m_all"""])))
+       """SELECT 'model_count', CAST(count(DISTINCT model) = 2 AS INTEGER), CAST(count(DISTINCT model) AS DOUBLE) FROM m_all"""])
+
+
+@register("metric_range_gate", build_sql(_L, _RANGE_SQL))
 def q_gate(spark, sf):
     return Q.metric_range_gate(ladder(_scored(spark, sf)), n_models=2)
 
 
-# M1, M2, M13 ------------------------------------------------------------------
-def _model_frame_scored(spark, sf, p):
+@register("best_model_summary", build_sql(_L, """SELECT overall_validation_best_model, overall_test_best_model,
+  overall_validation_best_model AS recommended_model, 'highest validation pr_auc' AS recommendation_reason,
+  t.pr_auc AS test_pr_auc, t.brier AS test_brier, n_total_models_evaluated
+FROM (SELECT arg_min(model, (-pr_auc, model)) FILTER (WHERE split = 'val') AS overall_validation_best_model,
+    arg_min(model, (-pr_auc, model)) FILTER (WHERE split = 'test') AS overall_test_best_model,
+    count(DISTINCT model) AS n_total_models_evaluated FROM m_all) b
+  LEFT JOIN m_all t ON t.split = 'test' AND t.model = b.overall_validation_best_model""",
+    ["test_pr_auc", "test_brier"]), doubles=["test_pr_auc", "test_brier"])
+def q_best_model(spark, sf):
+    best = K.best_model_summary(ladder(_scored(spark, sf)))
+    return best.select(*[c for c in Q.BEST_MODEL_COLUMNS if c != "recommended_model_test_metrics"],
+                       F.col("recommended_model_test_metrics.pr_auc").alias("test_pr_auc"),
+                       F.col("recommended_model_test_metrics.brier").alias("test_brier"))
+
+
+@register("quality_report", build_sql(_S + _L + [("sm", _SUM_SQL)], f"""SELECT 'splits_share_schema' AS "check", 1 AS passed, CAST(NULL AS DOUBLE) AS detail
+UNION ALL SELECT 'splits_have_46_columns', 1, 46.0
+UNION ALL {" UNION ALL ".join(f'''SELECT 'unique_order_id_{s}', CAST(count(*) = 0 AS INTEGER), CAST(count(*) AS DOUBLE)
+FROM (SELECT order_id FROM sp WHERE split = '{s}' GROUP BY 1 HAVING count(*) > 1)''' for s in Q.SPLITS)}
+UNION ALL SELECT 'splits_disjoint', CAST(count(*) FILTER (WHERE k > 1) = 0 AS INTEGER),
+  CAST(count(*) FILTER (WHERE k > 1) AS DOUBLE) FROM (SELECT order_id, count(DISTINCT split) AS k FROM sp GROUP BY 1)
+UNION ALL {_TO_SQL}
+UNION ALL SELECT 'metric_columns_present', 1, 0.0
+UNION ALL {_RANGE_SQL}
+UNION ALL {_SUMMARY_GATE_SQL}
+UNION ALL SELECT 'best_model_fields_present', 1, 0.0"""))
+def q_quality_report(spark, sf):
+    """Each split is stored on its own and read back for the schema gate; the
+    metric gates judge the ladder of the two scorers."""
     sp = _splits(spark, sf)
-    return sp.select(F.lit("dummy_prior").alias("model"), "split", F.col("order_id").alias("id"),
-                     F.col(TARGET).alias("y"), p.alias("p"))
+    stored = {}
+    for s in Q.SPLITS:
+        path = _scratch(spark, f"split-{s}")
+        sp.where(F.col("split") == s).drop("split").write.parquet(path)
+        stored[s] = spark.read.parquet(path)
+    metrics = ladder(_scored(spark, sf))
+    return Q.quality_report(sp, written=stored, metrics=metrics, n_models=2, summary=G.dataset_summary(sp),
+                            best_model=K.best_model_summary(metrics))
 
 
+# M1, M2, M13 ------------------------------------------------------------------
 @register("dummy_prior", build_sql(_S + [("dp", f"""SELECT 'dummy_prior' AS model, split, order_id AS id, {TARGET} AS y,
   (SELECT avg(CAST({TARGET} AS DOUBLE)) FROM sp WHERE split = 'train') AS p FROM sp WHERE split <> 'train'""")]
     + ladder_ctes("dp"), "SELECT * FROM m_all", LADDER), doubles=LADDER)

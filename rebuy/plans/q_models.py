@@ -18,8 +18,8 @@ from ..operators import models as M
 from ..operators import profile as P
 from ..session import materialize, shared_path
 from ..sources import io as IO
-from .q_split import _splits
-from .registry import register
+from .q_split import _S, _splits
+from .registry import build_sql, register
 
 TARGET = "target_repeat_within_180d"
 
@@ -66,7 +66,8 @@ def q_ladder(spark, sf):
     return M.model_ladder(sp)
 
 
-@register("model_store")
+@register("model_store", build_sql(_S, """SELECT split, count(*) AS n, CAST(0 AS DOUBLE) AS max_abs_diff
+FROM sp WHERE split <> 'train' GROUP BY split"""))
 def q_store(spark, sf):
     """Fit, save, load back and score: the loaded model reproduces the
     fitted one's probabilities (max abs difference per split)."""
@@ -109,8 +110,7 @@ def q_grid_gbt(spark, sf):
 def _hybrid_inputs(spark, sf):
     sp, train, held = _tt(spark, sf)
     eng = S.engineer_features(sp)
-    from .q_profile import DL_NUMERIC
-    pre = E.TabularPreprocessor(DL_NUMERIC, [], scale=True, output="all_features").fit(
+    pre = E.TabularPreprocessor(A.HYBRID_NUMERIC, [], scale=True, output="all_features").fit(
         eng.filter(F.col("split") == "train"))
     data = materialize(pre.transform(M.prepare(eng)), "hybrid")
     return data.filter(F.col("split") == "train"), data.filter(F.col("split") != "train")
@@ -247,13 +247,12 @@ def q_lr_all(spark, sf):
     """M4, tuned variant: balanced LR on the 43 numeric and engineered
     features plus train target encodings of the four categoricals
     (NULL / ±inf -> 0, population scaling), scored on val and test."""
-    from .q_profile import DL_NUMERIC
     sp, _, _ = _tt(spark, sf)
     eng = S.engineer_features(sp)
     train = eng.filter(F.col("split") == "train")
     for c in E.BASELINE_CATEGORICAL:
         eng = E.target_encode(eng, c, E.fit_target_encoding(train, c, TARGET))
-    cols = DL_NUMERIC + [f"{c}_target_enc" for c in E.BASELINE_CATEGORICAL]
+    cols = A.DL_NUMERIC + [f"{c}_target_enc" for c in E.BASELINE_CATEGORICAL]
     eng = S.sanitize(eng, cols, "zero")
     tm = M.TabularModel("tabular_lr_all", cols, [], lambda n: M.logistic("all_features", "weight", n))
     tm.fit(eng.filter(F.col("split") == "train"))

@@ -76,9 +76,7 @@ _eng_query("interactions", ["score_x_delivery", "text_x_score", "price_x_late"])
 _eng_query("engineer_features", S.ENGINEERED)
 
 # 43 numeric model inputs, ±inf/NaN/NULL -> 0
-DL_NUMERIC = [c for c in A.NUMERIC_COLUMNS if c not in (
-    "total_price", "total_freight", "payment_value_total", "approval_lag_hours", "delivery_delay_days",
-    "product_weight_g_mean", "package_volume_cm3_mean", "log1p_delivery_days")] + S.ENGINEERED
+DL_NUMERIC = A.DL_NUMERIC
 
 
 @register("sanitize", build_sql(_P, "SELECT order_id, " + ", ".join(

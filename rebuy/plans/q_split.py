@@ -146,25 +146,6 @@ UNION ALL SELECT 'summary_baseline_match', 1, 20.0
 UNION ALL SELECT 'summary_rows_match', CAST((SELECT n_modeling_rows FROM sm) = count(*) AS INTEGER), CAST(count(*) AS DOUBLE) FROM sp"""
 
 
-@register("quality_report", build_sql(_S + [("sm", _SUM_SQL)], f"""SELECT 'splits_share_schema' AS "check", 1 AS passed, CAST(NULL AS DOUBLE) AS detail
-UNION ALL SELECT 'splits_have_46_columns', 1, 46.0
-UNION ALL {" UNION ALL ".join(f'''SELECT 'unique_order_id_{s}', CAST(count(*) = 0 AS INTEGER), CAST(count(*) AS DOUBLE)
-FROM (SELECT order_id FROM sp WHERE split = '{s}' GROUP BY 1 HAVING count(*) > 1)''' for s in Q.SPLITS)}
-UNION ALL SELECT 'splits_disjoint', CAST(count(*) FILTER (WHERE k > 1) = 0 AS INTEGER),
-  CAST(count(*) FILTER (WHERE k > 1) AS DOUBLE) FROM (SELECT order_id, count(DISTINCT split) AS k FROM sp GROUP BY 1)
-UNION ALL {_TO_SQL}
-UNION ALL {_SUMMARY_GATE_SQL}"""))
-def q_quality_report(spark, sf):
-    """Each split is stored on its own and read back for the schema gate."""
-    sp = _splits(spark, sf)
-    stored = {}
-    for s in Q.SPLITS:
-        path = _scratch(spark, f"split-{s}")
-        sp.where(F.col("split") == s).drop("split").write.parquet(path)
-        stored[s] = spark.read.parquet(path)
-    return Q.quality_report(sp, written=stored, summary=G.dataset_summary(sp))
-
-
 @register("dataset_summary", build_sql(_S + [("sm", _SUM_SQL)], "SELECT * FROM sm", _SUM_D), doubles=_SUM_D)
 def q_dataset_summary(spark, sf):
     return G.dataset_summary(_splits(spark, sf))

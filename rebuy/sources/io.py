@@ -21,13 +21,21 @@ def load_tables(spark: SparkSession, paths: dict[str, str], schemas: dict[str, T
             r = r.schema(schemas[name])
         if fmt == "csv":
             r = (r.option("header", True).option("multiLine", multiline is None or name in multiline).option("escape", '"')
-                  .option("encoding", "UTF-8").option("timestampFormat", "yyyy-MM-dd HH:mm:ss"))
+                  .option("encoding", "UTF-8").option("timestampFormat", "yyyy-MM-dd HH:mm:ss")
+                  .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss"))
             out[name] = r.csv(path)
         else:
             out[name] = r.format(fmt).load(path)
     return out
 
 
+def write_csv(df: DataFrame, path: str) -> None:
+    """Write a raw table as ``load_tables`` reads it."""
+    (df.write.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False)
+       .option("ignoreTrailingWhiteSpace", False).option("timestampFormat", "yyyy-MM-dd HH:mm:ss")
+       .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path))
+
+
 # A2
 def write_splits(df: DataFrame, path: str, split: str = "split", fmt: str = "parquet") -> None:
     """Write the split frame partitioned by split (one folder per split)."""

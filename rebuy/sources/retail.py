@@ -134,16 +134,6 @@ def v_reviews(spark, sf_dir):
     )
 
 
-def v_scores(spark, sf_dir):
-    o = read_table(spark, sf_dir, "orders")
-    k = F.col("o_orderkey")
-    return o.select(
-        k.alias("id"),
-        F.when(F.col("o_orderpriority") == "1-URGENT", 1).otherwise(0).alias("y"),
-        (((k * 37) % 101).cast("double") / 101).alias("p"),
-    )
-
-
 BUILDERS = {
     "orders": v_orders,
     "customers": v_customers,
@@ -208,16 +198,6 @@ FROM orders""",
 }
 
 
-def with_views(names, body: str) -> str:
-    """Prefix ``body`` with the named views as CTEs ``v_<name>``.
-
-    ``body`` may itself start with further CTEs written as ``name AS (...)``
-    separated by commas (pass them without the WITH keyword via ``ctes``).
-    """
-    ctes = ",\n".join(f"v_{n} AS (\n{VIEW_SQL[n]}\n)" for n in names)
-    return f"WITH {ctes}\n{body}"
-
-
 def scored_orders(spark, sf_dir):
     """Scored rows (model, split, id, y, p) for the metric operators: the
     fixture label (urgent priority) and two seeded scorers over every order;
