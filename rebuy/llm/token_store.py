@@ -29,16 +29,20 @@ from .common import pieces, shared
 
 #: White space of the split pattern; Python splits at four more characters.
 _ODD = (b"\x1c", b"\x1d", b"\x1e", b"\x1f")
+#: Marks that may follow a word; an apostrophe can begin a piece with letters.
+_TAIL = ".,;:!?)\"-"
 
 
 class CachedEncoder:
     """Encodes with the tokenizers library, each white-space-free chunk of
     text once. Right for tokenizers that drop white space before they split
     and whose added tokens hold none; others encode whole texts. New chunks
-    go through the library many at a time, with a special token between
-    them at whose id the result is cut."""
+    go through the library many at a time. Words, and words with a mark after
+    them, have one or two pieces: where pieces end in tokens of a known form,
+    the result is cut there, if the number of ends is right. Other chunks are
+    cut at the id of a special token put between them."""
 
-    def __init__(self, spec: str, limit: int = 250_000):
+    def __init__(self, spec: str, limit: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
         # What one task has learned serves the later tasks of its worker.
@@ -47,6 +51,12 @@ class CachedEncoder:
         self.lib, self.limit = Tokenizer.from_str(spec), limit
         added = json.loads(spec)["added_tokens"]
         self.added = [t["content"].encode() for t in added]
+        model = json.loads(spec)["model"]
+        suffix = model.get("end_of_word_suffix")
+        self.ends = None
+        if suffix:
+            self.ends = np.zeros(max(model["vocab"].values()) + len(added) + 1, bool)
+            self.ends[[i for t, i in model["vocab"].items() if t.endswith(suffix)]] = True
         self.mark, self.mark_id = next(((t["content"], t["id"]) for t in added if t["special"]), (None, None))
         a, b = "one", "twö"
         self.by_chunk = all(self.ids(a + s + b) == self.ids(a) + self.ids(b) for s in (" ", "\n", "　", " \t "))
@@ -54,6 +64,37 @@ class CachedEncoder:
     def ids(self, text: str) -> list[int]:
         return self.lib.encode(text, add_special_tokens=False).ids
 
+    def many(self, text: str) -> np.ndarray:
+        return np.array(self.lib.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
+    def keep(self, chunks: list[bytes], ids: np.ndarray, starts: list[int], stops: list[int]) -> None:
+        raw = ids.tobytes()
+        self.cache.update({c: raw[a:b] for c, a, b in zip(chunks, starts, stops)})
+
+    def learn_words(self, chunks: list[bytes]) -> list[bytes]:
+        """Put the ids of words into the cache, return the other chunks."""
+        whole = b" ".join(chunks)
+        if any(a in whole for a in self.added):
+            others = [c for c in chunks if any(a in c for a in self.added)]
+            chunks = [c for c in chunks if not any(a in c for a in self.added)]
+        else:
+            others = []
+        ones, twos = [], []
+        for c in chunks:
+            text = c.decode()
+            (ones if text.isalpha() else twos if text.rstrip(_TAIL).isalpha() else others).append(c)
+        for n, group in (1, ones), (2, twos):  # a chunk has n pieces or more
+            for at in range(0, len(group), 256):
+                part = group[at:at + 256]
+                ids = self.many(b" ".join(part).decode())
+                stops = (np.flatnonzero(self.ends[ids]) + 1) * 4
+                if len(stops) == n * len(part):
+                    stops = stops[n - 1::n].tolist()
+                    self.keep(part, ids, [0, *stops], stops)
+                else:
+                    others += part
+        return others
+
     def learn(self, chunks: list[bytes]) -> None:
         """Put the ids of chunks into the cache."""
         alone = [c for c in chunks if self.mark is None or any(a in c for a in self.added)]
@@ -64,10 +105,9 @@ class CachedEncoder:
         if not chunks:
             return
         joined = f" {self.mark} ".join([c.decode() for c in chunks])
-        ids = np.array(self.lib.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
+        ids = self.many(joined)
         cut = np.flatnonzero(ids == self.mark_id) * 4
-        raw = ids.tobytes()
-        self.cache.update({c: raw[a:b] for c, a, b in zip(chunks, [0, *(cut + 4).tolist()], [*cut.tolist(), len(raw)])})
+        self.keep(chunks, ids, [0, *(cut + 4).tolist()], [*cut.tolist(), len(ids) * 4])
 
     def encode_batch(self, texts: list[bytes | None]) -> list[bytes]:
         """Ids of each UTF-8 text as little-endian 32-bit integers."""
@@ -79,10 +119,11 @@ class CachedEncoder:
         for chunks in lists:
             if chunks is not None:
                 new.update(chunks)
-        new.difference_update(self.cache)
-        new = list(new)
-        for at in range(0, len(new), 256):
-            self.learn(new[at:at + 256])
+        new = [c for c in new if c not in self.cache]
+        if self.ends is not None:
+            new = self.learn_words(new)
+        for at in range(0, len(new), 64):
+            self.learn(new[at:at + 64])
         get = self.cache.__getitem__
         return [np.array(self.ids((t or b"").decode()), "<u4").tobytes() if chunks is None else b"".join(map(get, chunks))
                 for t, chunks in zip(texts, lists)]
