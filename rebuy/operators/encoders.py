@@ -165,22 +165,17 @@ def tfidf_weights(df: DataFrame, vocab: DataFrame, text: str = "review_text", id
 def tfidf_vectors(df: DataFrame, weights: DataFrame, size: int, id_col: str = "order_id",
                   name: str = "text_features") -> DataFrame:
     """Attach a sparse vector per row (empty for rows without vocabulary
-    terms). Python only wraps the sorted index and weight lists of an Arrow
-    batch as the vector type's columns; no row is touched."""
-    import pyarrow as pa
-    from pyspark.ml.linalg import VectorUDT
-
-    @F.arrow_udf(VectorUDT())
-    def pack(index: pa.Array, weight: pa.Array) -> pa.Array:
-        n = len(index)
-        return pa.StructArray.from_arrays(
-            [pa.array([0] * n, pa.int8()), pa.array([size] * n, pa.int32()), index, weight],
-            ["type", "size", "indices", "values"])
+    terms); the only Python is packing sorted (index, weight) pairs."""
+    from pyspark.ml.linalg import SparseVector, VectorUDT
+
+    @F.udf(VectorUDT())
+    def pack(pairs):
+        pairs = pairs or []
+        return SparseVector(size, [p[0] for p in pairs], [p[1] for p in pairs])
 
     per_doc = weights.groupBy(id_col).agg(
         F.sort_array(F.collect_list(F.struct(F.col("index").cast("int"), F.col("weight")))).alias("_pairs"))
-    return df.join(per_doc, id_col, "left").withColumn("_pairs", F.coalesce("_pairs", F.array().cast(per_doc.schema["_pairs"].dataType))) \
-             .withColumn(name, pack(F.col("_pairs")["index"], F.col("_pairs")["weight"])).drop("_pairs")
+    return df.join(per_doc, id_col, "left").withColumn(name, pack("_pairs")).drop("_pairs")
 
 
 # E9
