@@ -1,18 +1,26 @@
 """Quality rules whose cutoffs come with a guarantee.
 
 Each rule is a score of a text; a document goes if a score exceeds the rule's
-cutoff for its stratum. Cutoffs are tried from lenient to strict on a labelled
-holdout. A cutoff stands if the exact binomial test rejects "this cutoff
-wrongly rejects more than its share of the good documents"; the first that does
-not ends the search for that rule and stratum (fixed-sequence testing, which
-needs no further correction along the sequence). Over the rules and strata the
-level is divided by their number (Bonferroni). So with probability
-``1 - level`` the rules together reject no more than ``risk`` of the good
-documents of any stratum (each rule gets an equal share of it). A stratum with too few labels keeps all documents: its cutoffs are
-null.
-
-Only counts are moved: labelled documents are counted by stratum, rule and
-first cutoff they exceed, before any shuffle; the test sees one row for each.
+cutoff for its stratum. A stratum's cutoffs are chosen together on a labelled
+holdout: one sequence of cutoff vectors tightens one cutoff of one rule a step,
+and a vector stands if the exact binomial test rejects "all rules at these
+cutoffs wrongly reject more than ``risk`` of the good documents"; the first that
+does not ends the search (fixed-sequence testing, which needs no further
+correction along the sequence). The order of the rules comes from the bad
+documents alone, so the test of the good ones stays valid. The level is divided
+by the number of strata (Bonferroni).
+
+A stratum whose good labels could not pass any test (``fewest``) shares the
+cutoffs of a pool: that of all such strata if their labels suffice, else that of
+all strata. So with probability ``1 - level`` the rules together reject no more
+than ``risk`` of the good documents of each stratum with cutoffs of its own, and
+of the good documents of the pool, mixed as its labels are; a single stratum of a
+pool has no bound of its own. If even the pool has too few labels the cutoffs are
+null and its strata keep all documents.
+
+Only counts are moved: labelled documents are counted by stratum, label and the
+number of cutoffs of each rule they exceed, before any shuffle; a test sees one
+row for each such vector.
 """
 
 from __future__ import annotations
@@ -119,42 +127,79 @@ def upper_bound(k: int, n: int, level: float) -> float:
     return hi
 
 
+def fewest(tests: int, risk: float, level: float) -> int:
+    """Good labels needed for a test to pass when none of them is rejected."""
+    return math.ceil(math.log(level / tests) / math.log1p(-risk))
+
+
+def path(over: np.ndarray, n: np.ndarray) -> list[tuple[int, int]]:
+    """Steps (rule, cutoff) of the sequence. The rules that reject the most bad
+    documents not rejected by those before come first, each with all its
+    cutoffs; rules that reject none then take turns. ``over``: cutoffs that
+    ``n`` bad documents exceed, by rule."""
+    sizes = [len(cutoffs) for _, cutoffs in RULES.values()]
+    rest, order, left = list(range(len(sizes))), [], np.ones(len(n), bool)
+    while rest:
+        gains = [int(n[left & (over[:, r] > 0)].sum()) for r in rest]
+        if not max(gains):
+            break
+        order.append(rest.pop(gains.index(max(gains))))
+        left &= over[:, order[-1]] == 0
+    return [(r, j) for r in order for j in range(sizes[r])] + [(r, j) for j in range(max(sizes)) for r in rest if j < sizes[r]]
+
+
 def thresholds(labelled: DataFrame, stratum: str = "stratum", good: str = "good", risk: float = 0.02,
                level: float = 0.05) -> DataFrame:
-    """``stratum``, ``rule``, ``cutoff`` (null: none stands), ``n_good``,
-    ``n_rejected`` and ``bound`` (upper bound of the rate of good documents
-    the cutoff rejects) from labelled rows with features.
+    """``stratum``, ``rule``, ``cutoff`` (null: none stands), ``pool`` (own,
+    small or all: whose labels chose the cutoffs), and of that pool ``n_good``,
+    ``n_rejected`` (good labels that all its cutoffs together reject) and
+    ``bound`` (upper bound of that rate, null without cutoffs) from labelled
+    rows with features.
 
     Rows whose label is null or that fail the base rules take no part. A null
-    stratum is a stratum of its own. No labels give an empty result.
+    stratum is a stratum of its own; one without good labels is left out. No
+    labels give an empty result.
     """
-    rows = labelled.where(F.col(good) & ~base_failed())
-    firsts = []  # how many of a rule's cutoffs the row exceeds
-    for rule, (_, cutoffs) in RULES.items():
-        over = sum((F.coalesce(score(rule) > c, F.lit(False)).cast("int") for c in cutoffs), F.lit(0))
-        firsts.append(F.struct(F.lit(rule).alias("rule"), over.alias("over")))
-    counts = (rows.select(F.col(stratum).alias("stratum"), F.explode(F.array(*firsts)).alias("x"))
-              .groupBy("stratum", "x.rule", "x.over").agg(F.count(F.lit(1)).alias("n")))
+    names = list(RULES)
+    rows = labelled.where(F.col(good).isNotNull() & ~base_failed())
+    # How many of each rule's cutoffs the row exceeds.
+    over = [sum((F.coalesce(score(r) > c, F.lit(False)).cast("int") for c in RULES[r][1]), F.lit(0)).alias(f"over_{r}") for r in names]
+    keys = [f"over_{r}" for r in names]
+    counts = rows.select(F.col(stratum).alias("stratum"), F.col(good).alias("good"), *over).groupBy("stratum", "good", *keys).agg(
+        F.count(F.lit(1)).alias("n"))
     counts = written(counts, "label-counts")
-    risk = risk / len(RULES)
-    tests = max(1, counts.select("stratum", "rule").distinct().count())
+    sizes = written(counts.where("good").groupBy(F.col("stratum").alias("_s")).agg(F.sum("n").alias("n_good")), "label-sizes")
+    tests = max(1, sizes.count())
+    need = fewest(tests, risk, level)
+    few = sizes.where(F.col("n_good") < need)
+    kind = "small" if (few.agg(F.sum("n_good").alias("n")).first()["n"] or 0) >= need else "all"
+    placed = counts.join(sizes, F.col("stratum").eqNullSafe(F.col("_s")))
+    nobody = F.lit(None).cast(counts.schema["stratum"].dataType)
+    # A pool's documents are counted by vector again: its size does not grow with theirs.
+    pooled = (placed.where(F.col("n_good") < need) if kind == "small" else placed).groupBy("good", *keys).agg(F.sum("n").alias("n"))
+    pools = placed.where(F.col("n_good") >= need).select(F.lit("own").alias("pool"), "stratum", "good", *keys, "n").unionByName(
+        pooled.select(F.lit(kind).alias("pool"), nobody.alias("stratum"), "good", *keys, "n"))
     schema = T.StructType([counts.schema["stratum"], T.StructField("rule", T.StringType()), T.StructField("cutoff", T.DoubleType()),
-                           T.StructField("n_good", T.LongType()), T.StructField("n_rejected", T.LongType()),
-                           T.StructField("bound", T.DoubleType())])
+                           T.StructField("pool", T.StringType()), T.StructField("n_good", T.LongType()),
+                           T.StructField("n_rejected", T.LongType()), T.StructField("bound", T.DoubleType())])
 
     def choose(pdf):
-        rule, n = pdf["rule"].iloc[0], int(pdf["n"].sum())
-        best = (None, 0)
-        for j, cutoff in enumerate(RULES[rule][1]):
-            # Cutoffs go from lenient to strict: a row over the j-th is over all before.
-            k = int(pdf.loc[pdf["over"] > j, "n"].sum())
-            if binomial_tail(k, n, risk) > level / tests:
+        bad, fine = pdf[~pdf["good"].astype(bool)], pdf[pdf["good"].astype(bool)]
+        exceeds, weight = fine[keys].to_numpy(), fine["n"].to_numpy()
+        n, k, cutoffs, gone = int(weight.sum()), 0, [None] * len(names), np.zeros(len(weight), bool)
+        for r, j in path(bad[keys].to_numpy(), bad["n"].to_numpy()):
+            # Cutoffs go from lenient to strict: a row over the j-th is over all after it.
+            more = gone | (exceeds[:, r] >= len(RULES[names[r]][1]) - j)
+            if binomial_tail(int(weight[more].sum()), n, risk) > level / tests:
                 break
-            best = (cutoff, k)
-        bound = upper_bound(best[1], n, level / tests) if best[0] is not None else None
-        return pdf.iloc[:1].assign(cutoff=best[0], n_good=n, n_rejected=best[1], bound=bound)[schema.names]
+            gone, k, cutoffs[r] = more, int(weight[more].sum()), RULES[names[r]][1][j]
+        bound = upper_bound(k, n, level / tests) if any(c is not None for c in cutoffs) else None
+        out = pdf.iloc[[0] * len(names)].assign(rule=names, cutoff=cutoffs, n_good=n, n_rejected=k, bound=bound)
+        return out[schema.names]
 
-    return counts.groupBy("stratum", "rule").applyInPandas(choose, schema)
+    chosen = written(pools.groupBy("pool", "stratum").applyInPandas(choose, schema), "chosen")
+    own, shared = chosen.where("pool = 'own'"), chosen.where("pool <> 'own'").drop("stratum")
+    return own.unionByName(few.select(F.col("_s").alias("stratum")).crossJoin(shared).select(*schema.names))
 
 
 def verdicts(measured: DataFrame, cutoffs: DataFrame, stratum: Column) -> DataFrame:
@@ -177,14 +222,14 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     ``base_failed``, ``failed_rule`` and ``kept``; cutoffs are chosen on the
     documents that ``labels`` (id, quality 0 or 1) covers.
 
-    Null and blank texts fail the base rules. Rows of a null or unlabelled
-    stratum are judged by the base rules, and by cutoffs if that stratum has
-    labels. Null ids match no label; a repeated id takes part once a label row
+    Null and blank texts fail the base rules. Rows of a null stratum, or of one
+    without good labels, are judged by the base rules, and by cutoffs if that
+    stratum has good labels. Null ids match no label; a repeated id takes part once a label row
     and document row. Empty tables give an empty result.
     """
     # Measured once and written; the labels then meet numbers, not texts.
     measured = written(features(docs, text_col, keep_text), "features", compression="zstd")
-    named = labels.select(F.col(id_col).alias("_id"), (F.col(quality_col) == 1).alias("good")).where("_id is not null and good")
+    named = labels.select(F.col(id_col).alias("_id"), (F.col(quality_col) == 1).alias("good")).where("_id is not null and good is not null")
     some = measured.select(F.col("row")[id_col].alias("_doc"), F.col("row")[stratum_col].alias("stratum"), *FEATURES)
     cutoffs = written(thresholds(some.join(named, F.col("_doc") == F.col("_id")), risk=risk, level=level), "cutoffs")
     return verdicts(measured, cutoffs, F.col("row")[stratum_col])

@@ -125,6 +125,38 @@ def test_quality_cutoffs_hold(spark, docs):
     assert quality_rules.judge(empty(spark), labels).count() == 0
 
 
+def labelled_features(spark, counts):
+    """Rows of 100 words and 500 characters: (stratum, good, symbols, repeated words, how many)."""
+    rows = [(s, g, 100, 500, sym, 0, rep) for s, g, sym, rep, n in counts for _ in range(n)]
+    return spark.createDataFrame(rows, "stratum string, good boolean, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long")
+
+
+def test_quality_cutoffs_need_few_labels(spark):
+    # 230 good labels suffice for one of four strata; 90 and 60 and 70 only together, 4 not at all by themselves.
+    counts = [("en", True, 0, 0, 230), ("en", False, 30, 0, 9), ("de", True, 0, 0, 90), ("de", False, 30, 0, 3), (None, True, 0, 0, 60),
+              ("fr", True, 0, 0, 70), ("it", False, 30, 0, 5), ("en", None, 0, 0, 5)]
+    found = {(r["stratum"], r["rule"]): r for r in quality_rules.thresholds(labelled_features(spark, counts)).collect()}
+    assert quality_rules.fewest(4, 0.02, 0.05) == 217 and {s for s, _ in found} == {"en", "de", "fr", None}
+    assert {(s, r["pool"], r["n_good"], r["n_rejected"]) for (s, _), r in found.items()} == {
+        ("en", "own", 230, 0), ("de", "small", 220, 0), ("fr", "small", 220, 0), (None, "small", 220, 0)}
+    assert all(r["cutoff"] == quality_rules.RULES[rule][1][-1] and r["bound"] <= 0.02 for (_, rule), r in found.items())
+    fewer = quality_rules.thresholds(labelled_features(spark, counts[:3])).collect()
+    assert {(r["stratum"], r["pool"], r["n_good"]) for r in fewer} == {("en", "own", 230), ("de", "all", 320)}
+    assert all(r["cutoff"] is None for r in quality_rules.thresholds(labelled_features(spark, counts[2:5])).collect())
+
+
+def test_quality_cutoffs_are_judged_together(spark):
+    # Repeats tighten until the good documents lost by all rules together are too many, not beyond and not before.
+    counts = [("en", True, 0, 0, 964), ("en", True, 0, 18, 5), ("en", True, 0, 12, 11), ("en", True, 30, 0, 5), ("en", True, 0, 9, 15),
+              ("en", False, 200, 0, 50), ("en", False, 0, 19, 40)]
+    found = quality_rules.thresholds(labelled_features(spark, counts)).collect()
+    cuts = {r["rule"]: r["cutoff"] for r in found}
+    lost = lambda sym, rep: sum(n for _, g, s, p, n in counts if g and (s / 500 > sym or p / 100 > rep))
+    allowed = max(k for k in range(50) if quality_rules.binomial_tail(k, 1000, 0.02) <= 0.05)
+    assert cuts["symbols"] == 0.05 and cuts["repeats"] == 0.15 and {r["n_rejected"] for r in found} == {lost(0.05, 0.15)}
+    assert lost(0.05, 0.2) < lost(0.05, 0.15) <= allowed < lost(0.05, 0.1)
+
+
 def brute_repeats(rows, w):
     ws = [split(t) for _, t in rows]
     c = collections.Counter(tuple(x[i:i + w]) for x in ws for i in range(len(x) - w + 1))
