@@ -328,6 +328,29 @@ def test_shards(spark, docs):
     assert sharding.shard(empty(spark), limit).count() == 0
 
 
+def test_written_shards(spark, docs):
+    limit, docs = 20_000, docs.drop("key")
+    # 300 rows without an id and 100 copies under one id: each far over the limit.
+    more = [(None, f"t{i} " + "y" * 300, "en", "a", 1, "r", "s") for i in range(300)] + [(7000, "z" * 900, "en", "a", 1, "r", "s")] * 100
+    docs = docs.unionByName(spark.createDataFrame(more, docs.schema))
+    path = shared(spark, "shards")
+    sharding.write_shards(docs, path, limit)
+    stored = spark.read.parquet(path)
+    assert stored.drop("shard").exceptAll(docs).isEmpty() and docs.exceptAll(stored.drop("shard")).isEmpty()
+    found = sharding.read_shards(docs, path).toPandas()
+    assert sorted(zip(found.shard, found.shard_rows, found.shard_bytes)) == sorted(
+        map(tuple, sharding.shard(docs, limit).select("shard", "shard_rows", "shard_bytes").collect()))
+    by = found.groupby("shard")
+    assert (by.bytes.sum() == by.shard_bytes.first()).all() and (by.shard_rows.first() == by.size()).all()
+    assert (found[found.shard_bytes > limit].shard_rows == 1).all() and (found.depth == found.shard.str.len()).all()
+    shards = sorted(found.shard.unique())
+    assert not any(b.startswith(a) for a, b in zip(shards, shards[1:]))
+    assert len({x.shard for x in found.itertuples() if x.row["doc_id"] == 7000}) >= 5
+    none = shared(spark, "shards")
+    sharding.write_shards(empty(spark), none, limit)
+    assert sharding.read_shards(empty(spark), none).count() == 0
+
+
 def test_topk(spark):
     r = random.Random(2)
     vecs = [(i, [r.uniform(-1, 1) for _ in range(8)]) for i in range(300)]
