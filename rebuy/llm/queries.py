@@ -6,11 +6,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, quality_rules, sharding, simhash, substring_dedup, token_rollup, token_store, topk, warc
+from . import alignment, bpe, mixing, quality_rules, sharding, simhash, substring_dedup, token_rollup, token_store, topk, warc
 from .common import shared, written
 from .oracles import ORACLES
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+#: The two tokenizers that op13 aligns.
+BYTE_LEVEL, PIECES = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 #: Id appended to each document of the token store.
 END_ID = 2
 #: Byte limit of a shard.
@@ -104,9 +106,16 @@ def op10_voronoi_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("id") % 50 == 0)
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens, groups and links of two tokenizers over every document."""
+    found = alignment.align(table(spark, sf_dir, "documents").select("doc_id", "text"), BYTE_LEVEL, PIECES)
+    return found.select("row.doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 def queries() -> dict:
     own = (op1_source_mix, op2_quality_rules, op3_substring_dedup, op4_arc_to_warc, op5_bpe_codec, op6_token_rollup,
-           op7_simhash, op8_token_store, op9_extendible_shards, op10_voronoi_topk)
+           op7_simhash, op8_token_store, op9_extendible_shards, op10_voronoi_topk,
+           op13_token_alignment)
     return {f.__name__: f for f in own}
 
 
