@@ -28,4 +28,45 @@ WITH v AS (
 SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) t
 WHERE rank <= 5""",
+    # crc32 of a decimal number, byte by byte and bit by bit.
+    "op11_prefix_trie": r"""
+WITH RECURSIVE ids AS (SELECT DISTINCT conv_id, CAST(conv_id AS VARCHAR) AS s FROM conversations WHERE conv_id IS NOT NULL),
+bits AS (
+  SELECT conv_id, s, 0 AS i, CAST(4294967295 AS BIGINT) AS c FROM ids
+  UNION ALL
+  SELECT conv_id, s, i + 1, CASE WHEN x % 2 = 1 THEN xor(x >> 1, CAST(3988292384 AS BIGINT)) ELSE x >> 1 END
+  FROM (SELECT *, CASE WHEN i % 8 = 0 THEN xor(c, CAST(ascii(substr(s, CAST(i // 8 + 1 AS INT), 1)) AS BIGINT)) ELSE c END AS x FROM bits) b
+  WHERE i < 8 * length(s)
+), own AS (
+  SELECT conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')}
+    ORDER BY turn NULLS FIRST, coalesce(role, ''), sha256(concat(strlen(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, '')))) AS t
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), seq AS (
+  SELECT own.conv_id, CAST(xor(c, CAST(4294967295 AS BIGINT)) % 4 AS INT) AS h, own.t AS t, head.t AS head
+  FROM own JOIN bits ON bits.conv_id = own.conv_id AND bits.i = 8 * length(s)
+  LEFT JOIN own head ON head.conv_id = own.conv_id - own.conv_id % 20
+), rebuilt AS (
+  SELECT conv_id, list_concat(coalesce(head[1:h], []), t[h + 1:]) AS t FROM seq
+), member AS (
+  SELECT conv_id, t[1:d] AS path, CAST(d AS BIGINT) AS depth, len(t) = d AS ends
+  FROM (SELECT conv_id, t, unnest(range(0, len(t) + 1)) AS d FROM rebuilt)
+), node AS (
+  SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs, row_number() OVER () AS id,
+    coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ends), '') AS ends,
+    CASE WHEN depth > 0 THEN (count(*) - 1) * len(regexp_extract_all(path[-1].text, '[^\x20\x09-\x0D]+')) ELSE 0 END AS saved
+  FROM member GROUP BY path, depth
+), linked AS (
+  SELECT c.*, p.id AS parent, p.conv_id AS parent_conv_id FROM node c LEFT JOIN node p ON p.depth = c.depth - 1 AND p.path = c.path[1:c.depth - 1]
+), sized AS (
+  SELECT l.*, (SELECT count(*) FROM linked k WHERE k.parent = l.id) AS n_children FROM linked l
+), below AS (
+  SELECT id AS top, id, n_children, saved FROM sized
+  UNION ALL
+  SELECT b.top, s.id, s.n_children, s.saved FROM below b JOIN sized s ON s.parent = b.id
+), sums AS (
+  SELECT top, CAST(sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_leaves, CAST(sum(saved) AS BIGINT) AS saved_tokens
+  FROM below GROUP BY top
+)
+SELECT conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, sha256(ends) AS ends_sha256
+FROM sized JOIN sums ON sums.top = sized.id""",
 }

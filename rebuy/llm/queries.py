@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import alignment, bpe, mixing, quality_rules, sharding, simhash, substring_dedup, token_rollup, token_store, topk, warc
+from . import alignment, bpe, mixing, prefix_trie, quality_rules, sharding, simhash, substring_dedup, token_rollup, token_store, topk, warc
 from .common import shared, written
 from .oracles import ORACLES
 
@@ -106,6 +106,13 @@ def op10_voronoi_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("id") % 50 == 0)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of all conversations, rebuilt with shared
+    first turns."""
+    turns = prefix_trie.turn_rows(table(spark, sf_dir, "conversations"))
+    return prefix_trie.prefix_trie(prefix_trie.with_shared_heads(turns))
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens, groups and links of two tokenizers over every document."""
     found = alignment.align(table(spark, sf_dir, "documents").select("doc_id", "text"), BYTE_LEVEL, PIECES)
@@ -115,7 +122,7 @@ def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     own = (op1_source_mix, op2_quality_rules, op3_substring_dedup, op4_arc_to_warc, op5_bpe_codec, op6_token_rollup,
            op7_simhash, op8_token_store, op9_extendible_shards, op10_voronoi_topk,
-           op13_token_alignment)
+           op11_prefix_trie, op13_token_alignment)
     return {f.__name__: f for f in own}
 
 
