@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import alignment, bpe, mixing, prefix_trie, quality_rules, sharding, simhash, substring_dedup, token_rollup, token_store, topk, warc
+from . import alignment, bpe, mixing, personal_data, prefix_trie, quality_rules, sharding, simhash, substring_dedup, token_rollup, token_store, topk, warc
 from .common import shared, written
 from .oracles import ORACLES
 
@@ -113,6 +113,16 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(prefix_trie.with_shared_heads(turns))
 
 
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data in every document: those of the rules (counted
+    and digested) and those that the trees add."""
+    found = personal_data.find_personal_data(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}")
+    every = F.sort_array(F.concat("base", "added"))
+    return found.select("row.doc_id", *[count(k) for k in personal_data.KINDS], F.sha2(personal_data.shown(F.col("base")), 256).alias("base_sha256"),
+                        personal_data.shown(every).alias("spans"), F.size("added").cast("long").alias("n_added"))
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens, groups and links of two tokenizers over every document."""
     found = alignment.align(table(spark, sf_dir, "documents").select("doc_id", "text"), BYTE_LEVEL, PIECES)
@@ -122,7 +132,7 @@ def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     own = (op1_source_mix, op2_quality_rules, op3_substring_dedup, op4_arc_to_warc, op5_bpe_codec, op6_token_rollup,
            op7_simhash, op8_token_store, op9_extendible_shards, op10_voronoi_topk,
-           op11_prefix_trie, op13_token_alignment)
+           op11_prefix_trie, op12_personal_data, op13_token_alignment)
     return {f.__name__: f for f in own}
 
 
