@@ -6,9 +6,13 @@ the executors.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..session import materialize, shared_path
 from .ordering import global_rank
 from .profile import melt, quantile_columns
 
@@ -72,18 +76,62 @@ def standard_scale(df: DataFrame, params: dict[str, tuple[float, float]]) -> Dat
     return df.withColumns({c: (F.col(c).cast("double") - F.lit(m)) / F.lit(s) for c, (m, s) in params.items()})
 
 
+# Sparse vectors without Python: the vector's storage struct is built with
+# array functions, written, and read back under the vector type.
+def sparse_struct(size, indices: Column, values: Column) -> Column:
+    """A sparse vector as it is stored; ``indices`` ascend."""
+    size = size if isinstance(size, Column) else F.lit(int(size))
+    return F.struct(F.lit(0).cast("byte").alias("type"), size.alias("size"), indices.cast("array<int>").alias("indices"),
+                    values.cast("array<double>").alias("values"))
+
+
+def joined_structs(parts: list[tuple[str, int]]) -> Column:
+    """Sparse structs (column, size) one after another, as one struct."""
+    indices, values, at = [], [], 0
+    for name, size in parts:
+        shift = at
+        indices.append(F.transform(F.col(f"{name}.indices"), lambda i: i + F.lit(shift)))
+        values.append(F.col(f"{name}.values"))
+        at += size
+    return sparse_struct(at, F.concat(*indices), F.concat(*values))
+
+
+def with_vectors(df: DataFrame, names: list[str]) -> DataFrame:
+    """``df`` written with the structs ``names``, read back as vectors."""
+    from pyspark.ml.linalg import VectorUDT
+    spark = df.sparkSession
+    path = shared_path(spark, f"{spark.sparkContext.applicationId}/vectors-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    fields = [T.StructField(f.name, VectorUDT() if f.name in names else f.dataType) for f in df.schema.fields]
+    return spark.read.schema(T.StructType(fields)).parquet(path)
+
+
 # E4
-def fit_categories(train: DataFrame, col: str) -> list[str]:
-    """Sorted distinct train values (the fitted one-hot vocabulary)."""
-    return [r[0] for r in train.select(F.col(col).cast("string")).filter(F.col(col).isNotNull())
-            .distinct().orderBy(col).collect()]
+def fit_category_table(train: DataFrame, cols: list[str]) -> DataFrame:
+    """One row for each distinct train value of each column: ``block`` (the
+    column's place in ``cols``), ``value``, ``code`` (alphabetical, from 0, in
+    its block) and ``position`` (from 0, block after block). Written."""
+    blocks = F.array_position(F.array(*map(F.lit, cols)), F.col("feature")).cast("int") - 1
+    distinct = melt(train, cols, cast="string").where("value is not null").select(blocks.alias("block"), "value").distinct()
+    ranked = global_rank(distinct, ["block", "value"], name="position").withColumn("position", F.col("position") - 1)
+    first = ranked.groupBy(F.col("block").alias("_b")).agg(F.min("position").alias("_first"))  # a row a column
+    return materialize(ranked.join(first, F.col("block") == F.col("_b")).select(
+        "block", "value", (F.col("position") - F.col("_first")).alias("code"), "position"), "categories")
+
 
+def with_category(df: DataFrame, col: str, table: DataFrame, block: int = 0, field: str = "position", name: str | None = None) -> DataFrame:
+    """``field`` of the column's category (NULL if it was not in train), by a
+    join: the plan does not grow with the categories."""
+    t = table.where(F.col("block") == block).select(F.col("value").alias("_v"), F.col(field).cast("int").alias("_f"))
+    return df.join(t, F.col(col).cast("string") == F.col("_v"), "left").withColumn(name or f"{col}_{field}", F.col("_f")).drop("_v", "_f")
 
-def one_hot(df: DataFrame, col: str, categories: list[str], prefix: str | None = None) -> DataFrame:
-    """One indicator column per train category; unseen values -> all zeros."""
-    pre = prefix or col
-    return df.withColumns({f"{pre}_{v}": F.coalesce(F.col(col).cast("string") == F.lit(v), F.lit(False)).cast("int")
-                           for v in categories})
+
+def one_hot(df: DataFrame, col: str, table: DataFrame, size: int, name: str | None = None) -> DataFrame:
+    """Sparse struct with a one at the train category of ``col``; unseen
+    values and NULL have none. ``size``: rows of the category table."""
+    out = with_category(df, col, table, name="_at")
+    at = F.array_compact(F.array("_at"))
+    return out.withColumn(name or f"{col}_onehot", sparse_struct(size, at, F.transform(at, lambda _: F.lit(1.0)))).drop("_at")
 
 
 # E5
@@ -162,20 +210,19 @@ def tfidf_weights(df: DataFrame, vocab: DataFrame, text: str = "review_text", id
     return w.select(id_col, "term", "index", (F.col("w") / norm).alias("weight"))
 
 
-def tfidf_vectors(df: DataFrame, weights: DataFrame, size: int, id_col: str = "order_id",
+def tfidf_structs(df: DataFrame, weights: DataFrame, size: int, id_col: str = "order_id",
                   name: str = "text_features") -> DataFrame:
-    """Attach a sparse vector per row (empty for rows without vocabulary
-    terms); the only Python is packing sorted (index, weight) pairs."""
-    from pyspark.ml.linalg import SparseVector, VectorUDT
+    """Attach a sparse struct per row (empty for rows without vocabulary terms)."""
+    per_doc = weights.groupBy(id_col).agg(
+        F.sort_array(F.collect_list(F.struct(F.col("index").cast("int").alias("index"), "weight"))).alias("_pairs"))
+    pairs = F.coalesce("_pairs", F.array().cast("array<struct<index:int,weight:double>>"))
+    return df.join(per_doc, id_col, "left").withColumn(name, sparse_struct(size, pairs["index"], pairs["weight"])).drop("_pairs")
 
-    @F.udf(VectorUDT())
-    def pack(pairs):
-        pairs = pairs or []
-        return SparseVector(size, [p[0] for p in pairs], [p[1] for p in pairs])
 
-    per_doc = weights.groupBy(id_col).agg(
-        F.sort_array(F.collect_list(F.struct(F.col("index").cast("int"), F.col("weight")))).alias("_pairs"))
-    return df.join(per_doc, id_col, "left").withColumn(name, pack("_pairs")).drop("_pairs")
+def tfidf_vectors(df: DataFrame, weights: DataFrame, size: int, id_col: str = "order_id",
+                  name: str = "text_features") -> DataFrame:
+    """``tfidf_structs`` written and read back as vectors."""
+    return with_vectors(tfidf_structs(df, weights, size, id_col, name), [name])
 
 
 # E9
@@ -199,28 +246,55 @@ class TabularPreprocessor:
         t = impute_median(train, self.medians)
         self.scaler = fit_scaler(t, self.numeric) if (self.scale and self.numeric) else {}
         self.modes = fit_mode(train, self.categorical) if self.categorical else {}
-        tc = impute_mode(train, self.modes)
-        self.categories = {c: fit_categories(tc, c) for c in self.categorical}
+        self.table = fit_category_table(impute_mode(train, self.modes), self.categorical) if self.categorical else None
+        onehot = self.mode == "onehot" and self.categorical
+        self.size = len(self.numeric) + (self.table.count() if onehot else len(self.categorical))
         return self
 
     def columns(self) -> list[str]:
+        """Names of the vector's places, for reports."""
         cols = list(self.numeric)
-        for c in self.categorical:
-            cols += ([f"{c}_{v}" for v in self.categories[c]] if self.mode == "onehot" else [f"{c}_code"])
+        if self.mode != "onehot":
+            return cols + [f"{c}_code" for c in self.categorical]
+        if self.table is not None:
+            cols += [f"{self.categorical[r.block]}_{r.value}" for r in self.table.orderBy("position").collect()]
         return cols
 
-    def transform(self, df: DataFrame) -> DataFrame:
-        from pyspark.ml.feature import VectorAssembler
+    def names(self, spark) -> DataFrame:
+        """``position`` and ``feature`` of the vector's places, as a table."""
+        fixed = list(self.numeric) + ([f"{c}_code" for c in self.categorical] if self.mode != "onehot" else [])
+        out = spark.createDataFrame(list(enumerate(fixed)), "position long, feature string")
+        if self.mode != "onehot" or self.table is None:
+            return out
+        col = F.element_at(F.array(*map(F.lit, self.categorical)), F.col("block") + 1)
+        return out.unionByName(self.table.select((F.col("position") + len(self.numeric)).alias("position"),
+                                                 F.concat_ws("_", col, "value").alias("feature")))
+
+    def _prepared(self, df: DataFrame) -> DataFrame:
         out = impute_median(df, self.medians)
         if self.scaler:
             out = standard_scale(out, self.scaler)
-        out = impute_mode(out, self.modes)
-        for c in self.categorical:
-            if self.mode == "onehot":
-                out = one_hot(out, c, self.categories[c])
-            else:
-                codes = {v: i for i, v in enumerate(self.categories[c])}
-                m = F.create_map(*[x for v, i in codes.items() for x in (F.lit(v), F.lit(i))]) if codes else None
-                out = out.withColumn(f"{c}_code", F.coalesce(m[F.col(c)] if m is not None else F.lit(None),
-                                                             F.lit(-1)).cast("double"))
+        return impute_mode(out, self.modes)
+
+    def encode(self, df: DataFrame) -> DataFrame:
+        """``output`` as a sparse struct: the numeric columns, then a one for
+        the category of each categorical column (none if it is unseen)."""
+        out, n = self._prepared(df), len(self.numeric)
+        places = [f"_at{i}" for i in range(len(self.categorical))]
+        for i, c in enumerate(self.categorical):
+            out = with_category(out, c, self.table, i, name=places[i])
+        ones = F.array_compact(F.array(*places)) if places else F.array().cast("array<int>")
+        indices = F.concat(F.array(*[F.lit(i) for i in range(n)]).cast("array<int>"), F.transform(ones, lambda i: i + F.lit(n)))
+        values = F.concat(F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(float("nan"))) for c in self.numeric]).cast("array<double>"),
+                          F.transform(ones, lambda _: F.lit(1.0)))
+        return out.withColumn(self.output, sparse_struct(self.size, indices, values)).drop(*places)
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        if self.mode == "onehot":
+            return with_vectors(self.encode(df), [self.output])
+        from pyspark.ml.feature import VectorAssembler
+        out = self._prepared(df)
+        for i, c in enumerate(self.categorical):
+            out = with_category(out, c, self.table, i, "code", f"{c}_code")
+            out = out.withColumn(f"{c}_code", F.coalesce(f"{c}_code", F.lit(-1)).cast("double"))
         return VectorAssembler(inputCols=self.columns(), outputCol=self.output, handleInvalid="keep").transform(out)

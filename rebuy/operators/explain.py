@@ -23,10 +23,14 @@ def _spark() -> SparkSession:
 
 
 # X1
-def linear_coefficients(model, feature_names: list[str]) -> DataFrame:
-    """(feature, coefficient, |coefficient|), largest first."""
-    coef = [float(x) for x in model.coefficients.toArray()]
-    df = _spark().createDataFrame(list(zip(feature_names, coef)), "feature string, coefficient double")
+def linear_coefficients(model, feature_names) -> DataFrame:
+    """(feature, coefficient, |coefficient|), largest first. Names come as a
+    list or as a table (``position``, ``feature``)."""
+    spark = _spark()
+    coef = spark.createDataFrame([(i, float(x)) for i, x in enumerate(model.coefficients.toArray())], "_at long, coefficient double")
+    names = feature_names if isinstance(feature_names, DataFrame) else \
+        spark.createDataFrame(list(enumerate(feature_names)), "position long, feature string")
+    df = names.join(coef, F.col("position") == F.col("_at")).select("feature", "coefficient")
     return df.withColumn("abs_coefficient", F.abs("coefficient")).orderBy(F.desc("abs_coefficient"), "feature")
 
 

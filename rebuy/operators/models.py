@@ -3,6 +3,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,7 +48,7 @@ def blend_average(a: DataFrame, b: DataFrame, on: list[str], p: str = "p", name:
 # LR C = 1; forest 400 trees, depth 12, leaf 5; the two grid
 # searches; boosted folds 100 trees, step 0.1, depth 4, leaf 10; the network
 # layers 64-32.
-from pyspark.ml.classification import (GBTClassifier, LogisticRegression,  # noqa: E402
+from pyspark.ml.classification import (GBTClassifier, LogisticRegression, LogisticRegressionModel,  # noqa: E402
                                        MultilayerPerceptronClassifier, RandomForestClassifier)
 from pyspark.ml.evaluation import BinaryClassificationEvaluator  # noqa: E402
 from pyspark.ml.feature import VectorAssembler  # noqa: E402
@@ -62,16 +64,135 @@ GBT_GRID = {"maxIter": [200, 400], "maxDepth": [3, 5, 7], "stepSize": [0.05, 0.1
             "subsamplingRate": [0.8], "minInstancesPerNode": [10, 20]}
 
 
-def logistic(features: str = "features", weight: str | None = "weight", n_weight_sum: float | None = None,
-             C: float = 1.0, max_iter: int = 12000) -> LogisticRegression:
+#: Features up to which logistic regression is fitted by Newton steps.
+NEWTON_FEATURES = 512
+
+
+class Logistic:
     """sklearn-style L2 logistic regression: C * sum(w * loss) + |b|^2 / 2
-    equals Spark's objective with regParam = 1 / (C * sum(w))."""
-    reg = 1.0 / (C * n_weight_sum) if n_weight_sum else 0.0
-    lr = LogisticRegression(featuresCol=features, labelCol="label", regParam=reg, elasticNetParam=0.0,
-                            standardization=False, maxIter=max_iter, tol=1e-6)
-    if weight:
-        lr.setWeightCol(weight)
-    return lr
+    equals Spark's objective with regParam = 1 / (C * sum(w)).
+
+    Up to ``NEWTON_FEATURES`` features it takes Newton steps: a pass over the
+    rows sums the gradient and the Gram matrix (p x p), a handful of passes
+    end. Beyond that Spark's L-BFGS goes to the same minimum."""
+
+    def __init__(self, features: str, weight: str | None, n_weight_sum: float | None, C: float, max_iter: int):
+        self.features, self.weight, self.label, self.max_iter = features, weight, "label", max_iter
+        self.reg = 1.0 / (C * n_weight_sum) if n_weight_sum else 0.0
+
+    def setFeaturesCol(self, name: str) -> "Logistic":
+        self.features = name
+        return self
+
+    def setLabelCol(self, name: str) -> "Logistic":
+        self.label = name
+        return self
+
+    def fit(self, data: DataFrame):
+        first = data.select(self.features).first()
+        if first is not None and len(first[0]) <= NEWTON_FEATURES:
+            return newton_logistic(data, self.features, self.label, self.weight, self.reg)
+        lr = LogisticRegression(featuresCol=self.features, labelCol=self.label, regParam=self.reg, elasticNetParam=0.0,
+                                standardization=False, maxIter=self.max_iter, tol=1e-6)
+        if self.weight:
+            lr.setWeightCol(self.weight)
+        return lr.fit(data)
+
+
+def logistic(features: str = "features", weight: str | None = "weight", n_weight_sum: float | None = None,
+             C: float = 1.0, max_iter: int = 12000) -> Logistic:
+    return Logistic(features, weight, n_weight_sum, C, max_iter)
+
+
+def logistic_sums(data: DataFrame, beta, features: str, label: str, weight: str | None):
+    """(gradient, Gram matrix, loss, sum of weights) of the weighted log loss
+    at ``beta`` (coefficients, then the intercept): each task reduces its rows
+    to one matrix, Spark adds the cells."""
+    import numpy as np
+    import pyarrow as pa
+
+    p = len(beta)
+    rows = data.select(vector_to_array(features).alias("x"), F.col(label).cast("double").alias("y"),
+                       (F.col(weight) if weight else F.lit(1.0)).cast("double").alias("w"))
+
+    def run(batches):
+        total, seen = np.zeros(p * p + p + 2), False
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            seen = True
+            x = np.ones((batch.num_rows, p))
+            x[:, :-1] = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, p - 1)
+            y, w = (batch.column(i).to_numpy(zero_copy_only=False) for i in (1, 2))
+            z = x @ beta
+            mu = 1 / (1 + np.exp(-np.clip(z, -700, 700)))
+            total[:p * p] += (x.T @ (x * (w * mu * (1 - mu))[:, None])).ravel()
+            total[p * p:-2] += x.T @ (w * (mu - y))
+            total[-2:] += (w * (np.logaddexp(0, z) - y * z)).sum(), w.sum()
+        if seen:
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], ["cell", "value"])
+
+    cells = rows.mapInArrow(run, "cell long, value double").groupBy("cell").agg(F.sum("value").alias("value"))
+    total = np.zeros(p * p + p + 2)
+    for r in cells.collect():  # p x p cells, whatever the rows
+        total[r["cell"]] = r["value"]
+    return total[p * p:-2], total[:p * p].reshape(p, p), total[-2], total[-1]
+
+
+def logistic_gradient(data: DataFrame, beta: list[float], features: str, label: str, weight: str | None, reg: float) -> DataFrame:
+    """Gradient of mean weighted log loss + reg / 2 |b|^2 at ``beta``
+    (coefficients, then the free intercept), one row a ``position``."""
+    x = F.concat(vector_to_array(features), F.array(F.lit(1.0)))
+    w = (F.col(weight) if weight else F.lit(1.0)).cast("double")
+    coef = F.array(*[F.lit(float(b)) for b in beta])
+    z = F.aggregate(F.zip_with(F.col("_x"), coef, lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
+    rows = data.select(x.alias("_x"), w.alias("_w"), F.col(label).cast("double").alias("_y"))
+    rows = rows.select("_x", "_w", (F.col("_w") * (1 / (1 + F.exp(-z)) - F.col("_y"))).alias("_r"))
+    sums = rows.select("_w", "_r", F.posexplode("_x").alias("position", "_v")).groupBy("position").agg(
+        (F.sum(F.col("_r") * F.col("_v")) / F.sum("_w")).alias("mean"))
+    free = F.col("position") == len(beta) - 1
+    ridge = F.when(free, 0.0).otherwise(reg * F.element_at(coef, F.col("position") + 1))
+    return sums.select(F.col("position").cast("long").alias("position"), (F.col("mean") + ridge).alias("gradient"))
+
+
+def newton_logistic(data: DataFrame, features: str, label: str, weight: str | None, reg: float,
+                    tol: float = 1e-12, max_steps: int = 50):
+    """Newton steps on mean weighted log loss + reg / 2 |b|^2 (the intercept
+    is free), halved while the loss rises. Ends when the gradient is below
+    ``tol`` or steps no longer lower the loss."""
+    import numpy as np
+
+    p = len(data.select(features).first()[0]) + 1
+    ridge = np.append(np.full(p - 1, reg), 0.0)
+    beta = np.zeros(p)
+
+    def at(b):
+        g, h, loss, n = logistic_sums(data, b, features, label, weight)
+        return g / n + ridge * b, h / n + np.diag(ridge), loss / n + (ridge * b * b).sum() / 2
+
+    grad, hess, loss = at(beta)
+    for _ in range(max_steps):
+        if np.abs(grad).max() < tol:
+            break
+        # The least-norm step: without ridge, equal columns share it.
+        step, size = np.linalg.lstsq(hess, grad, rcond=1e-14)[0], 1.0
+        new = at(beta - step)
+        while not new[2] <= loss + 1e-13 * abs(loss) and size > 1e-4:
+            size /= 2
+            new = at(beta - size * step)
+        if not new[2] <= loss + 1e-13 * abs(loss) or np.abs(new[0]).max() >= np.abs(grad).max() and new[2] >= loss:
+            break
+        beta = beta - size * step
+        grad, hess, loss = new
+    spark = data.sparkSession
+    values = spark.sparkContext._gateway.new_array(spark._jvm.double, p - 1)
+    for i, v in enumerate(beta[:-1]):
+        values[i] = float(v)
+    java = spark._jvm.org.apache.spark.ml.classification.LogisticRegressionModel(
+        f"newton_{uuid.uuid4().hex[:12]}", spark._jvm.org.apache.spark.ml.linalg.Vectors.dense(values), float(beta[-1]))
+    model = LogisticRegressionModel(java)
+    model._resetUid(java.uid())
+    return model.setFeaturesCol(features)
 
 
 def prepare(df: DataFrame, target: str = TARGET) -> DataFrame:
@@ -103,14 +224,17 @@ class TabularModel:
 
     def _features(self, df: DataFrame) -> DataFrame:
         out = prepare(df)
-        cols = []
+        if self.mode != "onehot" and not self.text:
+            return VectorAssembler(inputCols=["features"], outputCol="all_features").transform(self.pre.transform(out))
+        parts = []
         if self.tabular:
-            out = self.pre.transform(out)
-            cols.append("features")
+            out = self.pre.encode(out)
+            parts.append(("features", self.pre.size))
         if self.text:
-            out = E.tfidf_vectors(out, E.tfidf_weights(out, self.vocab), self.vocab_size)
-            cols.append("text_features")
-        return VectorAssembler(inputCols=cols, outputCol="all_features").transform(out)
+            out = E.tfidf_structs(out, E.tfidf_weights(out, self.vocab), self.vocab_size)
+            parts.append(("text_features", self.vocab_size))
+        out = out.withColumn("all_features", E.joined_structs(parts)).drop(*[name for name, _ in parts])
+        return E.with_vectors(out.hint("rebalance"), ["all_features"])
 
     def fit(self, train: DataFrame) -> "TabularModel":
         if self.tabular:
@@ -118,11 +242,10 @@ class TabularModel:
         if self.text:
             self.vocab = materialize(E.fit_tfidf(train), "vocabulary")
             self.vocab_size = self.vocab.count()
-        data = self._features(train)
-        if self.weighted:
-            data = with_weights(data, TARGET, "weight")
-        est = self.estimator_fn(None)
-        data = training_table(data, wide=isinstance(est, RandomForestClassifier))
+        data = with_weights(train, TARGET, "weight") if self.weighted else train
+        data = self._features(data)
+        if isinstance(self.estimator_fn(None), RandomForestClassifier):
+            data = training_table(data, wide=True)
         self.n = data.count()  # of the written features
         self.model = self.estimator_fn(self.n).setFeaturesCol("all_features").fit(data)
         return self

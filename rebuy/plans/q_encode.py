@@ -67,10 +67,11 @@ def q_one_hot(spark, sf):
     """Indicators per train category (long form: one row per order and
     category; unseen values are all zeros)."""
     sp, train = _parts(spark, sf)
-    cats = E.fit_categories(train, "payment_type_mode")
-    oh = E.one_hot(sp, "payment_type_mode", cats, prefix="oh")
-    pairs = F.array(*[F.struct(F.lit(v).alias("category"), F.col(f"oh_{v}").alias("indicator")) for v in cats])
-    return oh.select("order_id", F.explode(pairs).alias("_c")).select("order_id", "_c.category", "_c.indicator")
+    cats = E.fit_category_table(train, ["payment_type_mode"])
+    oh = E.one_hot(sp, "payment_type_mode", cats, cats.count(), "oh").select("order_id", "oh")
+    places = E.with_vectors(oh, ["oh"]).select("order_id", F.posexplode(vector_to_array("oh")).alias("position", "on"))
+    return places.join(cats.select("position", F.col("value").alias("category")), "position").select(
+        "order_id", "category", F.col("on").cast("int").alias("indicator"))
 
 
 _CODES = [("codes", """SELECT value, CAST(row_number() OVER (ORDER BY value) - 1 AS BIGINT) AS code FROM (

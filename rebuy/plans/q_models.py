@@ -18,6 +18,7 @@ from ..operators import models as M
 from ..operators import profile as P
 from ..session import materialize, shared_path
 from ..sources import io as IO
+from .q_encode import _CT_CTE
 from .q_split import _S, _splits
 from .registry import build_sql, register
 
@@ -50,6 +51,23 @@ for _name, _factory in [("review_score_lr", M.review_score_lr), ("tabular_lr", M
     register(_name)(_single(_factory))
 
 
+@register("lr_minimum", build_sql(_S + _CT_CTE, "SELECT * FROM (" + " UNION ALL ".join(
+    [f"SELECT CAST({i} AS BIGINT) AS position, '{c}' AS feature, 1 AS at_minimum" for i, c in enumerate(E.BASELINE_NUMERIC)]
+    + [f"SELECT position, '{c}_' || value, 1 FROM pos WHERE block = {i}" for i, c in enumerate(E.BASELINE_CATEGORICAL)]
+    + ["SELECT max(position) + 1, '(intercept)', 1 FROM pos"]) + ") g"))
+def q_lr_minimum(spark, sf):
+    """Whether the gradient of the tabular LR's objective (mean weighted log
+    loss and ridge) is below 1e-8 at the fitted coefficients, by place of the
+    feature vector; the gradient is summed from the rows anew."""
+    _, train, _ = _tt(spark, sf)
+    tm = M.tabular_lr().fit(train)
+    beta = tm.model.coefficients.toArray().tolist() + [float(tm.model.intercept)]
+    data = tm._features(M.with_weights(train, TARGET, "weight"))
+    grad = M.logistic_gradient(data, beta, "all_features", "label", "weight", 1.0 / tm.n)
+    names = tm.pre.names(spark).unionByName(spark.createDataFrame([(len(beta) - 1, "(intercept)")], "position long, feature string"))
+    return names.join(grad, "position").select("position", "feature", (F.abs("gradient") < 1e-8).cast("int").alias("at_minimum"))
+
+
 @register("batch_score")
 def q_batch_score(spark, sf):
     """Positive-class probability and the >= 0.5 prediction of the tabular
@@ -197,7 +215,7 @@ def q_pca_load(spark, sf):
 def q_coef(spark, sf):
     _, train, _ = _tt(spark, sf)
     tm = M.tabular_lr().fit(train)
-    return X.linear_coefficients(tm.model, tm.pre.columns())
+    return X.linear_coefficients(tm.model, tm.pre.names(spark))
 
 
 @register("top_text_terms")

@@ -108,17 +108,24 @@ def v_payments(spark, sf_dir):
     )
 
 
+#: Order keys modulo 42 whose review has a text: even, no multiple of 3 or 7.
+WITH_TEXT = [r for r in range(42) if r % 2 == 0 and r % 3 and r % 7]
+
+
 def v_reviews(spark, sf_dir):
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
-    # Every order has one of all documents, in full; the one-row count joins
-    # each order with a constant.
+    # Orders with a text are numbered by their place among the keys that have
+    # one (12 of any 42); the n-th takes document n modulo the documents, in
+    # full. The largest id, one row, joins each order with a constant.
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    n_docs = docs.agg(F.count(F.lit(1)).alias("n_docs"))
+    n_docs = docs.agg((F.max("doc_id") + 1).alias("n_docs"))
     k = F.col("o_orderkey")
     base = (o.filter(k % 3 != 0)
              .withColumn("k", F.explode(F.when(k % 20 == 0, F.array(F.lit(0), F.lit(1)))
                                          .otherwise(F.array(F.lit(0))))))
-    base = base.crossJoin(F.broadcast(n_docs)).withColumn("doc", F.expr("try_mod(o_orderkey, n_docs)"))
+    place = F.array_position(F.array(*[F.lit(r) for r in WITH_TEXT]), k % 42)
+    number = F.when(place > 0, F.floor(k / 42) * len(WITH_TEXT) + place - 1)
+    base = base.crossJoin(F.broadcast(n_docs)).withColumn("doc", F.try_mod(number, F.col("n_docs")))
     j = base.join(docs, F.col("doc") == docs.doc_id, "left")
     kk, d = F.col("k"), F.col("o_orderdate")
     return j.select(
@@ -190,7 +197,9 @@ FROM lineitem""",
   o_orderdate + INTERVAL '1' DAY * (1 + o_orderkey % 34 + 3 * k) AS review_creation_date,
   o_orderdate + INTERVAL '1' DAY * (3 + o_orderkey % 34 + 3 * k) AS review_answer_timestamp
 FROM orders CROSS JOIN (SELECT 0 AS k UNION ALL SELECT 1 AS k) r
-LEFT JOIN documents ON doc_id = o_orderkey % (SELECT count(*) FROM documents)
+LEFT JOIN documents ON doc_id = CASE WHEN o_orderkey % 2 = 0 AND o_orderkey % 3 <> 0 AND o_orderkey % 7 <> 0 THEN
+  (12 * (o_orderkey // 42) + list_position([2, 4, 8, 10, 16, 20, 22, 26, 32, 34, 38, 40], o_orderkey % 42) - 1)
+    % (SELECT max(doc_id) + 1 FROM documents) END
 WHERE o_orderkey % 3 <> 0 AND (k = 0 OR o_orderkey % 20 = 0)""",
     "scores": """SELECT o_orderkey AS id, CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END AS y,
   CAST((o_orderkey * 37) % 101 AS DOUBLE) / 101 AS p

@@ -17,7 +17,8 @@ def test_reviews_carry_whole_texts_of_all_documents(spark):
     text = F.regexp_replace("review_comment_message", r" ok\?!$", "")
     reviews = retail_tables(spark, SF_SMALL)["order_reviews"].select(text.alias("t")).where("t <> ''")
     assert reviews.join(docs, F.col("t") == F.col("text"), "left_anti").count() == 0
-    assert reviews.distinct().count() > 200 * 0.2
+    # Every text is in a review: these tables have more orders with a text than documents.
+    assert docs.where("text <> ''").join(reviews, F.col("t") == F.col("text"), "left_anti").count() == 0
     assert reviews.agg(F.max(F.length("t"))).first()[0] > 400
 
 
