@@ -52,3 +52,64 @@ def margin(nodes: list, features: list[Column]) -> Column:
         return F.when(features[r["feature"]] <= F.lit(float(r["threshold"])), below(tree, r["left"])).otherwise(below(tree, r["right"]))
 
     return reduce(lambda a, b: a + b, [F.lit(float(t[0]["weight"])) * below(t, 0) for _, t in sorted(trees.items())])
+
+
+def packed(nodes: DataFrame) -> DataFrame:
+    """One row a tree: its nodes as arrays in node order."""
+    fields = ("feature", "threshold", "left", "right", "value")
+    by_node = F.sort_array(F.collect_list(F.struct("node", *fields)))
+    return nodes.groupBy("tree").agg(F.first("weight").alias("weight"), by_node.alias("n")).select(
+        "tree", "weight", *[F.col(f"n.{f}").alias(f"_{f}") for f in fields])
+
+
+def tree_scores(df: DataFrame, nodes: DataFrame, x: Column, id_col: str, boosted: bool = False, depth: int = 30,
+                name: str = "p") -> DataFrame:
+    """``id_col`` and the ensemble's probability from its node table: each row
+    meets each tree and goes down at most ``depth`` levels. ``x``: array of
+    the row's features. Averages leaf values (forest), or takes the logistic
+    function of twice their weighted sum (``boosted``)."""
+    trees = packed(nodes)  # a row a tree, in arrays: never larger than the model
+    rows = df.select(F.col(id_col), x.alias("_x")).crossJoin(trees)
+    at = lambda field, node: F.element_at(F.col(field), node + 1)
+    step = lambda node, _: F.when(at("_left", node) < 0, node).when(
+        F.element_at(F.col("_x"), at("_feature", node) + 1) <= at("_threshold", node), at("_left", node)).otherwise(at("_right", node))
+    leaf = F.aggregate(F.sequence(F.lit(1), F.lit(depth)), F.lit(0), step)
+    value = rows.select(id_col, "weight", F.element_at(F.col("_value"), leaf + 1).alias("_v"))
+    score = 1 / (1 + F.exp(-2 * F.sum(F.col("weight") * F.col("_v")))) if boosted else F.avg("_v")
+    return value.groupBy(id_col).agg(score.alias(name))
+
+
+def linear_scores(df: DataFrame, coefficients: DataFrame, intercept: float, x: Column, id_col: str, name: str = "p") -> DataFrame:
+    """``id_col`` and the logistic probability from a coefficient table
+    (``position``, ``coefficient``); ``x``: array of the row's features."""
+    coef = coefficients.agg(F.sort_array(F.collect_list(F.struct("position", "coefficient"))).alias("c")).select(F.col("c.coefficient").alias("_c"))
+    z = F.aggregate(F.zip_with("_x", "_c", lambda a, b: a * b), F.lit(float(intercept)), lambda a, b: a + b)
+    return df.select(F.col(id_col), x.alias("_x")).crossJoin(coef).select(id_col, (1 / (1 + F.exp(-z))).alias(name))
+
+
+def tree_partial_dependence(nodes: DataFrame, feature: int, grid: list[float]) -> DataFrame:
+    """Mean value of a forest at each grid value of a feature, by weighted
+    recursion: a node that splits on the feature passes its weight to the
+    value's side, any other to both by their training rows. A pass over the
+    node table, whatever the data."""
+    import numpy as np
+    import pandas as pd
+
+    values = np.array(grid, float)
+
+    def run(tree: pd.DataFrame) -> pd.DataFrame:
+        rows = {r.node: r for r in tree.itertuples()}
+        total, open_nodes = np.zeros(len(values)), [(0, np.ones(len(values)))]
+        while open_nodes:
+            node, weight = open_nodes.pop()
+            r = rows[node]
+            if r.left < 0:
+                total += weight * r.value
+            else:
+                share = values <= r.threshold if r.feature == feature else rows[r.left].rows / (rows[r.left].rows + rows[r.right].rows)
+                open_nodes += [(r.left, weight * share), (r.right, weight * (1 - share))]
+        return pd.DataFrame({"grid_value": values, "value": total})
+
+    fields = ("tree", "node", "feature", "threshold", "left", "right", "value", "rows")
+    each = nodes.select(*fields).groupBy("tree").applyInPandas(run, "grid_value double, value double")
+    return each.groupBy("grid_value").agg(F.avg("value").alias("mean_probability"))

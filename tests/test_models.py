@@ -104,3 +104,17 @@ def test_grid_search_has_a_row_for_each_combination(spark, frame):
     data = M.pos_weighted(pre.transform(M.prepare(frame)), "label")
     _, table = M.grid_search(data, M.gbt_estimator(), {"maxIter": [1, 2], "maxDepth": [2]}, folds=2)
     assert table.count() == 2 and table.filter("mean_roc_auc > 0.8").count() == 2
+
+
+def test_staged_search_scores_first_rounds(spark, frame):
+    pre = E.TabularPreprocessor(["x1", "x2"], [], scale=False, output="all_features").fit(frame)
+    data = M.training_table(M.pos_weighted(pre.transform(M.prepare(frame)), "label"))
+    grid = {"maxIter": [2, 5], "maxDepth": [2], "stepSize": [0.1], "subsamplingRate": [0.8], "minInstancesPerNode": [10, 20]}
+    best, table = M.staged_grid_search(data, grid, folds=2)
+    assert table.count() == 4 and table.filter("mean_roc_auc > 0.8").count() == 4 and best.getNumTrees in (2, 5)
+    # The first rounds of a long fit are the short fit.
+    fits = [M.gbt_estimator().setMaxIter(n).setMaxDepth(2).setSubsamplingRate(0.8).fit(data) for n in (3, 6)]
+    cut = M.first_rounds(fits[1], 3)
+    assert cut.getNumTrees == 3
+    a, b = (M.batch_score(m, data).select("order_id", "p").orderBy("order_id").collect() for m in (fits[0], cut))
+    assert all(abs(x.p - y.p) < 1e-12 for x, y in zip(a, b))
