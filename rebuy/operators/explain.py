@@ -75,10 +75,8 @@ def permutation_importance(scored_fn, df: DataFrame, features: list[str], repeat
 
 
 # X4
-def partial_dependence(scored_fn, df: DataFrame, feature: str, grid_resolution: int = 100,
-                       percentiles=(0.05, 0.95)) -> DataFrame:
-    """Mean predicted probability with ``feature`` set to each grid value:
-    the distinct values when fewer than ``grid_resolution``, else an even
+def feature_grid(df: DataFrame, feature: str, grid_resolution: int = 100, percentiles=(0.05, 0.95)) -> list[float]:
+    """The distinct values when fewer than ``grid_resolution``, else an even
     grid between the 5th and 95th percentiles."""
     vals = df.select(F.col(feature).cast("double").alias("v")).filter(F.col("v").isNotNull())
     n_distinct = vals.agg(F.countDistinct("v")).scalar()
@@ -88,8 +86,16 @@ def partial_dependence(scored_fn, df: DataFrame, feature: str, grid_resolution:
     even = (q.select(F.explode(F.sequence(F.lit(0), F.lit(grid_resolution - 1))).alias("i"))
               .select((lo + F.col("i") * (hi - lo) / (grid_resolution - 1)).alias("v")))
     grid = few.select("v").where(n_distinct < grid_resolution).unionByName(even.where(n_distinct >= grid_resolution))
-    g = [r.v for r in grid.orderBy("v").collect()]  # at most grid_resolution values
-    values = F.array(*[F.lit(float(v)) for v in g]).cast("array<double>")  # no values: no rows
+    return [float(r.v) for r in grid.orderBy("v").collect()]  # at most grid_resolution values
+
+
+def partial_dependence(scored_fn, df: DataFrame, feature: str, grid_resolution: int = 100,
+                       percentiles=(0.05, 0.95)) -> DataFrame:
+    """Mean predicted probability with ``feature`` set to each value of its
+    ``feature_grid``, for any model; ``trees.tree_partial_dependence`` needs
+    no copies of the rows."""
+    g = feature_grid(df, feature, grid_resolution, percentiles)
+    values = F.array(*[F.lit(v) for v in g]).cast("array<double>")  # no values: no rows
     expanded = df.select("*", F.explode(values).alias("_grid"))
     expanded = expanded.withColumn(feature, F.col("_grid"))
     return scored_fn(expanded).groupBy(F.col("_grid").alias("grid_value")).agg(F.avg("p").alias("mean_probability"))

@@ -302,19 +302,54 @@ def welch_ttest(df: DataFrame, cols: list[str], target: str = TARGET, alpha: flo
 
 
 # P12
-def pca_scree(df: DataFrame, cols: list[str], k: int | None = None):
-    """PCA of the standardised columns (nulls -> 0). Returns (scree frame
-    with explained share, cumulative share and the component counts that
-    reach 90 % / 95 %, fitted PCA model). The covariance is k x k."""
-    from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
+class Components:
+    """Principal components: ``pc`` (features x components, by falling
+    eigenvalue), ``eigenvalues``, and the ``matrix`` they belong to."""
+
+    def __init__(self, matrix):
+        import numpy as np
+        from pyspark.ml.linalg import DenseMatrix, DenseVector
+
+        values, vectors = np.linalg.eigh(matrix)
+        order = np.argsort(-values, kind="stable")
+        self.matrix, self.eigenvalues, self.vectors = matrix, values[order], vectors[:, order]
+        self.pc = DenseMatrix(*vectors.shape, self.vectors.ravel(order="F").tolist())
+        total = np.trace(matrix)
+        self.explainedVariance = DenseVector(self.eigenvalues / total if total > 0 else self.eigenvalues * 0)
+
+    def residuals(self) -> list[float]:
+        """Largest entry of ``|C v - lambda v|`` for each component."""
+        return abs(self.matrix @ self.vectors - self.vectors * self.eigenvalues).max(0).tolist()
+
+
+def standardised_covariance(df: DataFrame, cols: list[str]):
+    """Covariance of the standardised columns (nulls are 0; a constant column
+    has zeros) from one pass of merged co-moments: k x k cells, no scaled rows."""
+    import numpy as np
 
-    from .ordering import cumulative_share
     data = df.select(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in cols])
-    vec = VectorAssembler(inputCols=cols, outputCol="_v").transform(data)
-    scaled = StandardScaler(inputCol="_v", outputCol="_s", withMean=True, withStd=True).fit(vec).transform(vec)
-    model = PCA(k=k or len(cols), inputCol="_s", outputCol="_pc").fit(scaled)
+    k = len(cols)
+    n, sa, sab = np.zeros((k, k)), np.zeros((k, k)), np.zeros((k, k))
+    for r in pairwise_moments(data, cols).collect():  # k x k rows
+        n[r.a, r.b], sa[r.a, r.b], sab[r.a, r.b] = r.n, r.sa, r.sab
+    with np.errstate(all="ignore"):
+        cov = sab - sa * sa.T / n
+        std = np.sqrt(np.diag(cov))
+        # Sums of equal values leave rounding errors, not a variance.
+        flat = ~(std > 1e-12 * np.sqrt(np.maximum(np.diag(sab), 1)))
+        out = cov / std[:, None] / std[None, :]
+    out[flat, :] = out[:, flat] = 0.0
+    return (out + out.T) / 2
+
+
+def pca_scree(df: DataFrame, cols: list[str], k: int | None = None):
+    """PCA of the standardised columns (nulls -> 0) by the eigenvectors of
+    their covariance. Returns (scree frame with explained share, cumulative
+    share and the component counts that reach 90 % / 95 %, components)."""
+    from .ordering import cumulative_share
+    model = Components(standardised_covariance(df, cols))
     spark = df.sparkSession
-    ev = [float(x) for x in model.explainedVariance.toArray()]
+    ev = [max(0.0, float(x)) for x in model.explainedVariance.toArray()][:k]
     comps = spark.createDataFrame([(i + 1, v) for i, v in enumerate(ev)], "component int, explained double")
     return cumulative_share(comps, "explained", ["component"]), model
 

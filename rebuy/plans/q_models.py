@@ -16,15 +16,21 @@ from ..operators import explain as X
 from ..operators import metrics as K
 from ..operators import models as M
 from ..operators import profile as P
+from ..operators import trees as N
 from ..session import materialize, shared_path
 from ..sources import io as IO
-from .q_encode import _CT_CTE
+from .q_encode import _CT_CTE, _IMP_CTE
 from .q_split import _S, _splits
 from .registry import build_sql, register
 
 TARGET = "target_repeat_within_180d"
 
 
+def _pca_cols():
+    """All 51 numeric columns: 37 of the frame and 14 engineered."""
+    return A.NUMERIC_COLUMNS + S.ENGINEERED
+
+
 def _tt(spark, sf):
     sp = _splits(spark, sf)
     return sp, sp.filter(F.col("split") == "train"), sp.filter(F.col("split") != "train")
@@ -77,6 +83,50 @@ def q_batch_score(spark, sf):
     return M.batch_score(tm.model, tm._features(held), "p", 0.5).select("order_id", "split", "p", "prediction")
 
 
+# Two trees (tree, node, feature, threshold, left, right, value;
+# -1: a leaf) and a coefficient for each baseline feature, the intercept last.
+FIXED_TREES = [(0, 0, 0, 3.5, 1, 2, 0.0), (0, 1, 10, 2.05, 3, 4, 0.0), (0, 2, -1, None, -1, -1, 0.15), (0, 3, -1, None, -1, -1, 0.35),
+               (0, 4, -1, None, -1, -1, 0.7), (1, 0, 13, 2.5, 1, 2, 0.0), (1, 1, -1, None, -1, -1, 0.2), (1, 2, 4, 9.25, 3, 4, 0.0),
+               (1, 3, -1, None, -1, -1, 0.45), (1, 4, -1, None, -1, -1, 0.9)]
+FIXED_COEFFICIENTS = [-0.2, 0.1, 0.001, 0.002, 0.05, 0.04, -0.3, 0.02, 0.01, 0.03, 0.06, -0.01, 0.25, -0.05, 0.08, 0.12, -1.5]
+_X_CTE = [("x", f"SELECT order_id, split, [{', '.join(E.BASELINE_NUMERIC)}] AS x FROM imp WHERE split <> 'train'")]
+_NODE_CTE = [("nodes", "SELECT * FROM (VALUES " + ", ".join(
+    "(" + ", ".join("NULL" if v is None else f"CAST({v} AS DOUBLE)" if isinstance(v, float) else str(v) for v in r) + ")" for r in FIXED_TREES)
+    + ") n(tree, node, feature, threshold, l, r, value)")]
+
+
+def _step_sql(source: str) -> str:
+    """One level down the trees."""
+    return f"""SELECT s.order_id, s.split, s.x, n.tree, CASE WHEN n.l < 0 THEN n.node WHEN s.x[n.feature + 1] <= n.threshold THEN n.l ELSE n.r END AS node
+FROM {source} s JOIN nodes n ON n.tree = s.tree AND n.node = s.node"""
+
+
+def _held_vectors(spark, sf):
+    _, train, held = _tt(spark, sf)
+    return E.impute_median(held, E.fit_median(train, E.BASELINE_NUMERIC)), F.array(*[F.col(c).cast("double") for c in E.BASELINE_NUMERIC])
+
+
+@register("tree_scores", build_sql(_S + _IMP_CTE + _X_CTE + _NODE_CTE + [
+    ("s0", "SELECT x.*, t.tree, 0 AS node FROM x, (SELECT DISTINCT tree FROM nodes) t"), ("s1", _step_sql("s0")), ("s2", _step_sql("s1"))],
+    "SELECT order_id, avg(value) AS p FROM s2 JOIN nodes USING (tree, node) GROUP BY order_id", ["p"]), doubles=["p"])
+def q_tree_scores(spark, sf):
+    """M15 for trees: every held-out order scored by a fixed node table."""
+    held, x = _held_vectors(spark, sf)
+    nodes = spark.createDataFrame([(*r, 1.0) for r in FIXED_TREES],
+                                  "tree int, node int, feature int, threshold double, left int, right int, value double, weight double")
+    return N.tree_scores(held, nodes, x, "order_id", depth=2)
+
+
+@register("linear_scores", build_sql(_S + _IMP_CTE + _X_CTE, "SELECT order_id, 1 / (1 + exp(-(" + " + ".join(
+    [f"({v}) * x[{i + 1}]" for i, v in enumerate(FIXED_COEFFICIENTS[:-1])]) + f" + ({FIXED_COEFFICIENTS[-1]})))) AS p FROM x", ["p"]), doubles=["p"])
+def q_linear_scores(spark, sf):
+    """M15 for linear models: every held-out order scored by a fixed
+    coefficient table."""
+    held, x = _held_vectors(spark, sf)
+    coef = spark.createDataFrame(list(enumerate(FIXED_COEFFICIENTS[:-1])), "position long, coefficient double")
+    return N.linear_scores(held, coef, FIXED_COEFFICIENTS[-1], x, "order_id")
+
+
 @register("model_ladder")
 def q_ladder(spark, sf):
     """Dummy prior + five models: val and test metric rows (12 rows)."""
@@ -194,11 +244,6 @@ def q_mlp(spark, sf):
     return _ladder_rows(s)
 
 
-def _pca_cols():
-    """All 51 numeric columns: 37 of the frame and 14 engineered."""
-    return A.NUMERIC_COLUMNS + S.ENGINEERED
-
-
 @register("pca_scree")
 def q_pca(spark, sf):
     _, train, _ = _tt(spark, sf)
@@ -206,6 +251,15 @@ def q_pca(spark, sf):
     return scree
 
 
+@register("pca_residual", f"SELECT CAST(i AS INTEGER) AS component, 1 AS solved FROM range(1, {len(A.NUMERIC_COLUMNS + S.ENGINEERED) + 1}) r(i)")
+def q_pca_residual(spark, sf):
+    """Whether each component solves C v = lambda v to 1e-8 for the covariance
+    of the standardised train columns."""
+    _, train, _ = _tt(spark, sf)
+    _, model = P.pca_scree(S.engineer_features(train), _pca_cols())
+    return spark.createDataFrame([(i + 1, int(r < 1e-8)) for i, r in enumerate(model.residuals())], "component int, solved int")
+
+
 @register("pca_loadings")
 def q_pca_load(spark, sf):
     _, train, _ = _tt(spark, sf)
@@ -227,9 +281,21 @@ def q_terms(spark, sf):
     return X.top_text_terms(tm.model, tm.vocab, 20)
 
 
+_FOREST: dict = {}
+
+
+def _forest(spark, sf):
+    """The tabular forest, fitted once per session and data folder and shared
+    by the explanations."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _FOREST:
+        _FOREST[key] = M.tabular_rf().fit(_tt(spark, sf)[1])
+    return _FOREST[key]
+
+
 def _rf_scorer(spark, sf):
-    _, train, held = _tt(spark, sf)
-    tm = M.tabular_rf().fit(train)
+    _, _, held = _tt(spark, sf)
+    tm = _forest(spark, sf)
     test = held.filter(F.col("split") == "test")
     base = M.prepare(test)
 
@@ -255,10 +321,18 @@ def q_pdp(spark, sf):
     return X.partial_dependence(score, feats, "log1p_delivery_days")
 
 
+@register("partial_dependence_nodes")
+def q_pdp_nodes(spark, sf):
+    """The same curve by recursion over the forest's node table, weighted by
+    training rows: one pass over the nodes, no scored copies of the rows."""
+    tm, feats, _ = _rf_scorer(spark, sf)
+    grid = X.feature_grid(feats, "log1p_delivery_days")
+    return N.tree_partial_dependence(N.node_table(tm.model), tm.pre.columns().index("log1p_delivery_days"), grid)
+
+
 @register("tree_importance")
 def q_tree_imp(spark, sf):
-    _, train, _ = _tt(spark, sf)
-    tm = M.tabular_rf().fit(train)
+    tm = _forest(spark, sf)
     return X.tree_importance(tm.model, tm.pre.columns(), 20)
 
 

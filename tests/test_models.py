@@ -118,3 +118,17 @@ def test_staged_search_scores_first_rounds(spark, frame):
     assert cut.getNumTrees == 3
     a, b = (M.batch_score(m, data).select("order_id", "p").orderBy("order_id").collect() for m in (fits[0], cut))
     assert all(abs(x.p - y.p) < 1e-12 for x, y in zip(a, b))
+
+
+def test_components_are_those_of_scaled_rows(spark, frame):
+    from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
+    data = frame.select("x1", "x2", (F.col("x1") * 2 + F.col("x2") * F.col("x2")).alias("x3"), F.lit(0.1).alias("flat"),
+                        F.when(F.col("order_id") % 9 > 0, F.col("x2") - F.col("x1")).alias("gap"))
+    cols = data.columns
+    _, model = P.pca_scree(data, cols)
+    vec = VectorAssembler(inputCols=cols, outputCol="v").transform(data.na.fill(0.0))
+    scaled = StandardScaler(inputCol="v", outputCol="s", withMean=True).fit(vec).transform(vec)
+    want = PCA(k=len(cols), inputCol="s", outputCol="p").fit(scaled)
+    assert abs(model.explainedVariance.toArray() - want.explainedVariance.toArray()).max() < 1e-9
+    assert (abs(abs(model.pc.toArray()[:, :3]) - abs(want.pc.toArray()[:, :3])) < 1e-6).all()
+    assert max(model.residuals()) < 1e-9
