@@ -128,20 +128,32 @@ def shard(docs: DataFrame, limit: int, id_col: str = "doc_id", text_col: str = "
 
 
 def write_shards(docs: DataFrame, path: str, limit: int, id_col: str = "doc_id", text_col: str = "text") -> None:
-    """Write each bucket as a folder ``shard=b<bits>`` of Parquet files."""
+    """Write each bucket as a folder ``shard=b<bits>`` of Parquet files (another
+    name if ``docs`` has a column ``shard``). An empty table writes no folder."""
     found = shard(docs, limit, id_col, text_col, keep_text=True)
-    rows = found.select("row.*", F.concat(F.lit("b"), "shard").alias("shard"))
-    rows.repartition("shard").write.partitionBy("shard").parquet(path)
+    folder = folder_column(docs)
+    rows = found.select("row.*", F.concat(F.lit("b"), "shard").alias(folder))
+    rows.repartition(folder).write.partitionBy(folder).parquet(path)
+
+
+def folder_column(docs: DataFrame) -> str:
+    """Name of the folders: ``shard``, with underscores before it as long as
+    ``docs`` has a column of that name in any case."""
+    taken, name = {c.lower() for c in docs.columns}, "shard"
+    while name in taken:
+        name = "_" + name
+    return name
 
 
 def read_shards(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
     """Struct ``row`` (columns of ``docs`` but the text), ``bytes``, ``depth``,
     ``shard``, ``shard_rows`` and ``shard_bytes`` of every row as written by
     ``write_shards``; ``docs`` gives the schema alone."""
-    schema = T.StructType([*docs.schema.fields, T.StructField("shard", T.StringType())])
+    folder = folder_column(docs)
+    schema = T.StructType([*docs.schema.fields, T.StructField(folder, T.StringType())])
     stored = docs.sparkSession.read.schema(schema).parquet(path)
     rows = stored.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("row"),
                          F.coalesce(F.octet_length(F.col(f"`{text_col}`")), F.lit(0)).cast("long").alias("bytes"),
-                         F.expr("substring(shard, 2)").alias("shard"))
+                         F.expr(f"substring({folder}, 2)").alias("shard"))
     sizes = rows.groupBy(F.col("shard").alias("_s")).agg(F.count(F.lit(1)).alias("shard_rows"), F.sum("bytes").alias("shard_bytes"))
     return rows.join(sizes, F.col("shard") == F.col("_s")).select("row", "bytes", F.length("shard").alias("depth"), "shard", "shard_rows", "shard_bytes")

@@ -221,6 +221,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     # Fingerprints of a component without any id have a null component_id: they are told apart by fp.
     group = F.struct(F.col("component_id"), F.when(F.col("component_id").isNull(), F.col("fp")))
     stay = found.groupBy(group.alias("g")).agg(F.min(order).alias("o")).select("o")
-    keyed = docs.select("*", F.struct(F.col(f"`{id_col}`").isNull().alias("n"), F.col(f"`{id_col}`").alias("i"),
-                                      text_key(f"`{text_col}`").alias("t")).alias("_key"))
-    return keyed.join(stay, F.col("_key") == F.col("o"), "left_semi").dropDuplicates(["_key"]).drop("_key")
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"),
+                        F.struct(F.col(f"`{id_col}`").isNull().alias("n"), F.col(f"`{id_col}`").alias("i"),
+                                 text_key(f"`{text_col}`").alias("t")).alias("_key"))
+    return keyed.join(stay, F.col("_key") == F.col("o"), "left_semi").dropDuplicates(["_key"]).select("whole.*")

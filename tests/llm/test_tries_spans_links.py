@@ -214,3 +214,15 @@ def test_sparse_products():
         assert sorted(zip(a.tolist(), b.tolist())) == [(i, j) for i in range(len(ends[0])) for j in range(len(ends[1])) if side[0][i] == side[1][j]]
         a, b = alignment.end_links(*ends, total)
         assert ends[0][a].tolist() == ends[1][b].tolist() == cuts.tolist()
+
+
+def test_clashing_names_in_shards_and_near_duplicates(spark, tmp_path):
+    from rebuy.llm import sharding, simhash
+    rows = [(i, f"text {i % 3} " * 20, "s", "k", "o", "S") for i in range(12)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, shard string, _key string, o string, whole string")
+    path = str(tmp_path / "shards")
+    sharding.write_shards(frame, path, 400)
+    found = sharding.read_shards(frame, path).collect()
+    assert len(found) == 12 and all(r["row"]["shard"] == "s" and r["shard_bytes"] <= 400 for r in found)
+    kept = simhash.keep_one(frame).collect()
+    assert sorted(r["doc_id"] for r in kept) == [0, 1, 2] and kept[0]["_key"] == "k" and kept[0]["o"] == "o"
