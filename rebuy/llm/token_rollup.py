@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import pieces
-from .token_store import CachedEncoder
+from .token_store import kept_encoder
 
 GROUP = ("source", "lang", "tokenizer")
 DELTA = "source string, lang string, tokenizer string, docs long, tokens long"
@@ -87,10 +87,10 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, text_cols: tuple[str, ...
     schema = T.StructType([rows.schema["row"], *[T.StructField(f"n_{c}", T.LongType()) for c in text_cols]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = CachedEncoder(spec)
+        coder = kept_encoder(spec)
         for batch in batches:
             for part in pieces(batch, text_cols[0]):
-                counts = [np.fromiter(map(len, coder.encode_batch(part.column(1 + i).cast(pa.binary()).to_pylist())), np.int64, part.num_rows) // 4
+                counts = [coder.encode_flat(part.column(1 + i).cast(pa.binary()).to_pylist())[1]
                           for i in range(len(text_cols))]
                 yield pa.RecordBatch.from_arrays([part.column(0), *map(pa.array, counts)], schema.names)
 
