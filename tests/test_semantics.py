@@ -203,13 +203,18 @@ def test_quantiles_of_a_column_that_one_value_fills(spark):
         assert got[("b", q)] == 7.0
 
 
-def test_equal_values_are_one_row_when_ranked(spark, monkeypatch):
-    """No task holds the copies of a value: only counted values are ordered."""
-    seen = []
-    ranked = P.prefix_sums
-    monkeypatch.setattr(P, "prefix_sums", lambda df, *a, **k: seen.append(df.count()) or ranked(df, *a, **k))
+def test_equal_values_are_one_row_when_counted(spark, monkeypatch):
+    """No task holds the copies of a value: values are counted before they move,
+    and neither a plan nor a written table orders or ranges them."""
+    from rebuy.operators import quantiles as N
+    seen, write = [], N.materialize
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(N, "materialize", lambda df, *a: seen.append((plan(df), df.count())) or write(df, *a))
     df = spark.range(20000).select(F.lit("f").alias("feature"), F.when(F.col("id") % 20 == 0, 1.0).otherwise(0.0).alias("value"))
-    assert P.quantile_columns(df, ["feature"], {"m": 0.5}).first().m == 0.0 and seen == [2]
+    found = P.quantile_columns(df, ["feature"], {"m": 0.5})
+    assert found.first().m == 0.0 and [n for _, n in seen] == [2, 2, 2]
+    for text in [plan(found), *[t for t, _ in seen]]:
+        assert "rangepartitioning" not in text and "partial_count" in text
 
 
 def test_global_rank_over_many_ranges_with_a_hot_key(spark):
