@@ -13,14 +13,16 @@ Three things keep this within bounds:
 * Words are numbered exactly within a bucket; windows are sorted by a hash of
   those numbers, and equal neighbours are compared word by word.
 * The super-k-mers of a minimiser with over ``hot`` occurrences are dealt on by
-  window: each window's 128-bit digest is counted (map-side first), so no
-  bucket holds more than ``hot`` strings.
+  window, so no bucket holds more than ``hot`` strings: a window goes to the
+  bucket of its 128-bit digest, once a task (map-side first), and takes its
+  words along. A bucket whose smallest and largest words are the same holds one
+  window; one in which they differ is counted again by digest and words.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -174,9 +176,14 @@ def _index(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame
     return rows.mapInArrow(run, schema)
 
 
-def _travel(parts: DataFrame, width: int) -> DataFrame:
-    """The packed strings of super-k-mers with a minimiser that occurs again,
-    and the window digests of hot ones."""
+def window_digest(words: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit hashes of each window (of word hashes). They only choose its bucket."""
+    return gram_hash(words, width, 11).view(np.int64), gram_hash(words, width, 13).view(np.int64)
+
+
+def _travel(parts: DataFrame, width: int, digest: Callable) -> DataFrame:
+    """The packed strings of super-k-mers with a minimiser that occurs again
+    (``digest`` is null), and the single windows of hot ones, with digests."""
     schema = T.StructType([
         parts.schema["id"], parts.schema["text_key"], T.StructField("minimiser", T.LongType()),
         T.StructField("digest", T.LongType()), T.StructField("first", T.IntegerType()), T.StructField("packed", T.BinaryType())])
@@ -197,14 +204,13 @@ def _travel(parts: DataFrame, width: int) -> DataFrame:
                             packed.append(b" ".join(words[k["first"]:k["first"] + k["windows"] + width - 1]))
                             continue
                         if h is None:
-                            own = Words([text]).hash
-                            h = gram_hash(own, width, 11).view(np.int64).tolist(), gram_hash(own, width, 13).view(np.int64).tolist()
+                            h = [x.tolist() for x in digest(Words([text]).hash, width)]
                         for w in range(k["first"], k["first"] + k["windows"]):
                             doc.append(i)
                             mini.append(h[0][w])
                             dig.append(h[1][w])
                             first.append(w)
-                            packed.append(None)
+                            packed.append(b" ".join(words[w:w + width]))
                 at = pa.array(doc, pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0).take(at), part.column(1).take(at), pa.array(mini, pa.int64()), pa.array(dig, pa.int64()),
@@ -213,6 +219,22 @@ def _travel(parts: DataFrame, width: int) -> DataFrame:
     return (parts.where("kmers is not null").select("id", "text_key", "text", "kmers").mapInArrow(run, schema))
 
 
+def _hot_windows(windows: DataFrame, width: int) -> DataFrame:
+    """Spans of the windows (one a row, with digest and words) that occur twice
+    or more. Words are compared in the bucket of their digest."""
+    at = [F.col("minimiser").alias("_m"), F.col("digest").alias("_d")]
+    # The smallest and the largest words: one pair a task and digest travels.
+    counted = written(windows.groupBy(*at).agg(F.count(F.lit(1)).alias("n"), F.min("packed").alias("low"), F.max("packed").alias("high"))
+                      .where("n > 1").select("_m", "_d", (F.col("low") != F.col("high")).alias("mixed")), "digests")
+    here = (F.col("minimiser") == F.col("_m")) & (F.col("digest") == F.col("_d"))
+    span = ["id", "text_key", F.col("first").alias("s"), (F.col("first") + width).cast("int").alias("e")]
+    same = windows.drop("packed").join(counted.where("not mixed"), here).select(*span)
+    # Different windows with one digest: counted by their words.
+    mixed = windows.join(counted.where("mixed"), here, "left_semi")
+    words = mixed.groupBy(*at, F.col("packed").alias("_p")).count().where("count > 1")
+    return same.unionByName(mixed.join(words, here & (F.col("packed") == F.col("_p"))).select(*span))
+
+
 def _buckets(strings: DataFrame, width: int) -> DataFrame:
     """Covered word spans (``s`` to before ``e``) of the texts whose
     super-k-mers hold repeated windows."""
@@ -281,7 +303,7 @@ def _remove(text: bytes, spans: list) -> tuple[int, int, bytes]:
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 35,
-                   hot: int = 20_000, with_text: bool = True) -> DataFrame:
+                   hot: int = 20_000, with_text: bool = True, digest: Callable = window_digest) -> DataFrame:
     """Struct ``row`` (columns of ``docs`` but the text), ``n_words``,
     ``n_removed``, ``kept_sha256`` (of the kept words, joined by a space) and,
     ``with_text``, ``text`` (null if it was null), ``kept`` (the kept words).
@@ -290,7 +312,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     else too, in the same text or another; windows are judged on the input.
     Null and blank texts and texts shorter than a window lose nothing. Rows
     with the same id are texts of their own; rows equal in id and text are
-    copies of each other. An empty table gives an empty result.
+    copies of each other. An empty table gives an empty result. ``hot`` and
+    ``digest`` decide where windows meet, never whether they are equal.
     """
     index = written(_index(docs, id_col, text_col, width), "super-kmers")
     one = index.select("id", "text_key", F.explode(F.arrays_zip("minimiser", "first", "windows")).alias("k")) \
@@ -316,12 +339,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         (F.col("text") if with_text else F.when(~none, F.col("text"))).alias("text")), "texts", compression="zstd")
     drop(index)
     drop(again)
-    travel = written(_travel(parts, width), "travelling", compression="zstd")
-    spans = _buckets(travel.where("packed is not null"), width)
-    counted = travel.where("packed is null").groupBy("minimiser", "digest").count().where("count > 1") \
-        .select(F.col("minimiser").alias("_m"), F.col("digest").alias("_d"))
-    hot_windows = travel.where("packed is null").join(counted, (F.col("minimiser") == F.col("_m")) & (F.col("digest") == F.col("_d")))
-    spans = spans.unionByName(hot_windows.select("id", "text_key", F.col("first").alias("s"), (F.col("first") + width).cast("int").alias("e")))
+    travel = written(_travel(parts, width, digest), "travelling", compression="zstd")
+    spans = _buckets(travel.where("digest is null"), width)
+    spans = spans.unionByName(_hot_windows(travel.where("digest is not null"), width))
     spans = spans.groupBy(key).agg(F.collect_set(F.struct("s", "e")).alias("spans"))
     some = parts.where("kmers is not null").select("row", "text", F.struct("id", "text_key").alias("_key"))
     some = some.join(spans, some["_key"] == spans["key"], "left").select("row", "text", "spans")

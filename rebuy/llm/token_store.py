@@ -277,11 +277,24 @@ def read_metadata(spark, path: str) -> DataFrame:
         "id", (F.col("base") + F.col("place")).alias("start"), "n_tokens", "file", "row")
 
 
-def read_tokens(spark, path: str, ids: DataFrame | None = None) -> DataFrame:
+def read_tokens(spark, path: str, ids: DataFrame | None = None, listed: int = 200) -> DataFrame:
     """``id``, ``place``, ``tokens`` and ``file``; with ``ids`` (one column
-    ``id``) only of those documents."""
+    ``id``; nulls and repeats take no part) only of those documents.
+
+    One aggregate finds the bounds of ``ids``, and the ids themselves if there
+    are at most ``listed``. The scan gets them as a filter: files are ordered
+    by id, so it skips the row groups and, by the page index, the token pages
+    that hold none. ``ids`` without a row gives no rows.
+    """
     rows = spark.read.parquet(path).select("id", "place", "tokens", F.col("_metadata.file_name").alias("file"))
-    return rows if ids is None else rows.join(ids.select("id"), "id", "left_semi")
+    if ids is None:
+        return rows
+    ids = ids.select("id").where("id is not null")
+    few = [r["id"] for r in ids.distinct().limit(listed + 1).collect()]
+    if len(few) <= listed:
+        return rows.where(F.col("id").isin(few) if few else F.lit(False))
+    low, high = ids.agg(F.min("id"), F.max("id")).first()
+    return rows.where(F.col("id").between(low, high)).join(ids, "id", "left_semi")
 
 
 def digests(spark, path: str) -> DataFrame:

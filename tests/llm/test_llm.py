@@ -174,6 +174,13 @@ def test_substring_dedup(spark, docs, width, hot):
     assert sorted(map(tuple, found.collect()), key=str) == brute_repeats(rows_of(docs), width)
 
 
+@pytest.mark.parametrize("kinds", [1, 3])
+def test_substring_dedup_compares_words_of_equal_digests(spark, docs, kinds):
+    weak = lambda words, width: [x % kinds for x in substring_dedup.window_digest(words, width)]
+    found = substring_dedup.remove_repeats(docs, width=5, hot=1, digest=weak).select("row.doc_id", "n_words", "n_removed", "kept_sha256")
+    assert sorted(map(tuple, found.collect()), key=str) == brute_repeats(rows_of(docs), 5)
+
+
 def test_substring_dedup_without_rows(spark):
     assert substring_dedup.remove_repeats(empty(spark)).count() == 0
 
@@ -314,6 +321,15 @@ def test_token_store(spark, docs, encoding):
     assert "tokens" not in meta._jdf.queryExecution().executedPlan().toString().replace("n_tokens", "")
     one = token_store.read_tokens(spark, path, spark.range(3, 4))
     assert [len(r["tokens"]) for r in one.collect()] == [r["n_tokens"] for r in found if r["id"] == 3]
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "In(id, [3])" in plan(one) or "EqualTo(id,3)" in plan(one)
+    some = spark.range(2, 30, 3).union(spark.range(2, 4)).union(spark.createDataFrame([(None,)], "id long"))
+    wide = token_store.read_tokens(spark, path, some, listed=2)
+    assert "GreaterThanOrEqual(id,2), LessThanOrEqual(id,29)" in plan(wide)
+    for df in (wide, token_store.read_tokens(spark, path, some)):
+        assert sorted((r["id"], len(r["tokens"])) for r in df.collect()) == sorted(
+            (r["id"], r["n_tokens"]) for r in found if r["id"] in {*range(2, 30, 3), 2, 3})
+    assert token_store.read_tokens(spark, path, spark.range(0)).count() == 0
 
 
 def test_shards(spark, docs):
