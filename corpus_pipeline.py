@@ -19,7 +19,7 @@ ORACLE_SQL = None
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the cutoffs of their language."""
     found = quality_rules.judge(docs, table(spark, sf_dir, "labels"), keep_text=True)
-    return found.where("kept").select("row.*").select(*docs.columns)
+    return found.where("kept").select(*[F.col(f"row.`{c}`") for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,10 +32,11 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     none stays as it is; of others the kept words are joined by a space, and
     one that loses all its words is left out."""
     found = substring_dedup.remove_repeats(docs, width=35)
-    rows = found.where("n_removed < n_words or n_removed = 0").select(
-        "row.*", F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text")).alias("text"), "n_removed")
-    n_chars = F.when(F.col("n_removed") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
-    return rows.withColumn("n_chars", n_chars).select(*docs.columns)
+    cut = F.col("n_removed") > 0
+    own = {"text": F.when(cut, F.col("kept")).otherwise(F.col("text")),
+           "n_chars": F.when(cut, F.char_length("kept").cast("long")).otherwise(F.col("row.n_chars"))}
+    return found.where("n_removed < n_words or n_removed = 0").select(
+        *[own.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
