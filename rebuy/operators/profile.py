@@ -2,7 +2,7 @@
 
 Wide statistics are one aggregate over all columns, turned into rows with
 ``inline``, or one aggregate grouped by column. Order statistics (quartiles,
-medians) are exact and found by narrowing histograms.
+medians) are exact and distributed over counted distinct values.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.stats import sample_excess_kurtosis, sample_skewness, t_pvalue
-from .ordering import group_rank
+from .ordering import group_rank, prefix_sums
 from .quantiles import at_positions
 
 TARGET = "target_repeat_within_180d"
@@ -33,30 +33,47 @@ def _rows(one_row: DataFrame, structs: list[Column]) -> DataFrame:
 
 
 def quantile_columns(long: DataFrame, keys: list[str], qs: dict[str, float], value: str = "value",
-                     approx: bool = False, accuracy: int = 10000) -> DataFrame:
+                     approx: bool = False, accuracy: int = 10000, narrow: bool = False) -> DataFrame:
     """Quantiles of ``value`` as named columns (e.g. {'q1': .25, 'q3': .75})
     per ``keys`` group, exact and linear-interpolated (position q*(n-1)
-    between neighbours), found by narrowing histograms (``quantiles``): four
-    scans, nothing sorted by value. NULL and NaN take no part; a group without
+    between neighbours). Equal values collapse to one counted row before the
+    shuffle, running counts give each value its span of positions, and only
+    the values whose span holds a wanted position are kept, so a value that
+    fills a column costs one row. NULL and NaN take no part; a group without
     values gives no row. ``approx=True`` opts into ``percentile_approx``
-    (relative rank error 1/accuracy)."""
+    (relative rank error 1/accuracy), ``narrow=True`` into narrowing histograms
+    (exact, four scans without an order over values; see ``quantiles``)."""
     data = long.filter(F.col(value).isNotNull() & ~F.isnan(F.col(value)))
     if approx:
         got = F.percentile_approx(value, [float(q) for q in qs.values()], accuracy)
         return data.groupBy(*keys).agg(got.alias("_qs")).select(
             *keys, *[F.col("_qs")[i].alias(n) for i, n in enumerate(qs)])
-    found = at_positions(data, keys, list(qs.values()), value)
-    between = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * (F.col("_at") - F.floor("_at"))
-    # Neighbours that are equal need no difference, which infinity lacks.
-    exact = F.when(F.col("_lo") == F.col("_hi"), F.col("_lo")).otherwise(between)
-    return found.groupBy(*keys).agg(*[F.max(F.when(F.col("_i") == i, exact)).alias(n) for i, n in enumerate(qs)])
+    if narrow:
+        found = at_positions(data, keys, list(qs.values()), value)
+        between = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * (F.col("_at") - F.floor("_at"))
+        # Neighbours that are equal need no difference, which infinity lacks.
+        exact = F.when(F.col("_lo") == F.col("_hi"), F.col("_lo")).otherwise(between)
+        return found.groupBy(*keys).agg(*[F.max(F.when(F.col("_i") == i, exact)).alias(n) for i, n in enumerate(qs)])
+    counted = data.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
+    cum = prefix_sums(counted, [*keys, value], ["_c"])
+    groups = cum.groupBy(*keys).agg(F.sum("_c").alias("_n"), F.min(F.col("_c_cum") - F.col("_c")).alias("_start"))
+    last = F.col("_c_cum") - F.col("_start") - 1
+    first = last - F.col("_c") + 1
+    spans = cum.join(groups, keys).select(*keys, F.col(value).alias("_v"), "_n", first.alias("_first"), last.alias("_last"))
+    aggs, outs = [F.first("_n").alias("_n")], []
+    for i, (name, q) in enumerate(qs.items()):
+        at = F.lit(float(q)) * (F.col("_n") - 1)
+        for side, pos in (("lo", F.floor(at)), ("hi", F.ceil(at))):
+            aggs.append(F.max(F.when(pos.between(F.col("_first"), F.col("_last")), F.col("_v"))).alias(f"_{side}{i}"))
+        outs.append((F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * (at - F.floor(at))).alias(name))
+    return spans.groupBy(*keys).agg(*aggs).select(*keys, *outs)
 
 
 def exact_quantiles(long: DataFrame, keys: list[str], qs=(0.25, 0.5, 0.75),
-                    value: str = "value", approx: bool = False, accuracy: int = 10000) -> DataFrame:
+                    value: str = "value", approx: bool = False, accuracy: int = 10000, narrow: bool = False) -> DataFrame:
     """``quantile_columns`` as rows (keys..., q, quantile)."""
     names = {f"_q{i}": float(q) for i, q in enumerate(qs)}
-    wide = quantile_columns(long, keys, names, value, approx, accuracy)
+    wide = quantile_columns(long, keys, names, value, approx, accuracy, narrow)
     return wide.select(*keys, F.inline(F.array(*[F.struct(F.lit(q).alias("q"), F.col(n).alias("quantile"))
                                                  for n, q in names.items()])))
 
