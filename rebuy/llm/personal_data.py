@@ -47,8 +47,6 @@ PROPOSES = {"digits": r"[0-9](?:[\x20().\-/]{0,3}[0-9]){6}", "tight": r"[0-9](?:
             "national": r"[0-9]{2}\)?[\x20.\-/][0-9]{3}", "spelled": r"@|[(\[{]at[)\]}]"}
 #: Characters of context on each side.
 CONTEXT = 32
-#: Labelled proposals that are drawn (by hash) to fit and to calibrate.
-SAMPLE = 20_000
 #: Least precision on held-out proposals, and the trees' size.
 PRECISION, ROUNDS, DEPTH = 0.95, 10, 3
 #: Words that stand before each kind.
@@ -189,28 +187,25 @@ def proposals(found: DataFrame) -> DataFrame:
     return out.select("key", "kind", "start", "end", *[f"f_{f}" for f in FEATURES], label.alias("label"), clear.alias("clear"))
 
 
-def fit(labelled: DataFrame, sample: int = SAMPLE) -> tuple[list, dict[str, float]] | None:
-    """Trees of the labelled proposals, and the least score at which at least
+def fit(labelled: DataFrame) -> tuple[list, dict[str, float]] | None:
+    """Trees of all labelled proposals, and the least score at which at least
     ``PRECISION`` of a kind's held-out proposals above it are right (counting
-    one more wrong and one more right one). Every fourth of the sample is held
-    out. None without proposals of both labels."""
+    one more wrong and one more right one). Every fourth is held out, by hash.
+    None without proposals of both labels."""
     fields = [f"f_{f}" for f in FEATURES]
-    # Hash order draws the sample; even numbers of right and wrong ones.
-    order = [F.xxhash64("key", "start", "end", "kind"), "key", "start", "end", "kind"]
-    drawn = None
-    for y in (0, 1):
-        part = labelled.where(F.col("label") == y).orderBy(*order).limit(sample // 2)
-        drawn = part if drawn is None else drawn.unionByName(part)
-    drawn = written(drawn.select("kind", "label", *fields, (F.pmod(F.xxhash64("key", "start"), F.lit(4)) == 0).alias("held")).coalesce(1), "sample")
-    used = drawn.where("not held")
+    held = (F.pmod(F.xxhash64("key", "start"), F.lit(4)) == 0).alias("held")
+    rows = written(labelled.select("kind", "label", *fields, held).hint("rebalance"), "labelled")
+    used = rows.where("not held")
     if len(used.select("label").distinct().limit(2).collect()) < 2:
         return None
     data = VectorAssembler(inputCols=fields, outputCol="features").transform(used.withColumn("label", F.col("label").cast("double")))
-    model = GBTClassifier(maxIter=ROUNDS, maxDepth=DEPTH, stepSize=0.3, seed=7, minInstancesPerNode=5).fit(data.select("label", "features").coalesce(1))
+    model = GBTClassifier(maxIter=ROUNDS, maxDepth=DEPTH, stepSize=0.3, seed=7, minInstancesPerNode=5).fit(data.select("label", "features"))
     nodes = trees.node_table(model).collect()  # at most ROUNDS x 2^(DEPTH + 1) rows
-    scored = drawn.where("held").withColumn("score", score(nodes))
-    above = Window.partitionBy("kind").orderBy(F.desc("score")).rangeBetween(Window.unboundedPreceding, 0)
-    right, n = F.sum("label").over(above), F.count(F.lit(1)).over(above)
+    # A row for each score: the trees have few, however many the proposals.
+    scored = rows.where("held").select("kind", "label", score(nodes).alias("score")) \
+        .groupBy("kind", "score").agg(F.sum("label").alias("right"), F.count(F.lit(1)).alias("n"))
+    above = Window.partitionBy("kind").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
+    right, n = F.sum("right").over(above), F.sum("n").over(above)
     cuts = scored.select("kind", "score", ((right + 1) / (n + 2) >= PRECISION).alias("enough")).where("enough") \
         .groupBy("kind").agg(F.min("score").alias("cut")).collect()  # a row a kind
     return nodes, {r["kind"]: r["cut"] for r in cuts}
@@ -237,7 +232,7 @@ def selected(candidates: DataFrame, model: tuple[list, dict[str, float]]) -> Dat
     return good.groupBy("key", "run").agg(best.alias("s")).select("key", "s.kind", "s.start", "s.end")
 
 
-def find_personal_data(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> DataFrame:
+def find_personal_data(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """Struct ``row`` (columns of ``docs`` but the text), ``base`` and
     ``added``: spans (``rank`` of the kind, ``kind``, ``start``, ``end`` in
     code points, end exclusive) of the rules and of the trees, in order.
@@ -249,7 +244,7 @@ def find_personal_data(docs: DataFrame, text_col: str = "text", sample: int = SA
     found = matches(docs, text_col)
     all_spans = written(spans(found), "spans")
     candidates = written(proposals(all_spans), "proposals")
-    model = fit(candidates.where("label is not null"), sample)
+    model = fit(candidates.where("label is not null"))
     rules = all_spans.where(F.col("source").isin(*KINDS)).where(valid(F.col("source"), F.col("match"))) \
         .select("key", F.col("source").alias("kind"), "start", "end", F.lit(True).alias("base"))
     both = rules
