@@ -96,7 +96,9 @@ def partial_dependence(scored_fn, df: DataFrame, feature: str, grid_resolution:
     no copies of the rows."""
     g = feature_grid(df, feature, grid_resolution, percentiles)
     values = F.array(*[F.lit(v) for v in g]).cast("array<double>")  # no values: no rows
-    expanded = df.select("*", F.explode(values).alias("_grid"))
+    # Rows are dealt out first: a slice of a sorted table lies in few partitions.
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    expanded = df.repartition(4 * cores).select("*", F.explode(values).alias("_grid"))
     expanded = expanded.withColumn(feature, F.col("_grid"))
     return scored_fn(expanded).groupBy(F.col("_grid").alias("grid_value")).agg(F.avg("p").alias("mean_probability"))
 
