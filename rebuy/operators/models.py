@@ -4,6 +4,8 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
+from multiprocessing.pool import ThreadPool
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,10 +33,10 @@ def class_weights(train: DataFrame, target: str = TARGET) -> DataFrame:
 
 
 def with_weights(train: DataFrame, target: str = TARGET, name: str = "weight") -> DataFrame:
-    """Attach the balanced class weight to every training row (one row per
-    class)."""
+    """Attach the balanced class weight to every training row. The weights
+    (one row per class) are broadcast: by a shuffle, a class would be a task."""
     w = class_weights(train, target).select(target, F.col("balanced_weight").alias(name))
-    return train.join(w, target)
+    return train.join(F.broadcast(w), target)
 
 
 # M13
@@ -96,7 +98,9 @@ class Logistic:
                                 standardization=False, maxIter=self.max_iter, tol=1e-6)
         if self.weight:
             lr.setWeightCol(self.weight)
-        return lr.fit(data)
+        # A step shuffles a gradient for each partition: two a core, not more.
+        cores = data.sparkSession.sparkContext.defaultParallelism
+        return lr.fit(data.select(self.features, self.label, *([self.weight] if self.weight else [])).coalesce(2 * cores))
 
 
 def logistic(features: str = "features", weight: str | None = "weight", n_weight_sum: float | None = None,
@@ -223,7 +227,8 @@ class TabularModel:
         self.weighted, self.text, self.tabular = weighted, text, tabular
 
     def _features(self, df: DataFrame) -> DataFrame:
-        out = prepare(df)
+        # Texts are read where their terms are counted and moved nowhere else.
+        out = prepare(df.drop("review_text"))
         if self.mode != "onehot" and not self.text:
             return VectorAssembler(inputCols=["features"], outputCol="all_features").transform(self.pre.transform(out))
         parts = []
@@ -231,7 +236,7 @@ class TabularModel:
             out = self.pre.encode(out)
             parts.append(("features", self.pre.size))
         if self.text:
-            out = E.tfidf_structs(out, E.tfidf_weights(out, self.vocab), self.vocab_size)
+            out = E.tfidf_structs(out, E.tfidf_weights(df, self.vocab), self.vocab_size)
             parts.append(("text_features", self.vocab_size))
         out = out.withColumn("all_features", E.joined_structs(parts)).drop(*[name for name, _ in parts])
         return E.with_vectors(out.hint("rebalance"), ["all_features"])
@@ -339,7 +344,6 @@ def staged_grid_search(train: DataFrame, grid: dict, features: str = "all_featur
     scores are those of its first rounds. Returns (best model, frame of mean
     AUC per combination)."""
     from itertools import product
-    from multiprocessing.pool import ThreadPool
 
     rounds = sorted(grid["maxIter"])
     names = [k for k in grid if k != "maxIter"]
@@ -389,15 +393,15 @@ def boosted_oof(train: DataFrame, others: DataFrame, features: str = "all_featur
     """k-fold out-of-fold scores for train rows, fold-averaged scores for
     ``others``. Returns (train with 'oof', others with 'oof')."""
     # fold ids are a global rank: write them once instead of once per fold
-    data = training_table(stratified_folds(pos_weighted(train), "label", k, seed, "order_id", name="fold"))
-    oof_parts, avg_parts = [], []
-    for f in range(k):
-        gbt = GBTClassifier(labelCol="label", featuresCol=features, weightCol="weight", maxIter=max_iter,
-                            stepSize=step, maxDepth=depth, minInstancesPerNode=min_leaf, seed=seed)
-        m = gbt.fit(data.filter(F.col("fold") != f))
-        oof_parts.append(batch_score(m, data.filter(F.col("fold") == f), "oof").select("order_id", "oof"))
-        avg_parts.append(batch_score(m, others, "oof").select("order_id", "oof"))
-    from functools import reduce
+    folds = stratified_folds(pos_weighted(train).select("order_id", "label", "weight", features), "label", k, seed, "order_id", name="fold")
+    data = training_table(folds, wide=True)
+    rounds = GBTClassifier(labelCol="label", featuresCol=features, weightCol="weight", maxIter=max_iter, stepSize=step, maxDepth=depth,
+                           minInstancesPerNode=min_leaf, seed=seed)
+    # A round is a few short jobs, one after another: the folds run side by side.
+    with ThreadPool(k) as pool:
+        fitted = pool.map(lambda f: rounds.copy().fit(data.filter(F.col("fold") != f)), range(k))
+    oof_parts = [batch_score(m, data.filter(F.col("fold") == f), "oof").select("order_id", "oof") for f, m in enumerate(fitted)]
+    avg_parts = [batch_score(m, others, "oof").select("order_id", "oof") for m in fitted]
     oof = reduce(lambda a, b: a.unionByName(b), oof_parts)
     avg = reduce(lambda a, b: a.unionByName(b), avg_parts).groupBy("order_id").agg(F.avg("oof").alias("oof"))
     return materialize(train.join(oof, "order_id"), "oof"), materialize(others.join(avg, "order_id"), "oof")

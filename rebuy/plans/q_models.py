@@ -155,6 +155,7 @@ def q_store(spark, sf):
 def _tab_features(train, held, numeric=None, categorical=None, mode="ordinal", scale=False):
     pre = E.TabularPreprocessor(numeric or E.BASELINE_NUMERIC, categorical or E.BASELINE_CATEGORICAL,
                                 scale=scale, categorical_mode=mode, output="all_features").fit(train)
+    train, held = train.drop("review_text"), held.drop("review_text")
     return pre, pre.transform(M.prepare(train)), pre.transform(M.prepare(held))
 
 
@@ -182,7 +183,7 @@ def _hybrid_inputs(spark, sf):
     eng = S.engineer_features(sp)
     pre = E.TabularPreprocessor(A.HYBRID_NUMERIC, [], scale=True, output="all_features").fit(
         eng.filter(F.col("split") == "train"))
-    data = materialize(pre.transform(M.prepare(eng)), "hybrid")
+    data = materialize(pre.transform(M.prepare(eng.drop("review_text"))), "hybrid")
     return data.filter(F.col("split") == "train"), data.filter(F.col("split") != "train")
 
 
@@ -302,7 +303,7 @@ def _rf_scorer(spark, sf):
     def score(df):
         return M.batch_score(tm.model, VectorAssembler(inputCols=tm.pre.columns(), outputCol="all_features",
                                                        handleInvalid="keep").transform(df))
-    feats = tm.pre.transform(base).drop("features")
+    feats = tm.pre.transform(base).select("order_id", "label", *tm.pre.columns())
     return tm, feats, score
 
 
@@ -342,12 +343,12 @@ def q_lr_all(spark, sf):
     features plus train target encodings of the four categoricals
     (NULL / ±inf -> 0, population scaling), scored on val and test."""
     sp, _, _ = _tt(spark, sf)
-    eng = S.engineer_features(sp)
+    eng = S.engineer_features(sp).drop("review_text")
     train = eng.filter(F.col("split") == "train")
     for c in E.BASELINE_CATEGORICAL:
         eng = E.target_encode(eng, c, E.fit_target_encoding(train, c, TARGET))
     cols = A.DL_NUMERIC + [f"{c}_target_enc" for c in E.BASELINE_CATEGORICAL]
-    eng = S.sanitize(eng, cols, "zero")
+    eng = materialize(S.sanitize(eng, cols, "zero"), "encoded")  # the fit reads it many times
     tm = M.TabularModel("tabular_lr_all", cols, [], lambda n: M.logistic("all_features", "weight", n))
     tm.fit(eng.filter(F.col("split") == "train"))
     return _ladder_rows(M._scored(tm.score(eng.filter(F.col("split") != "train")), tm.name))
