@@ -185,12 +185,14 @@ def terms(df: DataFrame, text: str, id_col: str) -> DataFrame:
     ids = df.where(F.col(text).isNotNull()).groupBy(id_col).agg(F.collect_list(text).alias("_texts"))
     toks = F.transform("_texts", lambda t: F.regexp_extract_all(F.lower(t), F.lit(TOKEN), 0))
     rows = ids.select(id_col, F.sort_array(F.flatten(F.transform(toks, with_bigrams))).alias("_t"))
-    # Places where a run of equal terms begins, and the end of the last.
+    # Places where a run of equal terms begins; each ends where the next begins.
     begins = F.filter(F.transform("_t", lambda t, i: F.when((i == 0) | (t != F.get("_t", i - 1)), i)), lambda i: i.isNotNull())
-    rows = rows.where(F.size("_t") > 0).select(id_col, "_t", F.concat(begins, F.array(F.size("_t"))).alias("_at"))
-    runs = F.zip_with(F.slice("_at", 1, F.size("_at") - 1), F.slice("_at", 2, F.size("_at") - 1),
-                      lambda a, b: F.struct(F.get("_t", a).alias("term"), (b - a).cast("long").alias("tf")))
-    return rows.select(id_col, F.explode(runs).alias("_r")).select(id_col, "_r.term", "_r.tf")
+    # Outer: for an inner explode Spark infers a filter on the array's size
+    # and pushes it down, so that each text is cut and sorted a second time.
+    rows = rows.select(id_col, "_t", begins.alias("_at")).select(id_col, "_t", "_at", F.posexplode_outer("_at").alias("_k", "_b"))
+    end = F.coalesce(F.get("_at", F.col("_k") + 1), F.size("_t"))
+    return rows.where(F.col("_b").isNotNull()).select(
+        id_col, F.get("_t", F.col("_b")).alias("term"), (end - F.col("_b")).cast("long").alias("tf"))
 
 
 def fit_tfidf(train: DataFrame, text: str = "review_text", id_col: str = "order_id",

@@ -69,6 +69,14 @@ def test_terms_are_counted_where_their_id_is(spark):
     assert all("term" not in x for x in re.findall(r"Exchange hashpartitioning\(.*", plan(got)))
 
 
+def test_a_text_is_cut_and_sorted_once(spark):
+    df = spark.createDataFrame(TEXTS, "order_id long, t string")
+    vocab = spark.createDataFrame([("bb", 0, 1.0)], "term string, index long, idf double")
+    for out in (E.terms(df, "t", "order_id"), E.tfidf_weights(df, vocab, "t", "order_id")):
+        p = out._jdf.queryExecution().optimizedPlan().toString()
+        assert p.count("sort_array") == p.count("regexp_extract_all") == 1
+
+
 def test_only_the_vocabulary_is_broadcast(spark):
     df = spark.createDataFrame(TEXTS, "order_id long, t string")
     vocab = spark.createDataFrame([("bb", 0, 1.0), ("cc", 1, 2.0)], "term string, index long, idf double")
