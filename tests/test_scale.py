@@ -44,6 +44,19 @@ def test_references_give_the_same_messages(spark, tables):
     assert not re.search(r"Exchange.*\btext#", plan(refs))
 
 
+def test_reviews_without_a_document_are_spread(spark, tables):
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        for reviews in (R.v_review_refs, R.v_reviews):
+            sizes = [r["count"] for r in reviews(spark, tables).groupBy(F.spark_partition_id()).count().collect()]
+            assert max(sizes) < sum(sizes) / 3 and sum(sizes) > 250
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
+
+
 def test_classes_are_not_shuffled(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
