@@ -52,8 +52,9 @@ def score_curve(scored: DataFrame, by=None, y: str = "y", p: str = "p") -> DataF
     base = cum.groupBy(*keys).agg(F.min(F.col("pos_cum") - F.col("pos")).alias("_bp"),
                                   F.min(F.col("neg_cum") - F.col("neg")).alias("_bn"),
                                   F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
-    # one row per group on the right-hand side
-    out = (cum.join(base, keys)
+    # one row per group (a model, a split) on the right-hand side: by a shuffle,
+    # a group would be a task
+    out = (cum.join(F.broadcast(base), keys)
               .withColumn("pos_cum", F.col("pos_cum") - F.col("_bp"))
               .withColumn("neg_cum", F.col("neg_cum") - F.col("_bn"))
               .drop("_bp", "_bn"))
@@ -112,9 +113,9 @@ def _top_share(curve: DataFrame, df: DataFrame, keys: list[str], frac: float, y:
     edge = curve.filter((above < k) & (F.col("pos_cum") + F.col("neg_cum") >= k)).select(
         *keys, F.col(p).alias("_edge"), k.alias("_k"), (k - above).alias("_left"),
         (F.col("pos_cum") - F.col("pos")).alias("_above"), (F.col("n_pos") / n).alias("_rate"))
-    tied = (df.join(edge.select(*keys, "_edge", "_left"), keys).filter(F.col(p).eqNullSafe(F.col("_edge")))
+    tied = (df.join(F.broadcast(edge.select(*keys, "_edge", "_left")), keys).filter(F.col(p).eqNullSafe(F.col("_edge")))
               .select(*keys, id_col, F.col(y).cast("long").alias("_y"), "_left"))
-    taken = (group_rank(tied, keys, [id_col], name="_rk").filter(F.col("_rk") <= F.col("_left"))
+    taken = (group_rank(tied, keys, [id_col], name="_rk", few=True).filter(F.col("_rk") <= F.col("_left"))
              .groupBy(*keys).agg(F.sum("_y").alias("_taken")))
     return edge.join(taken, keys).select(
         *keys, ((F.col("_above") + F.col("_taken")) / F.col("_k")).alias("precision_at_k"), "_rate")
@@ -171,7 +172,7 @@ def _threshold_col(df: DataFrame, keys: list[str], threshold) -> tuple[DataFrame
     if isinstance(threshold, DataFrame):
         tk = [k for k in keys if k in threshold.columns]
         t = threshold.select(*tk, F.col("threshold").alias("_thr"))
-        return (df.join(t, tk) if tk else df.withColumn("_thr", t.agg(F.first("_thr")).scalar())), F.col("_thr")
+        return (df.join(F.broadcast(t), tk) if tk else df.withColumn("_thr", t.agg(F.first("_thr")).scalar())), F.col("_thr")
     return df, F.lit(float(threshold))
 
 

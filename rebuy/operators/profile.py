@@ -59,7 +59,8 @@ def quantile_columns(long: DataFrame, keys: list[str], qs: dict[str, float], val
     groups = cum.groupBy(*keys).agg(F.sum("_c").alias("_n"), F.min(F.col("_c_cum") - F.col("_c")).alias("_start"))
     last = F.col("_c_cum") - F.col("_start") - 1
     first = last - F.col("_c") + 1
-    spans = cum.join(groups, keys).select(*keys, F.col(value).alias("_v"), "_n", first.alias("_first"), last.alias("_last"))
+    # One row per group (a column, a class): by a shuffle, a group would be a task.
+    spans = cum.join(F.broadcast(groups), keys).select(*keys, F.col(value).alias("_v"), "_n", first.alias("_first"), last.alias("_last"))
     aggs, outs = [F.first("_n").alias("_n")], []
     for i, (name, q) in enumerate(qs.items()):
         at = F.lit(float(q)) * (F.col("_n") - 1)

@@ -10,10 +10,13 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from rebuy.llm import personal_data as PD
+from rebuy.operators import assemble as A
 from rebuy.operators import encoders as E
 from rebuy.operators import explain as X
+from rebuy.operators import metrics as K
 from rebuy.operators import models as M
 from rebuy.operators import ordering as D
+from rebuy.operators import profile as P
 from rebuy.sources import retail as R
 
 
@@ -57,6 +60,26 @@ def test_reviews_without_a_document_are_spread(spark, tables):
             spark.conf.unset(k)
 
 
+def test_groups_are_not_shuffled(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        scored = spark.range(200).select(F.col("id"), F.when(F.col("id") % 4 == 0, "val").otherwise("test").alias("split"),
+                                         (F.col("id") % 3 == 0).cast("int").alias("y"), (F.col("id") % 7 / 7).alias("p"))
+        thresholds = spark.createDataFrame([("val", 0.5), ("test", 0.2)], "split string, threshold double")
+        medians = P.quantile_columns(P.melt(scored, ["id", "y", "p"]), ["feature"], {"median": 0.5})
+        products = scored.select(F.col("id").alias("product_id"), F.col("split").alias("product_category_name"))
+        names = spark.createDataFrame([("val", "v")], "product_category_name string, product_category_name_english string")
+        for out in (medians, K.score_curve(scored, ["split"]), K.confusion_counts(scored, ["split"], thresholds),
+                    D.group_rank(scored, ["split"], ["id"], few=True), A.category_translate(products, names)):
+            assert "SortMergeJoin" not in plan(out) and "BroadcastHashJoin" in plan(out)
+        assert {r.feature: r.median for r in medians.collect()} == {"id": 99.5, "y": 0.0, "p": 3 / 7}
+        got = {r.split: (r.tn, r.fp, r.fn, r.tp) for r in K.confusion_counts(scored, ["split"], thresholds).collect()}
+        want = Counter(("val" if i % 4 == 0 else "test", i % 3 == 0, i % 7 / 7 >= (0.5 if i % 4 == 0 else 0.2)) for i in range(200))
+        assert got == {s: tuple(want[s, y, over] for y in (False, True) for over in (False, True)) for s in ("val", "test")}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_classes_are_not_shuffled(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
