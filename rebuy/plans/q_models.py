@@ -312,7 +312,7 @@ def q_perm(spark, sf):
     """Forest on the 20 baseline features: drop in test average precision
     per shuffled column, 5 repeats."""
     tm, feats, score = _rf_scorer(spark, sf)
-    return X.permutation_importance(score, feats, tm.pre.columns(), repeats=5)
+    return X.permutation_importance(score, feats, tm.pre.columns(), repeats=5, forest=N.forest_arrays(tm.model))
 
 
 @register("partial_dependence")
