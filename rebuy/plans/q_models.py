@@ -319,7 +319,7 @@ def q_perm(spark, sf):
 def q_pdp(spark, sf):
     """Mean forest probability over a grid of log1p_delivery_days."""
     tm, feats, score = _rf_scorer(spark, sf)
-    return X.partial_dependence(score, feats, "log1p_delivery_days")
+    return X.partial_dependence(score, feats, "log1p_delivery_days", forest=N.forest_arrays(tm.model), features=tm.pre.columns())
 
 
 @register("partial_dependence_nodes")
