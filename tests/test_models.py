@@ -106,6 +106,45 @@ def test_grid_search_has_a_row_for_each_combination(spark, frame):
     assert table.count() == 2 and table.filter("mean_roc_auc > 0.8").count() == 2
 
 
+def test_forests_of_a_grid_that_differ_in_depth_are_one_fit(spark, frame, monkeypatch):
+    pre = E.TabularPreprocessor(["x1", "x2"], [], scale=False, output="all_features").fit(frame)
+    data = M.with_weights(pre.transform(M.prepare(frame)), "label")
+    grid = {"numTrees": [6], "maxDepth": [2, 5], "minInstancesPerNode": [2, 9]}
+    fits, fit = [], M.RandomForestClassifier.fit
+    monkeypatch.setattr(M.RandomForestClassifier, "fit", lambda self, rows, params=None: fits.append(1) or fit(self, rows, params))
+    est = M.rf_estimator()
+    best, table = M.grid_search(data, est, grid, folds=2)
+    assert len(fits) == 2 * 2 + 1 and best.getNumTrees == 6  # a leaf size and fold each, and the last one
+    # Every combination fitted on its own has the same mean.
+    table = {r.params: r.mean_roc_auc for r in table.collect()}
+    rows = M.training_table(M.stratified_folds(data, "label", 2, 42, "order_id", name="fold"))
+    b = M.ParamGridBuilder()
+    for k, v in grid.items():
+        b = b.addGrid(est.getParam(k), v)
+    auc = M.BinaryClassificationEvaluator(labelCol="label")
+    for m in b.build():
+        scores = [auc.evaluate(fit(est, rows.where(F.col("fold") != f), m).transform(rows.where(F.col("fold") == f))) for f in (0, 1)]
+        assert abs(table[str({p.name: v for p, v in m.items()})] - sum(scores) / 2) < 1e-9
+
+
+def test_ladder_counts_the_terms_of_a_text_once(spark, frame, monkeypatch):
+    words = F.concat_ws(" ", F.lit("alpha"), F.when(F.col("x1") > 0.7, "good").otherwise("plain"), F.col("cat"))
+    splits = frame.withColumn("review_text", words).withColumn(
+        "split", F.when(F.col("order_id") % 5 == 0, "test").when(F.col("order_id") % 5 == 1, "val").otherwise("train"))
+    models = [lambda: M.TabularModel("words", [], [], lambda n: M.logistic("all_features", "weight", n), text=True, tabular=False),
+              lambda: M.TabularModel("both", ["x1"], [], lambda n: M.logistic("all_features", "weight", n), text=True)]
+    train, held = splits.filter("split = 'train'"), splits.filter("split <> 'train'")
+    want = {}
+    for mk in models:
+        tm = mk().fit(train)
+        want[tm.name] = {r.split: r.average_precision for r in K.average_precision(M._scored(tm.score(held), tm.name), ["split"]).collect()}
+    counted, terms = [], E.terms
+    monkeypatch.setattr(E, "terms", lambda *a: counted.append(1) or terms(*a))
+    got = M.model_ladder(splits, models).collect()
+    assert len(counted) == 3  # for the vocabulary, the train rows and the held rows, whatever the models
+    assert len(got) == 6 and all(abs(r.pr_auc - want[r.model][r.split]) < 1e-9 for r in got if r.model in want)
+
+
 def test_staged_search_scores_first_rounds(spark, frame):
     pre = E.TabularPreprocessor(["x1", "x2"], [], scale=False, output="all_features").fit(frame)
     data = M.training_table(M.pos_weighted(pre.transform(M.prepare(frame)), "label"))
