@@ -220,11 +220,17 @@ def tfidf_weights(df: DataFrame, vocab: DataFrame, text: str = "review_text", id
     return w.select(id_col, "term", "index", (F.col("w") / norm).alias("weight"))
 
 
+def tfidf_pairs(weights: DataFrame, id_col: str = "order_id") -> DataFrame:
+    """One row per id: ``_pairs``, its (index, weight) in order of the index."""
+    return weights.groupBy(id_col).agg(
+        F.sort_array(F.collect_list(F.struct(F.col("index").cast("int").alias("index"), "weight"))).alias("_pairs"))
+
+
 def tfidf_structs(df: DataFrame, weights: DataFrame, size: int, id_col: str = "order_id",
                   name: str = "text_features") -> DataFrame:
-    """Attach a sparse struct per row (empty for rows without vocabulary terms)."""
-    per_doc = weights.groupBy(id_col).agg(
-        F.sort_array(F.collect_list(F.struct(F.col("index").cast("int").alias("index"), "weight"))).alias("_pairs"))
+    """Attach a sparse struct per row (empty for rows without vocabulary
+    terms). ``weights``: rows of ``tfidf_weights`` or of ``tfidf_pairs``."""
+    per_doc = weights if "_pairs" in weights.columns else tfidf_pairs(weights, id_col)
     pairs = F.coalesce("_pairs", F.array().cast("array<struct<index:int,weight:double>>"))
     # Merged, so that the lists of terms are never broadcast.
     return df.join(per_doc.hint("merge"), id_col, "left").withColumn(name, sparse_struct(size, pairs["index"], pairs["weight"])).drop("_pairs")

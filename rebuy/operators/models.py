@@ -6,6 +6,7 @@ from __future__ import annotations
 import uuid
 from functools import reduce
 from multiprocessing.pool import ThreadPool
+from threading import Lock
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -217,8 +218,32 @@ def _scored(df: DataFrame, model_name: str, id_col: str = "order_id", target: st
                      F.col(target).alias("y"), "p")
 
 
+class Texts:
+    """Vocabulary of a train split and term weights of its parts, made once
+    for all models that read the same texts."""
+
+    def __init__(self, train: DataFrame):
+        self.train, self.lock, self.made = train, Lock(), {}
+
+    def _once(self, key: str, make):
+        with self.lock:
+            if key not in self.made:
+                self.made[key] = make()
+            return self.made[key]
+
+    def vocabulary(self) -> DataFrame:
+        return self._once("vocabulary", lambda: materialize(E.fit_tfidf(self.train), "vocabulary"))
+
+    def pairs(self, df: DataFrame, part: str) -> DataFrame:
+        vocab = self.vocabulary()
+        return self._once(part, lambda: materialize(E.tfidf_pairs(E.tfidf_weights(df, vocab)), "terms"))
+
+
 class TabularModel:
-    """Preprocessor (fit on train) + one Spark estimator."""
+    """Preprocessor (fit on train) + one Spark estimator. ``texts`` are those
+    of the same train split, if other models read them too."""
+
+    texts: Texts | None = None
 
     def __init__(self, name, numeric, categorical, estimator_fn, scale=True, categorical_mode="onehot",
                  weighted=True, text: bool = False, tabular: bool = True):
@@ -226,7 +251,7 @@ class TabularModel:
         self.estimator_fn, self.scale, self.mode = estimator_fn, scale, categorical_mode
         self.weighted, self.text, self.tabular = weighted, text, tabular
 
-    def _features(self, df: DataFrame) -> DataFrame:
+    def _features(self, df: DataFrame, part: str = "held") -> DataFrame:
         # Texts are read where their terms are counted and moved nowhere else.
         out = prepare(df.drop("review_text"))
         if self.mode != "onehot" and not self.text:
@@ -236,7 +261,8 @@ class TabularModel:
             out = self.pre.encode(out)
             parts.append(("features", self.pre.size))
         if self.text:
-            out = E.tfidf_structs(out, E.tfidf_weights(df, self.vocab), self.vocab_size)
+            weights = self.texts.pairs(df, part) if self.texts else E.tfidf_weights(df, self.vocab)
+            out = E.tfidf_structs(out, weights, self.vocab_size)
             parts.append(("text_features", self.vocab_size))
         out = out.withColumn("all_features", E.joined_structs(parts)).drop(*[name for name, _ in parts])
         return E.with_vectors(out.hint("rebalance"), ["all_features"])
@@ -245,10 +271,10 @@ class TabularModel:
         if self.tabular:
             self.pre = E.TabularPreprocessor(self.numeric, self.categorical, self.scale, self.mode).fit(train)
         if self.text:
-            self.vocab = materialize(E.fit_tfidf(train), "vocabulary")
+            self.vocab = self.texts.vocabulary() if self.texts else materialize(E.fit_tfidf(train), "vocabulary")
             self.vocab_size = self.vocab.count()
         data = with_weights(train, TARGET, "weight") if self.weighted else train
-        data = self._features(data)
+        data = self._features(data, "train")
         if isinstance(self.estimator_fn(None), RandomForestClassifier):
             data = training_table(data, wide=True)
         self.n = data.count()  # of the written features
@@ -485,18 +511,27 @@ LADDER_MODELS = [review_score_lr, tabular_lr, tabular_rf, text_lr, combined_lr]
 # M16
 def model_ladder(splits: DataFrame, models=None, store: str | None = None) -> DataFrame:
     """Fit the dummy prior and each model on train, score val and test,
-    choose each model's threshold on val, and return the metric rows."""
+    choose each model's threshold on val, and return the metric rows. The
+    models read the same texts, whose terms are counted once; the forest
+    grows while the linear models take their many short steps."""
     from .metrics import best_threshold, compute_metrics
     from .quality import union_metrics
     train = splits.filter(F.col("split") == "train")
     held = splits.filter(F.col("split") != "train")
-    scored = [_scored(dummy_prior(train, held, TARGET, "p"), "dummy_prior")]
-    for mk in (models or LADDER_MODELS):
-        tm = mk().fit(train)
+    texts = Texts(train)
+
+    def score(mk):
+        tm = mk()
+        tm.texts = texts
+        tm.fit(train)
         if store:
             from ..sources.io import save_model
             save_model(tm.model, f"{store}/{tm.name}")
-        scored.append(_scored(tm.score(held), tm.name))
-    s = materialize(union_metrics(*scored))  # models run once, metrics read the written scores
+        # Written here: a model's scoring overlaps the other's fit.
+        return materialize(_scored(tm.score(held), tm.name), "scored")
+
+    with ThreadPool(2) as pool:
+        scored = pool.map(score, sorted(models or LADDER_MODELS, key=lambda mk: mk is not tabular_rf), chunksize=1)
+    s = materialize(union_metrics(_scored(dummy_prior(train, held, TARGET, "p"), "dummy_prior"), *scored))
     thr = best_threshold(s.filter(F.col("split") == "val"), ["model"])
     return compute_metrics(s, ["model", "split"], threshold=thr)
